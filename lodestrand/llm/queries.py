@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import table
-from . import neighbors
+from . import neardup, neighbors
+from .common import newest_rows
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -15,5 +16,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
 
 
-QUERIES = {"p1_found": p1_found}
+def _entity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    e = newest_rows(table(spark, d, "code_entity").select("entity_id", "code_text", "ingested_at"), "entity_id", "ingested_at")
+    return neardup.similar_pairs(e, "entity_id", "code_text", threshold=0.6, width=3, min_words=30)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _entity_pairs(spark, d).select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
+
+
+def p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The copied entities with the group and the number of links of each."""
+    return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
+
+
+QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p7_groups": p7_groups}
 SQL: dict[str, str] = {}
