@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.session import lookup
+
 
 def newest_rows(df: DataFrame, key: str, at: str) -> DataFrame:
     """One row for each ``key``: the one with the greatest ``at``.
 
-    Only the keys delivered more than once are looked up, so wide rows are not shuffled. Nulls of ``at`` count as
+    Only the keys delivered more than once are looked up, so wide rows are not shuffled unless very many are. Nulls of ``at`` count as
     earliest; of rows equal in ``at`` one stays, chosen by hash. Rows whose key is null are left out.
     """
     mark = F.struct(F.coalesce(F.col(at).cast("double"), F.lit(float("-inf"))), F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]))
     marked = df.where(F.col(key).isNotNull()).withColumn("_mark", mark)
     again = marked.groupBy(key).agg(F.max("_mark").alias("_last"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    left = marked.join(again, key, "left").where("_last is null or _mark = _last")
+    left = lookup(marked, again, key).where("_last is null or _mark = _last")
     whole_repeats = F.col("_last").isNotNull()
     once = left.where(~whole_repeats)
     return once.unionByName(left.where(whole_repeats).dropDuplicates([key])).drop("_mark", "_last")

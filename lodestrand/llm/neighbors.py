@@ -17,18 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import cut
+from ..plans.session import cut, lookup
+from .common import newest_rows
 
-_ROUTED = "shard long, part int, own boolean, id string, vector array<float>"
+_ROUTED = "shard long, part int, own boolean, id string, vector array<float>, ids array<string>"
+_HITS = "id string, top array<struct<s: double, other: string>>"
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector: str, newest: str, dim: int) -> DataFrame:
     """(id, vector) of the newest row of each id, if its vector has ``dim`` elements, none null or NaN, not all zero."""
-    row = F.struct(F.col(f"`{newest}`").alias("t"), F.col(f"`{vector}`").alias("v"))
-    last = df.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("string").alias("id")).agg(F.max(row).alias("r"))
-    v = F.col("r.v")
+    rows = df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{vector}`").alias("vector"), F.col(f"`{newest}`").alias("at"))
+    v = F.col("vector")
     good = (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    return last.where(v.isNotNull() & good).select("id", v.cast("array<float>").alias("vector"))
+    return newest_rows(rows, "id", "at").where(v.isNotNull() & good).select("id", v.cast("array<float>").alias("vector"))
 
 
 def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -69,8 +70,8 @@ def _router(pivots: np.ndarray, splits: np.ndarray, slack: float):
                 cut_ = slice(s, s + 20_000)
                 t = b.take(pa.array(row[cut_]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[cut_], pa.int64()), pa.array(part[cut_], pa.int32()), pa.array(own[cut_]), t.column("id"), t.column("vector")],
-                    names=["shard", "part", "own", "id", "vector"],
+                    [pa.array(shard[cut_], pa.int64()), pa.array(part[cut_], pa.int32()), pa.array(own[cut_]), t.column("id"), t.column("vector"), t.column("ids")],
+                    names=["shard", "part", "own", "id", "vector", "ids"],
                 )
 
     return route
@@ -135,9 +136,20 @@ def _search(k: int, floor: float, slack: float, leaf: int):
             sim[a : a + 50_000] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
         sim = np.round(sim, 6)
         ok = sim >= floor
-        out = pd.DataFrame({"id": ids[qi[ok]], "other": ids[pj[ok]], "sim": sim[ok]})
-        out = out.sort_values(["id", "sim", "other"], ascending=[True, False, True]).groupby("id", sort=False).head(k)
-        return pa.table({"id": pa.array(out["id"], pa.string()), "other": pa.array(out["other"], pa.string()), "sim": pa.array(out["sim"], pa.float64())})
+        q, p, sim = qi[ok], pj[ok], sim[ok]
+        groups = t.column("ids").to_pylist() if t.column("ids").null_count < len(t) else None
+        if groups:  # the smallest ids of equal vectors stand for the group
+            reach = [groups[i] or [ids[i]] for i in p]
+            n = np.array([len(x) for x in reach], "i8")
+            q, sim, other = np.repeat(q, n), np.repeat(sim, n), np.array([i for x in reach for i in x], object)
+        else:
+            other = ids[p]
+        out = pd.DataFrame({"q": q, "s": -sim, "other": other}).sort_values(["q", "s", "other"]).groupby("q", sort=False).head(k + 1)
+        q = out["q"].to_numpy()
+        begin = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.empty(0, "i8")
+        struct = pa.StructArray.from_arrays([pa.array(out["s"], pa.float64()), pa.array(out["other"], pa.string())], names=["s", "other"])
+        top = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(q)], pa.int32()), struct)
+        return pa.table({"id": pa.array(ids[q[begin]], pa.string()), "top": top})
 
     return shard
 
@@ -157,44 +169,34 @@ def most_similar(
     parts, each searched by all its queries.
     """
     spark = vectors.sparkSession
-    v = cut(vectors.select("id", "vector", F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2")))
-    groups = v.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1")
-    members = v.select("id", "h1", "h2").join(groups, ["h1", "h2"]).select("id", "rep")
-    members = cut(members)
+    v = vectors.select("id", "vector")
+    hashed = v.select("id", F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2"))
+    groups = hashed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = cut(lookup(hashed, groups, ["h1", "h2"], "inner").select("id", "rep"))
     firsts = _smallest(members, k + 1)
     n = v.count()
     if not n:
         return spark.createDataFrame([], "id string, other string, sim double")
     m = min(max_pivots, max(1, -(-n // shard_rows)))
-    pivots = _unit(np.array([r[0] for r in v.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(m).select("vector").collect()], "f4"))
-    radius = math.sqrt(max(0.0, 2 - 2 * min_similarity))
-    reps = v.select("id", "vector").join(members.where("id <> rep").select("id"), "id", "left_anti")
-    slack = 2 * radius / relax_route
-    splits = np.ones(m, "i8")
+    sample = _unit(np.array([r[0] for r in v.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(17 * m).select("vector").collect()], "f4"))
+    pivots, radius, splits = sample[:m], math.sqrt(max(0.0, 2 - 2 * min_similarity)), np.ones(m, "i8")
     if m > 1:  # how crowded the shards are, by a sample of their rows
-        some = _unit(np.array([r[0] for r in v.orderBy(F.xxhash64(F.lit(11), "id"), "id").limit(16 * m).select("vector").collect()], "f4"))
-        share = np.bincount((some @ pivots.T).argmax(axis=1), minlength=m) / len(some)
+        share = np.bincount((sample[m:] @ pivots.T).argmax(axis=1), minlength=m) / max(1, len(sample) - m)
         splits = np.maximum(1, np.ceil(share * n / (4 * shard_rows))).astype("i8")
-    routed = reps.mapInArrow(_router(pivots, splits, slack), _ROUTED)
-    hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, radius / relax_tree, leaf), "id string, other string, sim double")
-    best = _best(hits, "id", k)  # of distinct vectors
-    own = members.select("rep").distinct().select(F.col("rep").alias("id"), F.col("rep").alias("other"), F.lit(1.0).alias("sim"))
-    listed = best.unionByName(own).join(firsts.withColumnRenamed("rep", "other"), "other", "left")
-    listed = listed.select("id", F.explode(F.coalesce("first_ids", F.array("other"))).alias("other"), "sim")
-    wide = _best(listed, "id", k + 1)
-    member = members.withColumnsRenamed({"id": "member", "rep": "id"})
-    spread = wide.join(member, "id", "left").select(F.coalesce("member", "id").alias("id"), "other", "sim").where("id <> other")
-    return _best(spread, "id", k)
-
-
-def _best(hits: DataFrame, by: str, k: int) -> DataFrame:
-    ranked = hits.groupBy(by).agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("sim")).alias("s"), "other"))), 1, k).alias("top"))
-    return ranked.select(by, F.explode("top").alias("x")).select(by, F.col("x.other").alias("other"), (-F.col("x.s")).alias("sim"))
+    reps = lookup(lookup(v, members.where("id <> rep").select("id"), "id", "left_anti"), firsts, "id")
+    routed = reps.select("id", "vector", "ids").mapInArrow(_router(pivots, splits, 2 * radius / relax_route), _ROUTED)
+    hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, radius / relax_tree, leaf), _HITS)
+    # A group's own ids are hits of each other.
+    own = firsts.select("id", F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("s"), i.alias("other"))).alias("top"))
+    merged = hits.unionByName(own).groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("top")))), 1, k + 1).alias("top"))
+    everyone = lookup(merged, members.withColumnsRenamed({"id": "member", "rep": "id"}), "id")
+    named = everyone.select(F.coalesce("member", "id").alias("id"), "top")
+    each = named.select("id", F.explode(F.slice(F.filter("top", lambda x: x["other"] != F.col("id")), 1, k)).alias("x"))
+    return each.select("id", F.col("x.other").alias("other"), (-F.col("x.s")).alias("sim"))
 
 
 def _smallest(members: DataFrame, k: int) -> DataFrame:
-    """The ``k`` smallest ids of each group; a hot group is cut down in parts before it meets in one task."""
-    part = F.pmod(F.xxhash64("id"), F.lit(64))
+    """(id, ids): the ``k`` smallest ids of each group, under its smallest; a hot group is cut down in parts first."""
     w = Window.partitionBy("rep", "_p").orderBy("id")
-    few = members.withColumn("_p", part).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    return few.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("first_ids"))
+    few = members.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    return few.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("ids")).withColumnRenamed("rep", "id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import table
-from . import neardup, neighbors
+from . import funcdocs, neardup, neighbors
 from .common import newest_rows
 
 
@@ -16,6 +16,15 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return funcdocs.described_functions(table(spark, d, "code_entity")).select("entity_id", "function_name").distinct()
+
+
+def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The code-description pairs themselves."""
+    return funcdocs.described_functions(table(spark, d, "code_entity"))
+
+
 def _entity_pairs(spark: SparkSession, d: str) -> DataFrame:
     e = newest_rows(table(spark, d, "code_entity").select("entity_id", "code_text", "ingested_at"), "entity_id", "ingested_at")
     return neardup.similar_pairs(e, "entity_id", "code_text", threshold=0.6, width=3, min_words=30)
@@ -30,5 +39,5 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
 
 
-QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p7_groups": p7_groups}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pairs": p4_pairs, "p7_found": p7_found, "p7_groups": p7_groups}
 SQL: dict[str, str] = {}
