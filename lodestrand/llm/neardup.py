@@ -8,59 +8,100 @@ are then verified on the whole sets.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from ..plans.session import cut
+from ..plans.session import cut, lookup
 
 SKETCH = 1 << 18  # counters of the sketch: the size of what is broadcast, whatever the data
+_WORD = re.compile("[a-z0-9_]+")
+# Odd multipliers that mix word hashes into shingle hashes.
+_ODD, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _sets(batch: pa.RecordBatch, width: int, least: int, seen: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of a batch's texts, ordered by row and hash, and the row of each."""
+    sizes, flat = [], []
+    for text in batch.column("text").to_pylist():
+        w = _WORD.findall(text.lower()) if text else []
+        if len(w) < least:
+            w = []
+        sizes.append(len(w))
+        for x in w:
+            h = seen.get(x)
+            if h is None:
+                h = seen[x] = xxhash.xxh64_intdigest(x)
+            flat.append(h)
+    if len(seen) > 1_000_000:
+        seen.clear()
+    n = np.array(sizes, "i8")
+    word, row = np.array(flat, "u8"), np.repeat(np.arange(len(n)), n)
+    if len(word) < width:
+        return np.empty(0, "i8"), np.empty(0, "i8")
+    h = np.zeros(len(word) - width + 1, "u8")
+    for j in range(width):
+        h = (h ^ word[j : len(h) + j]) * _ODD
+        h ^= h >> np.uint64(29)
+    h *= _END
+    h ^= h >> np.uint64(32)
+    inside = row[: len(h)] == row[width - 1 :]
+    h, row = h[inside].view("i8"), row[: len(h)][inside]
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])] if len(h) else np.empty(0, bool)
+    return h[new], row[new]
+
+
+def _lists(n: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(values))
+
+
+def _sketch(width: int, least: int):
+    def run(batches):
+        total, seen = np.zeros(SKETCH, "i8"), {}
+        for b in batches:
+            total += np.bincount(_sets(b, width, least, seen)[0] & (SKETCH - 1), minlength=SKETCH)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
+    return run
 
-def words(text: Column) -> Column:
-    """The maximal runs of ``[a-z0-9_]`` of the lower-cased text."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9_]+", -1), lambda w: w != "")
-
-
-def shingles(df: DataFrame, id_col: str, text: str, width: int, min_words: int) -> DataFrame:
-    """(id, shingles): the distinct hashed runs of ``width`` words of the records with at least ``min_words`` words."""
-    w = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), words(F.col(f"`{text}`")).alias("w")).where(F.size("w") >= max(width, min_words))
-    run = lambda i: F.xxhash64(*[F.get(F.col("w"), i + j) for j in range(width)])
-    return w.select("id", F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - width), run)).alias("shingles"))
-
-
-def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The values of a list column and the row of each."""
-    n = np.diff(col.offsets.to_numpy())
-    return col.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(col)), n)
-
-
-def _sketch(batches):
-    total = np.zeros(SKETCH, "i8")
-    for b in batches:
-        total += np.bincount(_flat(b.column("shingles"))[0] & (SKETCH - 1), minlength=SKETCH)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
+def _prefixes(counts, width: int, least: int, threshold: float):
+    """(id, n, key, prefix): the number of shingles, a hash of the prefix, and its shingles cut to 32 bits, rarest first."""
 
-def _prefixes(counts, threshold: float):
     def run(batches):
-        freq = counts.value
+        freq, seen = counts.value, {}
         for b in batches:
-            v, row = _flat(b.column("shingles"))
-            if not len(v):
-                continue
+            v, row = _sets(b, width, least, seen)
             order = np.lexsort((v, freq[v & (SKETCH - 1)], row))
             v, row = v[order], row[order]
             n = np.bincount(row, minlength=b.num_rows)
-            start = np.cumsum(n) - n
-            keep = (n - np.ceil(threshold * n - 1e-9) + 1).astype("i8")
-            inside = np.arange(len(v)) - start[row] < keep[row]
-            offsets = np.r_[0, np.cumsum(np.minimum(keep, n))]
-            prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v[inside]))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), prefix], names=["id", "n", "prefix"])
+            keep = np.where(n > 0, (n - np.ceil(threshold * n - 1e-9) + 1).astype("i8"), 0)
+            inside = np.arange(len(v)) - (np.cumsum(n) - n)[row] < keep[row]
+            v, row, some = v[inside], row[inside], n > 0
+            ends = np.cumsum(keep)
+            key = [xxhash.xxh64_intdigest(v[e - k : e].tobytes()) for e, k in zip(ends[some], keep[some])]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").filter(pa.array(some)), pa.array(n[some], pa.int32()), pa.array(np.array(key, "u8").view("i8")), _lists(keep[some], (v >> 32).astype("i4"))],
+                names=["id", "n", "key", "prefix"],
+            )
+
+    return run
+
+
+def _shingled(width: int, least: int):
+    def run(batches):
+        seen: dict[str, int] = {}
+        for b in batches:
+            v, row = _sets(b, width, least, seen)
+            yield pa.RecordBatch.from_arrays([b.column("id"), _lists(np.bincount(row, minlength=b.num_rows), v)], names=["id", "shingles"])
 
     return run
 
@@ -68,37 +109,40 @@ def _prefixes(counts, threshold: float):
 def similar_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8, width: int = 5, min_words: int = 0) -> DataFrame:
     """(a, b, similarity), a < b, for all pairs whose shingle sets have a Jaccard similarity of ``threshold`` or more.
 
-    ``id_col`` must be unique and not null; null texts, and texts with fewer than ``width`` or ``min_words`` words, have
-    no partners. Texts are taken whole. An empty table gives none; other columns are ignored. No partner is left out:
-    the sketch only decides the order of shingles, never which pairs are found.
+    Words are the runs of ``[a-z0-9_]`` of the lower-cased text, shingles ``width`` of them in a row. ``id_col`` must be
+    unique and not null; null texts, and texts with fewer than ``width`` or ``min_words`` words, have no partners. Texts
+    are taken whole. An empty table gives none; other columns are ignored. No partner is left out: the sketch only
+    decides the order of shingles, never which pairs are found.
     """
-    spark = df.sparkSession
-    sets = shingles(df, id_col, text, width, min_words)
-    id_type = dict(sets.dtypes)["id"]
-    sums = sets.select("shingles").mapInArrow(_sketch, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    spark, least = df.sparkSession, max(width, min_words)
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    id_type = dict(rows.dtypes)["id"]
+    sums = rows.select("text").mapInArrow(_sketch(width, least), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     freq = np.zeros(SKETCH, "i8")
     freq[sums["bucket"].to_numpy("i8")] = sums["n"].to_numpy("i8")
-    prefixed = sets.mapInArrow(_prefixes(spark.sparkContext.broadcast(freq), threshold), f"id {id_type}, n int, prefix array<long>")
-    whole = prefixed.withColumn("key", F.xxhash64("prefix")).groupBy("n", "key", "prefix").agg(F.min("id").alias("gid"), F.collect_list("id").alias("ids"))
-    groups = cut(whole.select("gid", "n", "prefix", F.size("ids").alias("members"), F.when(F.size("ids") > 1, F.col("ids")).alias("ids")))
-    at = groups.select("gid", "n", F.posexplode("prefix").alias("p", "s"))
-    x, y = at.alias("x"), at.alias("y")
-    need = F.lit(threshold / (1 + threshold)) * (F.col("x.n") + F.col("y.n")) - 1e-9
-    room = F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p"))
+    prefixed = cut(rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(freq), width, least, threshold), f"id {id_type}, n int, key long, prefix array<int>"))
+    # Records with equal prefixes and sizes are one group, named by its smallest id.
+    crowds = prefixed.groupBy("n", "key").agg(F.min("id").alias("gid"), F.count("*").alias("c")).where("c > 1").drop("c")
+    members = cut(lookup(prefixed.select("id", "n", "key"), crowds, ["n", "key"], "inner").select("gid", "id"))
+    heads = lookup(prefixed, members.where("gid <> id").select("id"), "id", "left_anti")
+    at = heads.select(F.col("id").alias("gid"), "n", F.posexplode("prefix").alias("p", "s")).select("s", "gid", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = at.repartition(parts, "s")
+    n, p = (lambda c: F.shiftright(c, 32)), (lambda c: F.col(c).bitwiseAND((1 << 32) - 1))
+    x, y = at.toDF("s", "ga", "xnp"), at.toDF("s", "gb", "ynp")
+    xn, yn = n("xnp"), n("ynp")
     # The first shared shingle of a pair is at both positions the first of an overlap that must reach ``need``.
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.gid") < F.col("y.gid")) & (room >= need) & (F.col("x.n") >= threshold * F.col("y.n") - 1e-9) & (F.col("y.n") >= threshold * F.col("x.n") - 1e-9))
-    across = met.select(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb")).distinct()
-    crowd = groups.where("members > 1").select("gid", "ids")
-    within = crowd.select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    pairs = across.unionByName(within)
+    need = F.lit(threshold / (1 + threshold)) * (xn + yn) - 1e-9
+    room = F.least(xn - p("xnp"), yn - p("ynp"))
+    met = x.join(y, "s").where((F.col("ga") < F.col("gb")) & (room >= need) & (xn >= threshold * yn - 1e-9) & (yn >= threshold * xn - 1e-9))
+    across = met.select("ga", "gb").distinct()
+    pairs = across.unionByName(members.select(F.col("gid").alias("ga"), F.col("gid").alias("gb")).distinct())
     for side in ("a", "b"):
-        pairs = pairs.join(crowd.select(F.col("gid").alias(f"g{side}"), F.col("ids").alias(f"i{side}")), f"g{side}", "left")
-        pairs = pairs.withColumn(side, F.explode(F.coalesce(f"i{side}", F.array(f"g{side}")))).drop(f"i{side}")
+        pairs = lookup(pairs, members.withColumnsRenamed({"gid": f"g{side}", "id": side}), f"g{side}").withColumn(side, F.coalesce(side, f"g{side}"))
     pairs = cut(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(named, "id")
-    known = cut(shingles(texts, "id", "text", width, min_words))
-    joined = pairs.join(known.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(known.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    known = cut(lookup(rows, named, "id", "left_semi").mapInArrow(_shingled(width, least), f"id {id_type}, shingles array<long>"))
+    joined = pairs.join(known.toDF("a", "sa"), "a").join(known.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     sim = common / (F.size("sa") + F.size("sb") - common)
     return joined.select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
