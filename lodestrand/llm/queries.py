@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import table
-from . import funcdocs, neardup, neighbors
+from . import funcdocs, neardup, neighbors, syntax
 from .common import newest_rows
 
 
@@ -16,6 +16,15 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.parsed_files(table(spark, d, "source_file")).where("n_errors > 0").select("file_id").distinct()
+
+
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Share of files that do not parse, for each repository and language."""
+    return syntax.acceptance(syntax.parsed_files(table(spark, d, "source_file")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return funcdocs.described_functions(table(spark, d, "code_entity")).select("entity_id", "function_name").distinct()
 
@@ -39,5 +48,5 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_pairs": p4_pairs, "p7_found": p7_found, "p7_groups": p7_groups}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p7_found": p7_found, "p7_groups": p7_groups}
 SQL: dict[str, str] = {}

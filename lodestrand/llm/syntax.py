@@ -7,7 +7,13 @@ remembered by the kinds of their tokens: one that was accepted before is not par
 
 from __future__ import annotations
 
+import ast
 import re
+import warnings
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 _OPEN, _CLOSE = {"(": ")", "[": "]", "{": "}"}, {")", "]", "}"}
 
@@ -101,9 +107,12 @@ _CPP_BASIC = frozenset("auto bool char char8_t char16_t char32_t double float in
 _CPP_SPECIFIERS = frozenset("const constexpr consteval constinit explicit extern friend inline mutable register static thread_local typedef virtual volatile typename __restrict __inline".split())
 _CPP_CASTS = frozenset("static_cast dynamic_cast reinterpret_cast const_cast".split())
 _CPP_NOISE = re.compile(
-    r"""//(?:[^\n\\]|\\.|\\\n)*|/\*.*?\*/|(?:\b(?:u8|[uUL])?R"([^()\\\s]{0,16})\(.*?\)\1")|(?:\b(?:u8|[uUL]))?"(?:[^"\\\n]|\\.|\\\r?\n)*"|(?:\b(?:u8|[uUL]))?(?<![0-9A-Fa-f])'(?:[^'\\\n]|\\[^\n])+'|/\*|["'](?!\w*')""",
+    r"""//(?:[^\n\\]|\\.|\\\n)*|/\*.*?\*/|(?:\b(?:u8|[uUL])?R"([^()\\\s]{0,16})\(.*?\)\1")|(?:\b(?:u8|[uUL]))?"(?:[^"\\\n]|\\.|\\\r?\n)*"|(?:\b(?:u8|[uUL]))?(?<![0-9A-Fa-f])'(?:[^'\\\n]|\\[^\n])+'|/\*|"|(?<![0-9A-Fa-f])'""",
     re.S,
 )
+# The same for text without prefixed or raw strings and digit separators: every alternative begins with one of three characters.
+_CPP_PLAIN = re.compile(r"""//(?:[^\n\\]|\\.|\\\n)*|/\*.*?\*/|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\[^\n])+'|/\*|["']""", re.S)
+_CPP_SPECIAL = re.compile(r"""[8uULR]["']|[0-9A-Fa-f]'|\\\r?\n""")
 _CPP_TOKEN = re.compile(r"[^\W\d][\w]*|\.?\d(?:[eEpP][+-]|'\w|[\w.])*|<<=|>>=|\.\.\.|<=>|->\*|::|->|\+\+|--|<<|<=|>=|==|!=|&&|\|\||[-+*/%&|^]=|\.\*|\S")
 _CPP_DIRECTIVE = re.compile(r"^[ \t]*#[ \t]*(\w*)((?:[^\n\\]|\\.|\\\n)*)", re.M)
 _CPP_KNOWN = frozenset("include define undef if ifdef ifndef elif elifdef elifndef else endif error warning pragma line import include_next ident".split())
@@ -180,7 +189,8 @@ class Cpp(_Parser):
 
     @staticmethod
     def tokens(text: str) -> list[str]:
-        raw = _CPP_TOKEN.findall(_CPP_NOISE.sub(_cpp_strip, text).replace('""', '"'))
+        noise = _CPP_NOISE if _CPP_SPECIAL.search(text) else _CPP_PLAIN
+        raw = _CPP_TOKEN.findall(noise.sub(_cpp_strip, text).replace('""', '"'))
         known = _CPP_KIND
         out = []
         for x in raw:
@@ -284,7 +294,7 @@ class Cpp(_Parser):
                 i += 1
             elif x in _CPP_BASIC:
                 seen, i = True, i + 1
-            elif x in ("class", "struct", "union", "enum") and t[i + 1] in ("i", "::"):
+            elif x in ("class", "struct", "union", "enum") and t[i + 1] in ("i", "::", "M"):
                 i += 1
             elif not seen and (x in ("i", "M", "::") or x == "decltype"):
                 j = self.name(i)
@@ -1140,3 +1150,1207 @@ def check_cpp(text: str) -> list[str]:
             faults = [w for _, w in (p.errors or found)]
             break
     return faults
+
+
+# ------------------------------------------------------------------------------------------------------------- Python
+
+# Words and tokens of Python 3.
+_PY_WORDS = frozenset("False None True and as assert async await break class continue def del elif else except finally for from global if import in is lambda nonlocal not or pass raise return try while with yield".split())
+_PY_TOKEN = re.compile(
+    r"""(?P<str>(?:\b[rRbBuUfFtT]{1,2})?(?:\"\"\"(?:[^\\]|\\.)*?\"\"\"|'''(?:[^\\]|\\.)*?'''|(?!\"\"\")"(?:[^"\\\n]|\\.)*"|(?!''')'(?:[^'\\\n]|\\.)*'))|(?P<note>\#[^\n]*)|(?P<join>\\\r?\n)|(?P<nl>\r?\n)|(?P<blank>[ \t\f]+)"""
+    r"""|(?P<num>0[xX](?:_?[0-9a-fA-F])+|0[bB](?:_?[01])+|0[oO](?:_?[0-7])+|(?:\d(?:_?\d)*\.?(?:\d(?:_?\d)*)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?[jJ]?(?!\w))|(?P<name>[^\W\d]\w*)"""
+    r"""|(?P<op>\*\*=|//=|>>=|<<=|\.\.\.|->|:=|!=|==|<=|>=|\*\*|//|<<|>>|[-+*/%&|^@]=|[-+*/%&|^~<>()\[\]{},:;.=@])|(?P<bad>.)""",
+    re.S,
+)
+_NEWLINE, _INDENT, _DEDENT = "\n", "\t", "\r"
+
+
+def _py_tokens(text: str) -> list[str]:
+    out: list[str] = []
+    depth, levels, fresh, width = 0, [0], True, 0
+    for m in _PY_TOKEN.finditer(text):
+        kind = m.lastgroup
+        if kind == "blank":
+            if fresh:
+                width = len(m.group().expandtabs(8))
+            continue
+        if kind in ("note", "join"):
+            continue
+        if kind == "nl":
+            if not depth:
+                if not fresh:
+                    out.append(_NEWLINE)
+                fresh, width = True, 0
+            continue
+        if fresh:
+            fresh = False
+            if width > levels[-1]:
+                levels.append(width)
+                out.append(_INDENT)
+            while width < levels[-1]:
+                levels.pop()
+                out.append(_DEDENT)
+                if width > levels[-1]:
+                    out.append(_BAD_TEXT)
+        x = m.group()
+        if kind == "str":
+            if out and out[-1] == "s":
+                continue
+            out.append("s")
+        elif kind == "num":
+            out.append(_BAD_TEXT if len(x) > 1 and x[0] == "0" and x.isdigit() and x.strip("0") else "0")
+        elif kind == "name":
+            out.append(x if x in _PY_WORDS else x if x in ("match", "case", "type") else "i")
+        elif kind == "bad":
+            out.append(_BAD_TEXT)
+        else:
+            depth += (x in _OPEN) - (x in _CLOSE)
+            depth = max(depth, 0)
+            out.append(x)
+    if not fresh:
+        out.append(_NEWLINE)
+    out += [_DEDENT] * (len(levels) - 1)
+    if depth:
+        out.append(_BAD_TEXT)
+    return out
+
+
+class Python(_Parser):
+    BINARY = {"or": 1, "and": 2, "in": 4, "not": 4, "is": 4, "<": 4, ">": 4, "==": 4, "!=": 4, "<=": 4, ">=": 4, "|": 5, "^": 6, "&": 7, "<<": 8, ">>": 8, "+": 9, "-": 9, "*": 10, "/": 10, "//": 10, "%": 10, "@": 10, "**": 12}
+    SOFT = ("i", "match", "case", "type")
+    AUGMENTED = frozenset("+= -= *= /= //= %= @= &= |= ^= >>= <<= **=".split())
+
+    def recover(self, e: SyntaxFault, start: int):
+        """Panic mode: skip to the next line of this indentation."""
+        self.errors.append((e.at, e.what))
+        self.i, depth = max(e.at, start), 0
+        while self.t[self.i]:
+            x = self.t[self.i]
+            if x == _INDENT:
+                depth += 1
+            elif x == _DEDENT:
+                if not depth:
+                    return
+                depth -= 1
+                if not depth:
+                    self.i += 1
+                    return
+            elif x == _NEWLINE and not depth and self.t[self.i + 1] != _INDENT:
+                self.i += 1
+                return
+            self.i += 1
+
+    def program(self):
+        t = self.t
+        while t[self.i]:
+            start = self.i
+            try:
+                self.statement()
+            except (SyntaxFault, RecursionError) as e:
+                self.recover(e if isinstance(e, SyntaxFault) else SyntaxFault(start, "nested too deeply"), start)
+                if self.i == start:
+                    self.i += 1
+        return self.errors
+
+    def suite(self):
+        self.need(":")
+        if self.take(_NEWLINE):
+            self.need(_INDENT)
+            while self.t[self.i] not in (_DEDENT, ""):
+                start = self.i
+                try:
+                    self.statement()
+                except SyntaxFault as e:
+                    self.recover(e, start)
+                    if self.i == start:
+                        self.i += 1
+            self.need(_DEDENT)
+        else:
+            self.simple_line()
+
+    def statement(self):
+        t = self.t
+        x = t[self.i]
+        if x == "async" and t[self.i + 1] in ("def", "for", "with"):
+            self.i += 1
+            x = t[self.i]
+        if x == "@":
+            while self.take("@"):
+                self.test()
+                self.need(_NEWLINE)
+            if t[self.i] not in ("def", "class", "async"):
+                self.fail()
+            self.statement()
+        elif x == "def":
+            self.i += 1
+            self.identifier()
+            self.type_parameters()
+            self.need("(")
+            self.parameters(")")
+            self.need(")")
+            if self.take("->"):
+                self.tests()
+            self.suite()
+        elif x == "class":
+            self.i += 1
+            self.identifier()
+            self.type_parameters()
+            if self.take("("):
+                self.arguments()
+            self.suite()
+        elif x in ("if", "while"):
+            self.i += 1
+            self.named()
+            self.suite()
+            while x == "if" and self.take("elif"):
+                self.named()
+                self.suite()
+            if self.take("else"):
+                self.suite()
+        elif x == "for":
+            self.i += 1
+            self.targets()
+            self.need("in")
+            self.stars()
+            self.suite()
+            if self.take("else"):
+                self.suite()
+        elif x == "try":
+            self.i += 1
+            self.suite()
+            n = 0
+            while self.take("except"):
+                n += 1
+                self.take("*")
+                if t[self.i] != ":":
+                    self.tests()
+                    if self.take("as"):
+                        self.identifier()
+                self.suite()
+            if n and self.take("else"):
+                self.suite()
+            if self.take("finally"):
+                self.suite()
+            elif not n:
+                self.fail("try without except")
+        elif x == "with":
+            self.i += 1
+            self.with_items()
+            self.suite()
+        elif x == "match" and self.is_match():
+            self.i += 1
+            self.stars()
+            self.need(":")
+            self.need(_NEWLINE)
+            self.need(_INDENT)
+            while t[self.i] == "case":
+                self.i += 1
+                self.pattern()
+                if self.take("if"):
+                    self.named()
+                self.suite()
+            self.need(_DEDENT)
+        else:
+            self.simple_line()
+
+    def is_match(self) -> bool:
+        j, depth, t = self.i + 1, 0, self.t
+        if t[j] in ("=", ".", ",", ")", ":", _NEWLINE) or t[j] in self.AUGMENTED:
+            return False
+        while t[j] not in (_NEWLINE, ""):
+            depth += (t[j] in _OPEN) - (t[j] in _CLOSE)
+            j += 1
+        return t[j - 1] == ":" and t[j + 1] == _INDENT and t[j + 2] == "case"
+
+    def pattern(self):
+        while True:
+            self.take("*")
+            self.expression(5)
+            while self.take("as"):
+                self.identifier()
+            if not self.take(",") or self.t[self.i] in (":", "if"):
+                return
+
+    def with_items(self):
+        if self.t[self.i] == "(":
+            start, known = self.i, len(self.errors)
+            try:
+                self.i += 1
+                while self.t[self.i] != ")":
+                    self.test()
+                    if self.take("as"):
+                        self.target()
+                    if not self.take(","):
+                        break
+                self.need(")")
+                if self.t[self.i] == ":":
+                    return
+            except SyntaxFault:
+                pass
+            self.i = start
+            del self.errors[known:]
+        while True:
+            self.test()
+            if self.take("as"):
+                self.target()
+            if not self.take(","):
+                return
+
+    def simple_line(self):
+        while True:
+            self.small()
+            if not self.take(";") or self.t[self.i] == _NEWLINE:
+                break
+        self.need(_NEWLINE)
+
+    def small(self):
+        t = self.t
+        x = t[self.i]
+        if x in ("pass", "break", "continue"):
+            self.i += 1
+        elif x == "return":
+            self.i += 1
+            if t[self.i] not in (_NEWLINE, ";"):
+                self.stars()
+        elif x == "raise":
+            self.i += 1
+            if t[self.i] not in (_NEWLINE, ";"):
+                self.test()
+                if self.take("from"):
+                    self.test()
+        elif x in ("global", "nonlocal"):
+            self.i += 1
+            self.identifier()
+            while self.take(","):
+                self.identifier()
+        elif x == "del":
+            self.i += 1
+            self.targets()
+        elif x == "assert":
+            self.i += 1
+            self.test()
+            if self.take(","):
+                self.test()
+        elif x == "import":
+            self.i += 1
+            while True:
+                self.dotted()
+                if self.take("as"):
+                    self.identifier()
+                if not self.take(","):
+                    break
+        elif x == "from":
+            self.i += 1
+            dots = 0
+            while t[self.i] in (".", "..."):
+                self.i += 1
+                dots += 1
+            if t[self.i] != "import" or not dots:
+                self.dotted()
+            self.need("import")
+            if self.take("*"):
+                return
+            held = self.take("(")
+            while True:
+                self.identifier()
+                if self.take("as"):
+                    self.identifier()
+                if not self.take(",") or held and t[self.i] == ")":
+                    break
+            if held:
+                self.need(")")
+        elif x == "type" and t[self.i + 1] in self.SOFT and t[self.i + 2] in ("=", "["):
+            self.i += 1
+            self.identifier()
+            self.type_parameters()
+            self.need("=")
+            self.test()
+        else:
+            start = self.i
+            self.stars()
+            if t[self.i] in self.AUGMENTED:
+                self.assignable(start)
+                self.i += 1
+                self.stars()
+            elif t[self.i] == ":":
+                self.assignable(start)
+                self.i += 1
+                self.test()
+                if self.take("="):
+                    self.stars()
+            else:
+                while t[self.i] == "=":
+                    self.assignable(start)
+                    self.i += 1
+                    start = self.i
+                    self.stars()
+
+    def assignable(self, start: int):
+        """The left side just parsed ends in a name, attribute, subscript or bracketed targets."""
+        t = self.t
+        last = t[self.i - 1]
+        if last in ("0", "s", "True", "False", "None", "...") or last == "}" or t[start] in ("lambda", "not", "yield", "await", "-", "+", "~"):
+            self.fail("cannot assign here")
+        depth = 0
+        for j in range(start, self.i):
+            x = t[j]
+            if not depth and j > start and (x in self.BINARY and x != "*" or x in ("if", "else", ":=")):
+                self.fail("cannot assign here")
+            if x == "(" and not depth and j > start and (t[j - 1] in self.SOFT or t[j - 1] in (")", "]")):
+                k, d = j, 0
+                while k < self.i:
+                    d += (t[k] in _OPEN) - (t[k] in _CLOSE)
+                    if not d:
+                        break
+                    k += 1
+                if k == self.i - 1 or t[k + 1] == ",":
+                    self.fail("cannot assign to a call")
+            depth += (x in _OPEN) - (x in _CLOSE)
+
+    def identifier(self):
+        if self.t[self.i] not in self.SOFT:
+            self.fail("expected a name")
+        self.i += 1
+
+    def dotted(self):
+        self.identifier()
+        while self.take("."):
+            self.identifier()
+
+    def type_parameters(self):
+        if self.take("["):
+            while self.t[self.i] != "]":
+                if self.t[self.i] in ("*", "**"):
+                    self.i += 1
+                self.identifier()
+                if self.take(":"):
+                    self.test()
+                if self.take("="):
+                    self.test()
+                if not self.take(","):
+                    break
+            self.need("]")
+
+    def parameters(self, close: str):
+        defaults = False
+        starred = False
+        while self.t[self.i] != close:
+            if self.take("/"):
+                pass
+            elif self.t[self.i] in ("*", "**"):
+                starred = True
+                self.i += 1
+                if self.t[self.i] != ",":
+                    self.identifier()
+                    if close == ")" and self.take(":"):
+                        self.take("*")
+                        self.test()
+            else:
+                self.identifier()
+                if close == ")" and self.take(":"):
+                    self.test()
+                if self.take("="):
+                    defaults = True
+                    self.test()
+                elif defaults and not starred:
+                    self.fail("a parameter without default follows one with")
+            if not self.take(","):
+                break
+
+    def targets(self):
+        while True:
+            self.target()
+            if not self.take(",") or self.t[self.i] in ("in", _NEWLINE, ";", "="):
+                return
+
+    def target(self):
+        self.take("*")
+        self.expression(5)
+
+    def stars(self):
+        """Expressions with commas, stars and yields."""
+        t = self.t
+        if t[self.i] == "yield":
+            return self.yields()
+        while True:
+            if self.take("*"):
+                self.expression(5)
+            else:
+                self.named()
+            if not self.take(",") or t[self.i] in (_NEWLINE, "=", ")", "]", "}", ":", ";", ""):
+                return
+
+    def yields(self):
+        self.need("yield")
+        if self.take("from"):
+            self.test()
+        elif self.t[self.i] not in (_NEWLINE, ")", "]", "}", ";", "="):
+            self.stars()
+
+    def tests(self):
+        self.test()
+        while self.take(","):
+            if self.t[self.i] in (":", _NEWLINE, ")"):
+                return
+            self.test()
+
+    def named(self):
+        if self.t[self.i] in self.SOFT and self.t[self.i + 1] == ":=":
+            self.i += 2
+        self.test()
+
+    def test(self):
+        if self.take("lambda"):
+            self.parameters(":")
+            self.need(":")
+            return self.test()
+        self.expression(1)
+        if self.take("if"):
+            self.expression(1)
+            self.need("else")
+            self.test()
+
+    def expression(self, least: int = 1):
+        self.unary()
+        t = self.t
+        while True:
+            op = t[self.i]
+            p = self.BINARY.get(op, -1)
+            if p < least:
+                return
+            self.i += 1
+            if op == "not":
+                self.need("in")
+            elif op == "is":
+                self.take("not")
+            self.expression(11 if op == "**" else p + 1)
+
+    def unary(self):
+        t = self.t
+        while t[self.i] in ("not", "-", "+", "~", "await"):
+            if t[self.i] == "not":
+                self.i += 1
+                return self.expression(4)
+            self.i += 1
+        x = t[self.i]
+        if x in self.SOFT or x in ("0", "s", "True", "False", "None", "..."):
+            self.i += 1
+        elif x == "(":
+            self.i += 1
+            if t[self.i] == "yield":
+                self.yields()
+            elif t[self.i] != ")":
+                self.items(")")
+            self.need(")")
+        elif x == "[":
+            self.i += 1
+            self.items("]")
+            self.need("]")
+        elif x == "{":
+            self.i += 1
+            pairs = None  # a dictionary, a set, or not known yet
+            while t[self.i] != "}":
+                if t[self.i] in ("**", "*"):
+                    pair = t[self.i] == "**"
+                    self.i += 1
+                    self.expression(5)
+                else:
+                    self.named()
+                    pair = self.take(":")
+                    if pair:
+                        self.test()
+                if pairs is not None and pair != pairs:
+                    self.fail("a dictionary or a set")
+                pairs = pair
+                if t[self.i] in ("for", "async"):
+                    self.comprehension()
+                    break
+                if not self.take(","):
+                    break
+            self.need("}")
+        else:
+            self.fail()
+        while True:
+            x = t[self.i]
+            if x == ".":
+                self.i += 1
+                self.identifier()
+            elif x == "(":
+                self.i += 1
+                self.arguments()
+            elif x == "[":
+                self.i += 1
+                self.slices()
+                self.need("]")
+            else:
+                return
+
+    def items(self, close: str):
+        while self.t[self.i] != close:
+            if self.take("*"):
+                self.expression(5)
+            else:
+                self.named()
+                if self.t[self.i] in ("for", "async"):
+                    return self.comprehension()
+            if not self.take(","):
+                return
+
+    def comprehension(self):
+        while self.t[self.i] in ("for", "async"):
+            self.take("async")
+            self.need("for")
+            self.targets()
+            self.need("in")
+            self.expression(1)
+            while self.take("if"):
+                if self.t[self.i] in self.SOFT and self.t[self.i + 1] == ":=":
+                    self.i += 2
+                self.expression(1)
+
+    def arguments(self):
+        t = self.t
+        while t[self.i] != ")":
+            if t[self.i] in ("*", "**"):
+                self.i += 1
+                self.test()
+            elif t[self.i] in self.SOFT and t[self.i + 1] == "=":
+                self.i += 2
+                self.test()
+            else:
+                self.named()
+                if t[self.i] in ("for", "async"):
+                    self.comprehension()
+            if not self.take(","):
+                break
+        self.need(")")
+
+    def slices(self):
+        while True:
+            if self.take("*"):
+                self.expression(5)
+            elif self.t[self.i] != ":":
+                self.named()
+            while self.take(":"):
+                if self.t[self.i] not in (":", "]", ","):
+                    self.test()
+            if not self.take(",") or self.t[self.i] == "]":
+                return
+
+
+def check_python(text: str) -> list[str]:
+    return [w for _, w in Python(_py_tokens(text)).program()]
+
+
+# --------------------------------------------------------------------------------------------------------- JavaScript
+
+# Words and tokens of JavaScript.
+_JS_WORDS = frozenset(
+    "async await break case catch class const continue debugger default delete do else export extends false finally for function if import in instanceof let new null of return static super switch this throw true try typeof var void while with yield get set".split()
+)
+_JS_SOFT = frozenset(["i", "async", "of", "get", "set", "static", "let", "await", "yield"])
+_JS_TOKEN = re.compile(
+    r"""(?P<blank>[ \t\f\v\xa0﻿]+)|(?P<nl>[\r\n  ]+)|(?P<note>//[^\n\r]*|/\*.*?\*/)|(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<num>0[xX][0-9a-fA-F_]+n?|0[bB][01_]+n?|0[oO][0-7_]+n?|(?:\d[\d_]*\.?[\d_]*|\.\d[\d_]*)(?:[eE][+-]?\d+)?n?(?![\w$]))"""
+    r"""|(?P<name>\#?[A-Za-z_$ª-￿][\w$]*)|(?P<op>>>>=|\.\.\.|===|!==|\*\*=|<<=|>>=|>>>|&&=|\|\|=|\?\?=|=>|==|!=|<=|>=|&&|\|\||\?\?|\?\.(?!\d)|\+\+|--|\*\*|<<|>>|[-+*/%&|^]=|[-+*/%&|^~!<>()\[\]{},:;.?=@])|(?P<tick>`)|(?P<bad>.)""",
+    re.S,
+)
+_JS_REGEX = re.compile(r"/(?![*/])(?:[^\\/\[\n]|\\.|\[(?:[^\]\\\n]|\\.)*\])+/[a-z]*")
+
+
+def _js_tokens(text: str) -> tuple[list[str], list[bool]]:
+    """Kinds, and whether a line ended before each. A template with substitutions becomes a bracketed sum."""
+    out: list[str] = []
+    lines: list[bool] = []
+    i, n, broke, ticks = 0, len(text), False, []
+    if text.startswith("#!"):
+        i = text.find("\n") if "\n" in text else n
+
+    def add(kind: str):
+        nonlocal broke
+        out.append(kind)
+        lines.append(broke)
+        broke = False
+
+    def template(i: int) -> int:
+        while i < n:
+            c = text[i]
+            if c == "\\":
+                i += 2
+            elif c == "`":
+                ticks.pop()
+                add("s")
+                add(")")
+                return i + 1
+            elif c == "$" and text[i + 1 : i + 2] == "{":
+                add("s")
+                add("+")
+                add("(")
+                ticks[-1] = 0
+                return i + 2
+            else:
+                i += 1
+        add(_BAD_TEXT)
+        return n
+
+    while i < n:
+        c = text[i]
+        if c == "/" and text[i + 1 : i + 2] not in ("/", "*"):
+            before = out[-1] if out else ""
+            if before not in ("i", "0", "s", ")", "]", "}", "this", "super", "null", "true", "false") and before not in _JS_SOFT or before == "}" and broke:
+                m = _JS_REGEX.match(text, i)
+                if m:
+                    add("s")
+                    i = m.end()
+                    continue
+        m = _JS_TOKEN.match(text, i)
+        kind, x, i = m.lastgroup, m.group(), m.end()
+        if kind == "blank":
+            continue
+        if kind == "nl":
+            broke = True
+        elif kind == "note":
+            broke = broke or "\n" in x
+        elif kind == "tick":
+            add("(")
+            ticks.append(0)
+            i = template(i)
+        elif kind in ("str",):
+            add("s")
+        elif kind == "num":
+            add("0")
+        elif kind == "name":
+            add(x if x in _JS_WORDS else "i")
+        elif kind == "bad":
+            add(_BAD_TEXT)
+        else:
+            if ticks and x == "{":
+                ticks[-1] += 1
+            elif ticks and x == "}":
+                if not ticks[-1]:
+                    add(")")
+                    add("+")
+                    i = template(i)
+                    continue
+                ticks[-1] -= 1
+            add(x)
+    return out, lines
+
+
+class JavaScript(_Parser):
+    BINARY = {",": 0, "?": 2, "??": 3, "||": 3, "&&": 4, "|": 5, "^": 6, "&": 7, "==": 8, "!=": 8, "===": 8, "!==": 8, "<": 9, ">": 9, "<=": 9, ">=": 9, "instanceof": 9, "in": 9, "<<": 10, ">>": 10, ">>>": 10, "+": 11, "-": 11, "*": 12, "/": 12, "%": 12, "**": 13} | {
+        x: 1 for x in "= += -= *= /= %= **= <<= >>= >>>= &= |= ^= &&= ||= ??=".split()
+    }
+    RIGHT = frozenset("= += -= *= /= %= **= <<= >>= >>>= &= |= ^= &&= ||= ??= **".split())
+
+    def __init__(self, kinds: list[str], lines: list[bool]):
+        super().__init__(kinds)
+        self.nl = [*lines, True, True, True, True]
+        self.no_in = False
+
+    def program(self):
+        t = self.t
+        while t[self.i]:
+            start = self.i
+            try:
+                self.statement()
+            except (SyntaxFault, RecursionError) as e:
+                self.recover(e if isinstance(e, SyntaxFault) else SyntaxFault(start, "nested too deeply"), start)
+                if t[self.i] == "}":
+                    self.i += 1
+        return self.errors
+
+    def end(self):
+        """A semicolon, or where one is put automatically."""
+        if not self.take(";") and self.t[self.i] not in ("}", "") and not self.nl[self.i]:
+            self.fail("expected ; before " + self.t[self.i])
+
+    def block(self):
+        self.need("{")
+        while self.t[self.i] not in ("}", ""):
+            start = self.i
+            try:
+                self.statement()
+            except SyntaxFault as e:
+                self.recover(e, start)
+        self.need("}")
+
+    def identifier(self):
+        if self.t[self.i] not in _JS_SOFT:
+            self.fail("expected a name")
+        self.i += 1
+
+    def statement(self):
+        t = self.t
+        x = t[self.i]
+        if x == "{":
+            self.block()
+        elif x == ";":
+            self.i += 1
+        elif x in ("var", "const") or x == "let" and t[self.i + 1] in ("i", "[", "{", "async", "of", "get", "set"):
+            self.i += 1
+            self.bindings(x == "const")
+            self.end()
+        elif x == "function" or x == "async" and t[self.i + 1] == "function" and not self.nl[self.i + 1]:
+            self.function(True)
+        elif x == "class":
+            self.klass(True)
+        elif x == "if":
+            self.i += 1
+            self.parens()
+            self.statement()
+            if self.take("else"):
+                self.statement()
+        elif x == "while" or x == "with":
+            self.i += 1
+            self.parens()
+            self.statement()
+        elif x == "do":
+            self.i += 1
+            self.statement()
+            self.need("while")
+            self.parens()
+            self.take(";")
+        elif x == "for":
+            self.loop()
+        elif x == "switch":
+            self.i += 1
+            self.parens()
+            self.need("{")
+            while t[self.i] not in ("}", ""):
+                if self.take("case"):
+                    self.expression()
+                elif not self.take("default"):
+                    self.fail()
+                self.need(":")
+                while t[self.i] not in ("case", "default", "}", ""):
+                    self.statement()
+            self.need("}")
+        elif x == "try":
+            self.i += 1
+            self.block()
+            caught = self.take("catch")
+            if caught:
+                if self.take("("):
+                    self.binding()
+                    self.need(")")
+                self.block()
+            if self.take("finally"):
+                self.block()
+            elif not caught:
+                self.fail("try without catch")
+        elif x in ("return", "throw"):
+            self.i += 1
+            if t[self.i] not in (";", "}", "") and not self.nl[self.i]:
+                self.expression()
+            elif x == "throw":
+                self.fail()
+            self.end()
+        elif x in ("break", "continue"):
+            self.i += 1
+            if t[self.i] in _JS_SOFT and not self.nl[self.i]:
+                self.i += 1
+            self.end()
+        elif x == "debugger":
+            self.i += 1
+            self.end()
+        elif x == "import" and t[self.i + 1] not in ("(", "."):
+            self.i += 1
+            if not self.take("s"):
+                while True:
+                    if self.take("*"):
+                        self.need_word()
+                        self.identifier()
+                    elif t[self.i] == "{":
+                        self.names()
+                    else:
+                        self.identifier()
+                    if not self.take(","):
+                        break
+                self.need_word()
+                self.need("s")
+            if t[self.i] in ("with", "i") and t[self.i + 1] == "{" and not self.nl[self.i]:
+                self.i += 1
+                self.literal()
+            self.end()
+        elif x == "export":
+            self.i += 1
+            if self.take("default"):
+                if t[self.i] in ("function", "class", "async"):
+                    self.function(False) if t[self.i] != "class" else self.klass(False)
+                else:
+                    self.expression(1)
+                    self.end()
+            elif self.take("*"):
+                if t[self.i] == "i" and t[self.i + 1] != "s":
+                    self.i += 2
+                self.need_word()
+                self.need("s")
+                self.end()
+            elif t[self.i] == "{":
+                self.names()
+                if t[self.i] == "i" and t[self.i + 1] == "s":
+                    self.i += 2
+                self.end()
+            else:
+                if t[self.i] not in ("var", "let", "const", "function", "class", "async"):
+                    self.fail()
+                self.statement()
+        elif x in _JS_SOFT and t[self.i + 1] == ":":
+            self.i += 2
+            self.statement()
+        else:
+            self.expression()
+            self.end()
+
+    def need_word(self):
+        """``from`` or ``as``, which are ordinary names elsewhere."""
+        self.need("i")
+
+    def names(self):
+        self.need("{")
+        while self.t[self.i] != "}":
+            self.i += 1
+            if self.t[self.i] == "i" and self.t[self.i + 1] not in (",", "}"):
+                self.i += 2
+            elif self.t[self.i] == "i":
+                self.fail()
+            if not self.take(","):
+                break
+        self.need("}")
+
+    def loop(self):
+        self.need("for")
+        self.take("await")
+        self.need("(")
+        t = self.t
+        self.no_in = True
+        if t[self.i] in ("var", "let", "const"):
+            self.i += 1
+            self.bindings(False)
+        elif t[self.i] != ";":
+            self.expression()
+        self.no_in = False
+        if t[self.i] in ("of", "in"):
+            self.i += 1
+            self.expression()
+        else:
+            self.need(";")
+            if t[self.i] != ";":
+                self.expression()
+            self.need(";")
+            if t[self.i] != ")":
+                self.expression()
+        self.need(")")
+        self.statement()
+
+    def bindings(self, valued: bool):
+        while True:
+            pattern = self.t[self.i] in ("[", "{")
+            self.binding()
+            if self.take("="):
+                self.expression(1)
+            elif (valued or pattern) and self.t[self.i] not in ("of", "in") and not self.no_in:
+                self.fail("a value is missing")
+            if not self.take(","):
+                return
+
+    def binding(self):
+        if self.t[self.i] in ("[", "{"):
+            self.literal()
+        else:
+            self.identifier()
+
+    def parens(self):
+        self.need("(")
+        held, self.no_in = self.no_in, False
+        self.expression()
+        self.no_in = held
+        self.need(")")
+
+    def function(self, named: bool):
+        self.take("async")
+        self.need("function")
+        self.take("*")
+        if named or self.t[self.i] != "(":
+            self.identifier()
+        self.parameters()
+        self.body()
+
+    def body(self):
+        held, self.no_in = self.no_in, False
+        self.block()
+        self.no_in = held
+
+    def parameters(self):
+        self.need("(")
+        held, self.no_in = self.no_in, False
+        while self.t[self.i] != ")":
+            self.take("...")
+            self.binding()
+            if self.take("="):
+                self.expression(1)
+            if not self.take(","):
+                break
+        self.need(")")
+        self.no_in = held
+
+    def key(self):
+        x = self.t[self.i]
+        if x == "[":
+            self.i += 1
+            self.expression(1)
+            self.need("]")
+        elif x in ("s", "0", "i") or x in _JS_WORDS:
+            self.i += 1
+        elif x == "(":  # a template where a key must stand
+            self.fail()
+        else:
+            self.fail()
+
+    def klass(self, named: bool):
+        self.need("class")
+        t = self.t
+        if named or t[self.i] == "i":
+            self.identifier()
+        if self.take("extends"):
+            self.unary()
+        self.need("{")
+        while t[self.i] not in ("}", ""):
+            if self.take(";"):
+                continue
+            if t[self.i] == "static" and t[self.i + 1] == "{":
+                self.i += 1
+                self.block()
+                continue
+            while t[self.i] in ("static", "async", "get", "set") and t[self.i + 1] not in ("(", "=", ";", "}"):
+                self.i += 1
+            self.take("*")
+            self.key()
+            if t[self.i] == "(":
+                self.parameters()
+                self.body()
+            else:
+                if self.take("="):
+                    self.expression(1)
+                self.end()
+        self.need("}")
+
+    def literal(self):
+        """An array or object, also as a pattern."""
+        t = self.t
+        held, self.no_in = self.no_in, False
+        if self.take("["):
+            while t[self.i] != "]":
+                if self.take(","):
+                    continue
+                self.take("...")
+                self.expression(1)
+                if t[self.i] != "]":
+                    self.need(",")
+            self.need("]")
+        else:
+            self.need("{")
+            while t[self.i] != "}":
+                if self.take("..."):
+                    self.expression(1)
+                else:
+                    plain = t[self.i] in _JS_SOFT and t[self.i + 1] in (",", "}", "=")
+                    if plain:
+                        self.i += 1
+                        if self.take("="):
+                            self.expression(1)
+                    else:
+                        while t[self.i] in ("async", "get", "set") and t[self.i + 1] not in ("(", ":", ",", "}"):
+                            self.i += 1
+                        self.take("*")
+                        self.key()
+                        if t[self.i] == "(":
+                            self.parameters()
+                            self.body()
+                        else:
+                            self.need(":")
+                            self.expression(1)
+                if not self.take(","):
+                    break
+            self.need("}")
+        self.no_in = held
+
+    def arrow(self) -> bool:
+        """An arrow function, if one begins here."""
+        t, i = self.t, self.i
+        if t[i] == "async" and t[i + 1] in ("(", "i") and not self.nl[i + 1]:
+            i += 1
+        if t[i] in _JS_SOFT and t[i + 1] == "=>":
+            self.i = i + 2
+        elif t[i] == "(":
+            depth, j = 0, i
+            while t[j]:
+                depth += (t[j] in _OPEN) - (t[j] in _CLOSE)
+                j += 1
+                if not depth:
+                    break
+            if t[j] != "=>":
+                return False
+            self.i = i
+            self.parameters()
+            self.need("=>")
+        else:
+            return False
+        if t[self.i] == "{":
+            self.body()
+        else:
+            self.expression(1)
+        return True
+
+    def expression(self, least: int = 0):
+        if least <= 1 and self.arrow():
+            if least == 0 and self.take(","):
+                self.expression(0)
+            return
+        t = self.t
+        if t[self.i] == "yield" and least <= 1:
+            self.i += 1
+            self.take("*")
+            if t[self.i] not in (")", "]", "}", ",", ";", ":", "") and not self.nl[self.i]:
+                self.expression(1)
+            return
+        start = self.i
+        self.unary()
+        while True:
+            op = t[self.i]
+            p = self.BINARY.get(op, -1)
+            if p < least or op == "in" and self.no_in:
+                return
+            if p == 1 and t[self.i - 1] not in ("i", "]", "}", ")") and t[self.i - 1] not in _JS_WORDS or p == 1 and t[start] in ("0", "s") and self.i == start + 1:
+                self.fail("cannot assign here")
+            self.i += 1
+            if op == "?":
+                held, self.no_in = self.no_in, False
+                self.expression(1)
+                self.no_in = held
+                self.need(":")
+                self.expression(1)
+            else:
+                self.expression(p if op in self.RIGHT else p + 1)
+
+    def unary(self):
+        t = self.t
+        while t[self.i] in ("!", "~", "+", "-", "++", "--", "typeof", "void", "delete", "await"):
+            if t[self.i] == "await" and t[self.i + 1] in (")", ",", ";", "=", "."):
+                break
+            self.i += 1
+        x = t[self.i]
+        if x == "new":
+            self.i += 1
+            if self.take("."):
+                self.i += 1
+            else:
+                self.unary()
+                return
+        elif x == "function" or x == "async" and t[self.i + 1] == "function":
+            self.function(False)
+        elif x == "class":
+            self.klass(False)
+        elif x == "(":
+            self.parens()
+        elif x in ("[", "{"):
+            self.literal()
+        elif x in ("0", "s", "this", "super", "null", "true", "false", "import") or x in _JS_SOFT:
+            self.i += 1
+            if x == "import":
+                if t[self.i] not in ("(", "."):
+                    self.fail()
+        else:
+            self.fail()
+        while True:
+            x = t[self.i]
+            if x in (".", "?."):
+                self.i += 1
+                if x == "?." and t[self.i] in ("(", "["):
+                    continue
+                if t[self.i] != "i" and t[self.i] not in _JS_WORDS:
+                    self.fail()
+                self.i += 1
+            elif x == "[":
+                self.i += 1
+                held, self.no_in = self.no_in, False
+                self.expression()
+                self.no_in = held
+                self.need("]")
+            elif x == "(":
+                self.i += 1
+                held, self.no_in = self.no_in, False
+                while t[self.i] != ")":
+                    self.take("...")
+                    self.expression(1)
+                    if not self.take(","):
+                        break
+                self.need(")")
+                self.no_in = held
+            elif x in ("++", "--") and not self.nl[self.i]:
+                self.i += 1
+            else:
+                return
+
+
+def check_javascript(text: str) -> list[str]:
+    kinds, lines = _js_tokens(text)
+    return [w for _, w in JavaScript(kinds, lines).program()]
+
+
+# ---------------------------------------------------------------------------------------------------------- the table
+
+# The language an extension stands for.
+LANGUAGES = {"cc": "C++", "cpp": "C++", "cxx": "C++", "c++": "C++", "h": "C++", "hh": "C++", "hpp": "C++", "hxx": "C++", "py": "Python", "js": "JavaScript", "mjs": "JavaScript", "cjs": "JavaScript"}
+_CHECKS = {"C++": check_cpp, "Python": check_python, "JavaScript": check_javascript}
+
+
+def language(path: Column) -> Column:
+    """The language of a path's extension, null where it stands for none."""
+    ext = F.lower(F.regexp_extract(path, r"\.([^./\\]+)$", 1))
+    return F.coalesce(*[F.when(ext.isin([e for e, x in LANGUAGES.items() if x == lang]), lang) for lang in _CHECKS])
+
+
+def faults(text: str, lang: str) -> list[str]:
+    """All syntax errors of a text, the first being their cause."""
+    text = text.removeprefix("\ufeff").replace("\r\n", "\n").replace("\r", "\n")
+    try:
+        found = _CHECKS[lang](text)
+    except RecursionError:
+        found = ["nested too deeply"]
+    if found and lang == "Python":  # what this parser rejects, the exact one may still accept
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                ast.parse(text)
+            return []
+        except (SyntaxError, ValueError, RecursionError, MemoryError):
+            pass
+    return found
+
+
+def _judge(batches):
+    for b in batches:
+        out = [faults(c.decode("utf-8", "replace"), lang) for c, lang in zip(b.column("content").to_pylist(), b.column("language").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("file_id"), b.column("repo"), b.column("language"), pa.array([len(x) for x in out], pa.int32()), pa.array([x[0] if x else None for x in out], pa.string()), pa.array(out, pa.list_(pa.string()))],
+            names=["file_id", "repo", "language", "n_errors", "first_error", "errors"],
+        )
+
+
+def parsed_files(files: DataFrame) -> DataFrame:
+    """(file_id, repo, language, n_errors, first_error, errors) of every file in one of the three languages.
+
+    Takes ``file_id, repo, file_path, content``. Null content counts as empty, and empty files are valid; bytes that are
+    no UTF-8 are errors where they are no comment or string. Files of other extensions, or with a null path, are left
+    out. Repeated rows come out repeatedly; other columns are ignored.
+    """
+    rows = files.select("file_id", "repo", F.coalesce("content", F.lit(b"")).alias("content"), language(F.col("file_path")).alias("language")).where("language is not null")
+    kind = dict(rows.dtypes)["file_id"]
+    return rows.mapInArrow(_judge, f"file_id {kind}, repo string, language string, n_errors int, first_error string, errors array<string>")
+
+
+def acceptance(parsed: DataFrame) -> DataFrame:
+    """Files, invalid files and their rate for each repository and language."""
+    bad = F.sum((F.col("n_errors") > 0).cast("long"))
+    return parsed.groupBy("repo", "language").agg(F.count("*").alias("files"), bad.alias("invalid"), F.round(bad / F.count("*"), 6).alias("invalid_rate"))
