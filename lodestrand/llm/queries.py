@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import table
-from . import funcdocs, neardup, neighbors, syntax
+from . import funcdocs, neardup, neighbors, origin, syntax
 from .common import newest_rows
 
 
@@ -34,6 +34,17 @@ def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
     return funcdocs.described_functions(table(spark, d, "code_entity"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return origin.file_origins(table(spark, d, "source_file")).where("origin <> 'handwritten'").select("file_id").distinct()
+
+
+def p6_repositories(spark: SparkSession, d: str) -> DataFrame:
+    """How many files of each origin a repository has."""
+    kinds = ["handwritten", "generated", "minified", "vendored", "blob"]
+    o = origin.file_origins(table(spark, d, "source_file"))
+    return o.groupBy("repo").agg(F.count("*").alias("files"), *[F.count_if(F.col("origin") == k).alias(k) for k in kinds])
+
+
 def _entity_pairs(spark: SparkSession, d: str) -> DataFrame:
     e = newest_rows(table(spark, d, "code_entity").select("entity_id", "code_text", "ingested_at"), "entity_id", "ingested_at")
     return neardup.similar_pairs(e, "entity_id", "code_text", threshold=0.6, width=3, min_words=30)
@@ -48,5 +59,5 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p7_found": p7_found, "p7_groups": p7_groups}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups}
 SQL: dict[str, str] = {}

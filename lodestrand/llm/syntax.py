@@ -2300,8 +2300,8 @@ def check_javascript(text: str) -> list[str]:
 
 # ---------------------------------------------------------------------------------------------------------- the table
 
-# The language an extension stands for.
-LANGUAGES = {"cc": "C++", "cpp": "C++", "cxx": "C++", "c++": "C++", "h": "C++", "hh": "C++", "hpp": "C++", "hxx": "C++", "py": "Python", "js": "JavaScript", "mjs": "JavaScript", "cjs": "JavaScript"}
+# The language an extension stands for; C counts as C++.
+LANGUAGES = {"c": "C++", "cc": "C++", "cpp": "C++", "cxx": "C++", "c++": "C++", "h": "C++", "hh": "C++", "hpp": "C++", "hxx": "C++", "py": "Python", "js": "JavaScript", "mjs": "JavaScript", "cjs": "JavaScript"}
 _CHECKS = {"C++": check_cpp, "Python": check_python, "JavaScript": check_javascript}
 
 
