@@ -9,6 +9,7 @@ are then verified on the whole sets.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from ..plans.session import cut, lookup
 
-SKETCH = 1 << 18  # counters of the sketch: the size of what is broadcast, whatever the data
+SKETCH = 1 << 22  # counters of the sketch; one byte each is broadcast, whatever the data
+BLOCK = 1 << 12  # counters that travel together
 _WORD = re.compile("[a-z0-9_]+")
 # Odd multipliers that mix word hashes into shingle hashes.
 _ODD, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -63,16 +65,30 @@ def _lists(n: np.ndarray, values: np.ndarray) -> pa.ListArray:
 
 
 def _sketch(width: int, least: int):
+    """The counts of a task, as compressed blocks of counters."""
+
     def run(batches):
-        total, seen = np.zeros(SKETCH, "i8"), {}
+        total, seen = np.zeros(SKETCH, "u4"), {}
         for b in batches:
-            total += np.bincount(_sets(b, width, least, seen)[0] & (SKETCH - 1), minlength=SKETCH)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
+            at, n = np.unique(_sets(b, width, least, seen)[0] & (SKETCH - 1), return_counts=True)
+            total[at] += n.astype("u4")
+        blocks = total.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        packed = [zlib.compress(blocks[k].tobytes(), 3) for k in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
     return run
 
 
+def _add_blocks(t: pa.Table) -> pa.Table:
+    """One block's counts over all tasks, on a logarithmic scale of one byte."""
+    total = np.zeros(BLOCK, "u8")
+    for x in t.column("counts").to_pylist():
+        total += np.frombuffer(zlib.decompress(x), "u4")
+    scale = np.minimum(255, np.round(8 * np.log2(1 + total))).astype("u1")
+    return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "counts": pa.array([scale.tobytes()], pa.binary())})
+
+
 def _prefixes(counts, width: int, least: int, threshold: float):
     """(id, n, key, prefix): the number of shingles, a hash of the prefix, and its shingles cut to 32 bits, rarest first."""
 
@@ -117,9 +133,10 @@ def similar_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8,
     spark, least = df.sparkSession, max(width, min_words)
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
     id_type = dict(rows.dtypes)["id"]
-    sums = rows.select("text").mapInArrow(_sketch(width, least), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    freq = np.zeros(SKETCH, "i8")
-    freq[sums["bucket"].to_numpy("i8")] = sums["n"].to_numpy("i8")
+    freq = np.zeros((SKETCH // BLOCK, BLOCK), "u1")
+    for r in rows.select("text").mapInArrow(_sketch(width, least), "block int, counts binary").groupBy("block").applyInArrow(_add_blocks, "block int, counts binary").collect():
+        freq[r[0]] = np.frombuffer(r[1], "u1")
+    freq = freq.ravel()
     prefixed = cut(rows.mapInArrow(_prefixes(spark.sparkContext.broadcast(freq), width, least, threshold), f"id {id_type}, n int, key long, prefix array<int>"))
     # Records with equal prefixes and sizes are one group, named by its smallest id.
     crowds = prefixed.groupBy("n", "key").agg(F.min("id").alias("gid"), F.count("*").alias("c")).where("c > 1").drop("c")
