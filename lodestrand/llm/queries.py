@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import table
-from . import funcdocs, neardup, neighbors, origin, syntax
+from . import funcdocs, mixing, mojibake, neardup, neighbors, origin, packing, syntax, tokens
 from .common import newest_rows
 
 
@@ -59,5 +59,33 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups}
+def p8_placements(spark: SparkSession, d: str) -> DataFrame:
+    """The container of every document, or of each piece of one that is longer than a container."""
+    sizes = tokens.with_token_counts(table(spark, d, "documents").select("doc_id", "text"))
+    return packing.packed(sizes, table(spark, d, "pack_spec"), "doc_id", "n_tokens")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p8_placements(spark, d))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of every mix, once for each use."""
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(p9_mix(spark, d), table(spark, d, "mix_target"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.restored_documents(table(spark, d, "documents")).where("garbled").select("doc_id").distinct()
+
+
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The documents with restored words, and their texts."""
+    return mojibake.restored_documents(table(spark, d, "documents")).where("words > 0").select("doc_id", "words", "restored")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups, "p8_placements": p8_placements, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
 SQL: dict[str, str] = {}
