@@ -47,7 +47,7 @@ def best_fit(sizes: list[int], capacity: int, open_bins: int) -> list[int]:
 
 
 def _pack(open_bins: int):
-    def group(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["order", "item", "piece"], kind="stable")
         capacity = int(pdf["capacity"].iloc[0])
         pdf["bin"] = best_fit(pdf["n_tokens"].tolist(), capacity, open_bins)

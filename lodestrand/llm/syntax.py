@@ -514,9 +514,11 @@ class Cpp(_Parser):
         self.need("[")
         t = self.t
         while t[self.i] != "]":
-            while t[self.i] in ("&", "=", "*", "...") and t[self.i + 1] != "]" and t[self.i] != "=":
-                self.i += 1
-            if t[self.i] in ("&", "="):
+            default = t[self.i] == "=" or t[self.i] == "&" and t[self.i + 1] in (",", "]")
+            if not default:
+                self.take("&") or self.take("*")
+                self.take("...")
+            if default:
                 self.i += 1
             elif t[self.i] in ("i", "M", "this"):
                 self.i += 1
