@@ -11,61 +11,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import cut, tasks
+from ..plans.session import cut
 
 
-def numbered_chunks(df: DataFrame, keys: list[str], order: list[str], chunk_rows: int = 1_000_000) -> DataFrame:
-    """``df`` with ``_row`` (its exact number in (keys, order) from 0) and ``_chunk`` (``_row`` div ``chunk_rows``).
+def numbered_chunks(df: DataFrame, order: list[str], chunk_rows: int) -> DataFrame:
+    """``df`` with ``_row``, its exact number in ``order`` from 0, and ``_chunk``, that number div ``chunk_rows``.
 
-    Nulls sort first and count as values. Ties may be numbered either way. An empty table stays empty. The only thing
-    broadcast is one row for each task of the sort.
+    Nulls sort first. Ties may be numbered either way. An empty table stays empty. The only thing broadcast is one row
+    for each task of the sort.
     """
-    spark = df.sparkSession
-    for c in ("_row", "_chunk", "_part", "_at"):
-        if c in df.columns:
-            raise ValueError(f"column {c} is taken")
-    sort = [F.col(f"`{c}`") for c in [*keys, *order]]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    at = F.monotonically_increasing_id()
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = cut(
-        df.repartitionByRange(n, *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn("_at", at)
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id())
         .withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)})
     )
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     starts = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_start"))
-    return (
-        placed.join(F.broadcast(starts), "_part")  # one row per task of the sort
-        .withColumn("_row", F.col("_start") + F.col("_at"))
-        .withColumn("_chunk", F.floor(F.col("_row") / chunk_rows))
-        .drop("_part", "_at", "_start")
-    )
+    numbered = placed.join(F.broadcast(starts), "_part").withColumn("_row", F.col("_start") + F.col("_at"))  # one row per task
+    return numbered.withColumn("_chunk", F.floor(F.col("_row") / chunk_rows)).drop("_part", "_at", "_start")
 
 
-def chunk_states(df: DataFrame, keys: list[str], value: str, rows: str, chunk_rows: int = 1_000_000) -> DataFrame:
-    """One state for each chunk and key: rows, distinct non-null values, the smallest and the largest value."""
-    k = [F.col(f"`{c}`") for c in keys]
-    chunks = numbered_chunks(df, keys, [value], chunk_rows)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_value = chunks.repartition(n, "_chunk").groupBy("_chunk", *k, F.col(f"`{value}`").alias("_value")).agg(F.sum(rows).alias("_rows"))
-    return by_value.groupBy("_chunk", *k).agg(
-        F.sum("_rows").alias("_rows"), F.count("_value").alias("_values"), F.min("_value").alias("_first"), F.max("_value").alias("_last")
-    )
+def chunk_states(counted: DataFrame, chunk_rows: int) -> DataFrame:
+    """One state for each chunk and key of (k, v, n): rows, distinct non-null values, the smallest and largest value."""
+    chunks = numbered_chunks(counted, ["k", "v"], chunk_rows)
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_value = chunks.repartition(parts, "_chunk").groupBy("_chunk", "k", "v").agg(F.sum("n").alias("n"))
+    return by_value.groupBy("_chunk", "k").agg(F.sum("n").alias("rows"), F.count("v").alias("values"), F.min("v").alias("first"), F.max("v").alias("last"))
 
 
-def key_counts(df: DataFrame, keys: list[str], value: str, chunk_rows: int = 1_000_000) -> DataFrame:
+def key_counts(df: DataFrame, keys: list[str], value: str, chunk_rows: int = 200_000) -> DataFrame:
     """For each combination of ``keys``: ``n_rows``, and ``n_values`` as the number of distinct non-null ``value``.
 
     Equal (keys, value) rows are added up before the first shuffle, so repeated rows cost nothing there. Null keys are
-    a group of their own; a key whose values are all null has ``n_values`` 0. Columns beside keys and value are ignored.
+    a group of their own; a key whose values are all null has ``n_values`` 0; an empty table has no keys. Columns beside
+    keys and value are ignored, whatever their names.
     """
-    pre = df.groupBy(*[F.col(f"`{c}`") for c in [*keys, value]]).agg(F.count("*").alias("_n"))
-    states = chunk_states(pre, keys, value, "_n", chunk_rows)
+    k = F.struct(*[F.col(f"`{c}`") for c in keys])
+    counted = df.select(k.alias("k"), F.col(f"`{value}`").alias("v")).groupBy("k", "v").agg(F.count("*").alias("n"))
+    states = chunk_states(counted, chunk_rows)
     # A key's states in chunk order: a value that ends one chunk and begins the next is one value.
-    before = Window.partitionBy(*[F.col(f"`{c}`") for c in keys]).orderBy("_chunk")
-    prior = F.last("_last", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    merged = states.withColumn("_again", F.coalesce((prior == F.col("_first")).cast("int"), F.lit(0)))
-    return merged.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(
-        F.sum("_rows").alias("n_rows"), (F.sum("_values") - F.sum("_again")).cast("long").alias("n_values")
-    )
+    before = Window.partitionBy("k").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    again = F.coalesce((F.last("last", ignorenulls=True).over(before) == F.col("first")).cast("int"), F.lit(0))
+    merged = states.withColumn("again", again).groupBy("k").agg(F.sum("rows").alias("n_rows"), (F.sum("values") - F.sum("again")).cast("long").alias("n_values"))
+    return merged.select("k.*", "n_rows", "n_values")

@@ -66,11 +66,6 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tasks(spark: SparkSession, rows: int, per_task: int) -> int:
-    """How many tasks share ``rows`` rows: by size, at least the session's shuffle parallelism."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
-
-
 def lookup(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", broadcast_rows: int = 200_000) -> DataFrame:
     """Join with a side that is usually small: written, counted, and broadcast up to ``broadcast_rows``, else shuffled."""
     small = cut(small)
