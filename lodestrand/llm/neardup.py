@@ -141,7 +141,7 @@ def similar_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8,
     # Records with equal prefixes and sizes are one group, named by its smallest id.
     crowds = prefixed.groupBy("n", "key").agg(F.min("id").alias("gid"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = cut(lookup(prefixed.select("id", "n", "key"), crowds, ["n", "key"], "inner").select("gid", "id"))
-    heads = lookup(prefixed, members.where("gid <> id").select("id"), "id", "left_anti")
+    heads = lookup(prefixed, members.where("gid <> id").select("id"), "id", "left_anti", written=True)
     at = heads.select(F.col("id").alias("gid"), "n", F.posexplode("prefix").alias("p", "s")).select("s", "gid", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("p").cast("long")).alias("np"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = at.repartition(parts, "s")
@@ -155,7 +155,7 @@ def similar_pairs(df: DataFrame, id_col: str, text: str, threshold: float = 0.8,
     across = met.select("ga", "gb").distinct()
     pairs = across.unionByName(members.select(F.col("gid").alias("ga"), F.col("gid").alias("gb")).distinct())
     for side in ("a", "b"):
-        pairs = lookup(pairs, members.withColumnsRenamed({"gid": f"g{side}", "id": side}), f"g{side}").withColumn(side, F.coalesce(side, f"g{side}"))
+        pairs = lookup(pairs, members.withColumnsRenamed({"gid": f"g{side}", "id": side}), f"g{side}", written=True).withColumn(side, F.coalesce(side, f"g{side}"))
     pairs = cut(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     known = cut(lookup(rows, named, "id", "left_semi").mapInArrow(_shingled(width, least), f"id {id_type}, shingles array<long>"))

@@ -183,13 +183,13 @@ def most_similar(
     if m > 1:  # how crowded the shards are, by a sample of their rows
         share = np.bincount((sample[m:] @ pivots.T).argmax(axis=1), minlength=m) / max(1, len(sample) - m)
         splits = np.maximum(1, np.ceil(share * n / (4 * shard_rows))).astype("i8")
-    reps = lookup(lookup(v, members.where("id <> rep").select("id"), "id", "left_anti"), firsts, "id")
+    reps = lookup(lookup(v, members.where("id <> rep").select("id"), "id", "left_anti", written=True), firsts, "id")
     routed = reps.select("id", "vector", "ids").mapInArrow(_router(pivots, splits, 2 * radius / relax_route), _ROUTED)
     hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, radius / relax_tree, leaf), _HITS)
     # A group's own ids are hits of each other.
     own = firsts.select("id", F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("s"), i.alias("other"))).alias("top"))
     merged = hits.unionByName(own).groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("top")))), 1, k + 1).alias("top"))
-    everyone = lookup(merged, members.withColumnsRenamed({"id": "member", "rep": "id"}), "id")
+    everyone = lookup(merged, members.withColumnsRenamed({"id": "member", "rep": "id"}), "id", written=True)
     named = everyone.select(F.coalesce("member", "id").alias("id"), "top")
     each = named.select("id", F.explode(F.slice(F.filter("top", lambda x: x["other"] != F.col("id")), 1, k)).alias("x"))
     return each.select("id", F.col("x.other").alias("other"), (-F.col("x.s")).alias("sim"))
