@@ -26,14 +26,19 @@ def collapse(c: Column | str) -> Column:
     return strip(F.regexp_replace(_c(c), f"{WS}+", " "))
 
 
+def _where_odd(c: Column, change) -> Column:
+    """Apply ``change`` only to texts with a character other than printable ASCII without blanks; the rest has none to change."""
+    return F.when(c.rlike(r"[^\x21-\x7e]"), change(c)).otherwise(c)
+
+
 def tight_scopes(c: Column | str) -> Column:
     """Remove white space around ``::`` and at the ends."""
-    return strip(F.regexp_replace(_c(c), f"{WS}*::{WS}*", "::"))
+    return _where_odd(_c(c), lambda x: strip(F.regexp_replace(x, f"{WS}*::{WS}*", "::")))
 
 
 def cpp_name(c: Column | str) -> Column:
     """Normal form of a C++ name: no blanks around ``::`` or before a destructor's ``~``, single blanks elsewhere."""
-    return collapse(F.regexp_replace(tight_scopes(c), f"::{WS}*~", "::~"))
+    return _where_odd(_c(c), lambda x: collapse(F.regexp_replace(strip(F.regexp_replace(x, f"{WS}*::{WS}*", "::")), f"::{WS}*~", "::~")))
 
 
 def signature_hash(signature: Column | str, length: int = 12) -> Column:

@@ -35,9 +35,7 @@ def drop_reason(src_uri: Column, tgt_uri: Column, relation: Column) -> Column:
     """Why an edge can't be in the graph, or null."""
     kind = lambda u: F.get(F.split(u, "::", -1), F.lit(2))
     short = lambda u: u.isNull() | (F.size(F.split(u, "::", -1)) < 4)
-    fits = F.lit(False)
-    for r, pairs in ALLOWED.items():
-        fits = fits | ((relation == r) & F.concat_ws(">", kind(src_uri), kind(tgt_uri)).isin([f"{a}>{b}" for a, b in pairs]))
+    fits = F.concat_ws(">", relation, kind(src_uri), kind(tgt_uri)).isin([f"{r}>{x}>{y}" for r, pairs in ALLOWED.items() for x, y in pairs])
     return F.when(short(src_uri) | short(tgt_uri), "malformed_uri").when(~fits, "type_pair_not_allowed")
 
 

@@ -9,7 +9,7 @@ from threading import Timer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.session import cut
+from ..plans.session import cut, lookup
 
 RELATIONSHIPS = ("CALLS", "INHERITS", "OVERRIDES", "USES_TYPE")
 
@@ -28,8 +28,8 @@ def blast_radius(edges: DataFrame, roots: DataFrame, max_depth: int = 5, upstrea
     """(node, depth, chain): what reaches the roots (or is reached), with its least distance and relationship chain.
 
     ``edges`` has (src, tgt, relationship_type), ``roots`` one column ``node``. The roots are left out; of several
-    shortest chains the smallest counts. Each level is one join with the links not yet used, written to the shared
-    folder; a level that finds nothing ends the search.
+    shortest chains the smallest counts. Each level is one pass over the links, with what it
+    found written to the shared folder; a level that finds nothing ends the search.
     """
     if max_depth < 1:
         raise ValueError("max_depth must be at least 1")
@@ -39,8 +39,10 @@ def blast_radius(edges: DataFrame, roots: DataFrame, max_depth: int = 5, upstrea
     seen = roots.select("node").distinct().withColumns({"depth": F.lit(0), "chain": F.array().cast("array<string>")})
     front = seen = cut(seen)
     for depth in range(1, max_depth + 1):
-        step = front.join(links, "node").groupBy("next").agg(F.min(F.concat("chain", F.array("relationship_type"))).alias("chain"))
-        front = cut(step.select(F.col("next").alias("node"), F.lit(depth).alias("depth"), "chain").join(seen.select("node"), "node", "left_anti"))
+        met = lookup(links, front.select("node", "chain"), "node", "inner", written=True)
+        step = met.groupBy("next").agg(F.min(F.concat("chain", F.array("relationship_type"))).alias("chain"))
+        found = step.select(F.col("next").alias("node"), F.lit(depth).alias("depth"), "chain")
+        front = cut(lookup(found, seen.select("node"), "node", "left_anti", written=True))
         if front.isEmpty():
             break
         seen = seen.unionByName(front)

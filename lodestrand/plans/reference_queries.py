@@ -15,7 +15,7 @@ from ..operators.vectors import newest_points, points
 from ..sources import cpp
 from .general_queries import SQL as GENERAL
 from .general_queries import _clean, inherits_links
-from .session import lookup, table
+from .session import cut, lookup, table
 
 MONITORED = ("mica", "tessel", "lumen", "base")
 IGNORED = ("obsv", "memory")
@@ -384,7 +384,7 @@ def _root(edges: DataFrame) -> str:
 select node, min(depth) as depth from walk group by node having min(depth) > 0""",
 )
 def qry_blast_radius(spark: SparkSession, d: str) -> DataFrame:
-    e = _valid(spark, d)
+    e = cut(_valid(spark, d))
     roots = spark.createDataFrame([(_root(e),)], "node string")
     return search.blast_radius(e, roots, 5).select("node", "depth")
 
@@ -395,7 +395,7 @@ def qry_blast_radius(spark: SparkSession, d: str) -> DataFrame:
 r as (select *, row_number() over (partition by direction order by relationship_type, neighbor) as r from a) select direction, relationship_type, neighbor from r where r <= 200""",
 )
 def qry_neighbors(spark: SparkSession, d: str) -> DataFrame:
-    e = _valid(spark, d)
+    e = cut(_valid(spark, d))
     return search.neighbors(e, _root(e))
 
 

@@ -66,7 +66,10 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", broadcast_rows: int = 200_000) -> DataFrame:
-    """Join with a side that is usually small: written, counted, and broadcast up to ``broadcast_rows``, else shuffled."""
-    small = cut(small)
+def lookup(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", broadcast_rows: int = 200_000, written: bool = False) -> DataFrame:
+    """Join with a side that is usually small: counted, and broadcast up to ``broadcast_rows``, else shuffled.
+
+    It is written first, so that counting doesn't compute it twice, unless it is ``written`` already.
+    """
+    small = small if written else cut(small)
     return df.join(F.broadcast(small) if small.count() <= broadcast_rows else small, on, how)
