@@ -72,73 +72,89 @@ def _data_lines(text: str) -> bool:
 
 def _features(long_rule: int, instance: int, least_uses: int):
     """Per file: what the rules say, and hashes of the exact text under longer rules."""
-    words: dict[str, int] = {}
-
-    def h(x: str) -> int:
-        v = words.get(x)
-        if v is None:
-            if len(words) > 500_000:
-                words.clear()
-            v = words[x] = xxhash.xxh64_intdigest(x)
-        return v
-
-    kinds = {w: h(w) for w in _CPP_WORDS}
-    name, number = h("<name>"), h("<number>")
+    vocabulary = _Vocabulary()
+
+    def features(b: pa.RecordBatch) -> pa.RecordBatch:
+        n = b.num_rows
+        ids, rows = [np.empty(0, "i4")], []
+        for path, lang, content in zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content"))):
+            text = (content or b"").decode("utf-8", "replace").removeprefix("\ufeff").replace("\r\n", "\n")
+            path = path or ""
+            code, notes, strings = _split(text, lang == "Python")
+            tokens = _TOKEN.findall(code)
+            ids.append(np.fromiter(map(vocabulary.__getitem__, tokens), "i4", len(tokens)))
+            solid = sum(map(len, tokens))
+            numbers = [x for x in tokens if x[0].isdigit()]
+            literal = (sum(map(len, numbers)) + len(numbers) + sum(map(len, strings))) / max(1, solid + sum(map(len, strings)))
+            fresh = len(set(zip(numbers, numbers[1:]))) / max(1, len(numbers) - 1)  # pairs that repeat would compress
+            lines = text.split("\n")
+            longest = max(map(len, lines))
+            note = "\n".join(notes)
+            top = "\n".join(notes[:4])[:1000]
+            library = _LIBRARY.search(top) or _LIBRARY_PATH.search(path)
+            rows.append(
+                (
+                    bool(_GENERATED_NOTE.search(note) or _GENERATED_CODE.search(code if "has_bits_" in code else text) or _GENERATED_PATH.search(path)),
+                    bool(_VENDOR_PATH.search(path) or _VENDOR_NOTE.search(top)),
+                    longest >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text),
+                    code.count(";") * 60 >= len(tokens),
+                    next((x for x in library.groups() if x), "").lower() if library else None,
+                    len(text) >= 200 and (literal >= 0.6 and (not numbers or fresh >= 0.3 or literal >= 0.9) or _data_lines(text)),
+                )
+            )
+        exact_of, kind_of = vocabulary.hashes()
+        token = np.concatenate(ids)
+        exact = exact_of[token]
+        owner = np.repeat(np.arange(n), [len(x) for x in ids[1:]])
+        _, o, length, rules = grammars(kind_of[token], owner)
+        size = np.bincount(owner, minlength=n)
+        most = np.zeros(n, "i8")  # tokens under the one rule that covers most, of those used often and not only copied whole
+        for _, of, tokens_under, uses in rules:
+            often = (tokens_under >= long_rule) & (tokens_under <= 8 * long_rule) & (uses >= least_uses)
+            np.maximum.at(most, of[often], (tokens_under * uses)[often])
+        begin = np.cumsum(length) - length
+        pieces: list[list[int]] = [[] for _ in range(n)]
+        for i in np.flatnonzero(length >= instance):
+            pieces[o[i]].append(xxhash.xxh64_intdigest(exact[begin[i] : begin[i] + length[i]].tobytes()) - (1 << 63))
+        flags = list(zip(*rows)) or [()] * 6
+        kinds = [pa.bool_()] * 4 + [pa.string(), pa.bool_()]
+        return pa.RecordBatch.from_arrays(
+            [b.column("file_id"), b.column("repo"), pa.array(size, pa.int64()), pa.array(most / np.maximum(1, size), pa.float64()), *[pa.array(x, t) for x, t in zip(flags, kinds)], pa.array(pieces, pa.list_(pa.int64())), b.column("language"), b.column("file_path")],
+            names=["file_id", "repo", "tokens", "rule_reuse", "generated_mark", "vendor_mark", "minified", "statements", "library", "blob", "pieces", "language", "file_path"],
+        )
 
     def run(batches):
         for b in batches:
-            n = b.num_rows
-            exact, kind, own, rows = [], [], [], []
-            for k, (path, lang, content) in enumerate(zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content")))):
-                text = (content or b"").decode("utf-8", "replace").removeprefix("﻿").replace("\r\n", "\n")
-                path = path or ""
-                code, notes, strings = _split(text, lang == "Python")
-                tokens = _TOKEN.findall(code)
-                e = [h(x) for x in tokens]
-                exact += e
-                kind += [kinds.get(x) or (number if x[0].isdigit() else name if x[0].isalpha() or x[0] == "_" else v) for x, v in zip(tokens, e)]
-                own += [k] * len(tokens)
-                solid = sum(map(len, tokens))
-                numbers = [x for x in tokens if x[0].isdigit()]
-                literal = (sum(map(len, numbers)) + len(numbers) + sum(map(len, strings))) / max(1, solid + sum(map(len, strings)))
-                fresh = len(set(zip(numbers, numbers[1:]))) / max(1, len(numbers) - 1)  # pairs that repeat would compress
-                lines = text.split("\n")
-                longest = max(map(len, lines))
-                note = "\n".join(notes)
-                top = "\n".join(notes[:4])[:1000]
-                library = _LIBRARY.search(top) or _LIBRARY_PATH.search(path)
-                rows.append(
-                    (
-                        bool(_GENERATED_NOTE.search(note) or _GENERATED_CODE.search(code if "has_bits_" in code else text) or _GENERATED_PATH.search(path)),
-                        bool(_VENDOR_PATH.search(path) or _VENDOR_NOTE.search(top)),
-                        longest >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text),
-                        code.count(";") * 60 >= len(tokens),
-                        next((x for x in library.groups() if x), "").lower() if library else None,
-                        len(text) >= 200 and (literal >= 0.6 and (not numbers or fresh >= 0.3 or literal >= 0.9) or _data_lines(text)),
-                    )
-                )
-            own_, kind_, exact_ = np.array(own, "i8"), np.array(kind, "u8"), np.array(exact, "u8")
-            _, o, length, rules = grammars(kind_, own_)
-            size = np.bincount(own_, minlength=n)
-            most = np.zeros(n, "i8")  # tokens under the one rule that covers most, of those used often and not only copied whole
-            for _, of, tokens_under, uses in rules:
-                often = (tokens_under >= long_rule) & (tokens_under <= 8 * long_rule) & (uses >= least_uses)
-                np.maximum.at(most, of[often], (tokens_under * uses)[often])
-            reuse = most / np.maximum(1, size)
-            begin = np.cumsum(length) - length
-            pieces: list[list[int]] = [[] for _ in range(n)]
-            for i in np.flatnonzero(length >= instance):
-                pieces[o[i]].append(xxhash.xxh64_intdigest(exact_[begin[i] : begin[i] + length[i]].tobytes()) - (1 << 63))
-            flags = list(zip(*rows)) or [()] * 6
-            kinds_ = [pa.bool_()] * 4 + [pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("file_id"), b.column("repo"), pa.array(size, pa.int64()), pa.array(reuse, pa.float64()), *[pa.array(x, t) for x, t in zip(flags, kinds_)], pa.array(pieces, pa.list_(pa.int64())), b.column("language"), b.column("file_path")],
-                names=["file_id", "repo", "tokens", "rule_reuse", "generated_mark", "vendor_mark", "minified", "statements", "library", "blob", "pieces", "language", "file_path"],
-            )
+            for at in range(0, b.num_rows, 512):  # the arrays of a grammar stay small
+                yield features(b.slice(at, 512))
 
     return run
 
 
+class _Vocabulary(dict):
+    """Tokens to small numbers, with the hash of each and of its kind."""
+
+    def __init__(self):
+        self.exact, self.kind = [], []
+        self.fixed = {w: xxhash.xxh64_intdigest(w) for w in _CPP_WORDS}
+        self.name, self.number = xxhash.xxh64_intdigest("<name>"), xxhash.xxh64_intdigest("<number>")
+
+    def __missing__(self, x: str) -> int:
+        h = xxhash.xxh64_intdigest(x)
+        self.exact.append(h)
+        self.kind.append(self.fixed.get(x) or (self.number if x[0].isdigit() else self.name if x[0].isalpha() or x[0] == "_" else h))
+        i = self[x] = len(self)
+        return i
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The two hashes of all numbers; a vocabulary that has grown large is begun anew."""
+        out = np.array(self.exact, "u8"), np.array(self.kind, "u8")
+        if len(self) > 500_000:
+            self.clear()
+            self.exact, self.kind = [], []
+        return out
+
+
 def file_origins(files: DataFrame, reuse: float = 0.15, least_tokens: int = 150, shared: float = 0.8, repositories: int = 3, long_rule: int = 24, instance: int = 12, least_uses: int = 4) -> DataFrame:
     """(file_id, repo, origin, rule_reuse, shared_share) with origin one of generated, minified, vendored, blob, handwritten.
 
