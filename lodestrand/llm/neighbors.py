@@ -155,7 +155,7 @@ def _search(k: int, floor: float, slack: float, leaf: int):
 
 
 def most_similar(
-    vectors: DataFrame, k: int = 5, min_similarity: float = -1.0, relax_route: float = 10.0, relax_tree: float = 5.5, shard_rows: int = 16_384, max_pivots: int = 4096, leaf: int = 512
+    vectors: DataFrame, k: int = 5, min_similarity: float = -1.0, relax_route: float = 10.0, relax_tree: float = 5.5, shard_rows: int = 16_384, max_pivots: int = 4096, leaf: int = 2048
 ) -> DataFrame:
     """(id, other, sim) of the ``k`` most similar other vectors of each of (id, vector), nearest first in rank order.
 
