@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from ..plans.session import cut, lookup
 from .common import newest_rows
 
-_ROUTED = "shard long, part int, own boolean, id string, vector array<float>, ids array<string>"
+_ROUTED = "shard long, part int, role tinyint, id string, vector array<float>, ids array<string>"
 _HITS = "id string, top array<struct<s: double, other: string>>"
+_OWN, _ASKS = 1, 2  # a row is a point, a query or both
+_BAND = 4e-6  # what single precision may be wrong by
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector: str, newest: str, dim: int) -> DataFrame:
@@ -44,8 +46,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (d / np.sqrt((d * d).sum(axis=1, keepdims=True))).astype("f4")
 
 
-def _router(pivots: np.ndarray, splits: np.ndarray, slack: float):
-    """Rows of a batch to the shards they belong to or must search. ``splits``: in how many parts each shard is kept."""
+def _router(pivots: np.ndarray, splits: np.ndarray, asked: np.ndarray, slack: float):
+    """Rows of a batch to the shards they belong to or must search. ``splits`` and ``asked``: in how many parts the points
+    and the queries of each shard are kept; each part of the points meets each part of the queries."""
 
     def route(batches):
         for b in batches:
@@ -61,25 +64,101 @@ def _router(pivots: np.ndarray, splits: np.ndarray, slack: float):
                 out_row.append(r + s)
                 out_shard.append(c)
             row, shard = np.concatenate(out_row), np.concatenate(out_shard)
-            copies = splits[shard]
-            part = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-            row, shard = np.repeat(row, copies), np.repeat(shard, copies)
-            spread = np.array([zlib.crc32(i.encode()) for i in b.column("id").to_pylist()]) if (splits > 1).any() else np.zeros(len(x), "i8")
-            own = (shard == home[row]) & (part == spread[row] % splits[shard])
+            crowded = (splits > 1).any() or (asked > 1).any()
+            spread = np.array([zlib.crc32(i.encode()) for i in b.column("id").to_pylist()]) if crowded else np.zeros(len(x), "i8")
+            points, queries = splits[shard], asked[shard]
+            mine, asks = spread[row] % points, spread[row] // points % queries
+            of, p = _numbered(points)  # as a query, to each part of the points
+            part = p * queries[of] + asks[of]
+            role = _ASKS + _OWN * ((shard == home[row])[of] & (p == mine[of]))
+            also, q = _numbered(np.where(shard == home[row], queries, 0))  # as a point, to the other parts of the queries
+            rest = q != asks[also]
+            also, q = also[rest], q[rest]
+            of, part, role = np.r_[of, also], np.r_[part, mine[also] * queries[also] + q], np.r_[role, np.full(len(also), _OWN)]
+            row, shard = row[of], shard[of]
             for s in range(0, len(row), 20_000):
                 cut_ = slice(s, s + 20_000)
                 t = b.take(pa.array(row[cut_]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[cut_], pa.int64()), pa.array(part[cut_], pa.int32()), pa.array(own[cut_]), t.column("id"), t.column("vector"), t.column("ids")],
-                    names=["shard", "part", "own", "id", "vector", "ids"],
+                    [pa.array(shard[cut_], pa.int64()), pa.array(part[cut_], pa.int32()), pa.array(role[cut_], pa.int8()), t.column("id"), t.column("vector"), t.column("ids")],
+                    names=["shard", "part", "role", "id", "vector", "ids"],
                 )
 
     return route
 
 
-def _tree_pairs(p: np.ndarray, q: np.ndarray, floor: float, slack: float, leaf: int, rng: np.random.Generator):
-    """Index pairs (query, point) at or above ``floor``, from one vantage-point tree over ``p``; queries go down in sets."""
-    found_q, found_p, found_s = [], [], []
+def _numbered(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each index as often as ``n`` says, and the number of the copy."""
+    return np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+class _Tops:
+    """The ``k`` best points of each query so far, by exact similarity and then ``rank``. Pairs are gathered up to
+    ``most`` and then cut down to these, so that memory does not grow with the pairs within the radius."""
+
+    def __init__(self, raw: np.ndarray, asks: np.ndarray, own: np.ndarray, rank: np.ndarray, k: int, floor: float, most: int = 1_000_000):
+        self.raw, self.asks, self.own, self.rank, self.k, self.floor, self.most = raw, asks, own, rank, k, floor, most
+        self.least = np.full(len(asks), floor - 1e-5, "f4")  # what a pair needs to count, by single precision
+        self.last = np.full(len(asks), len(raw))  # rank of the last of k points that are all as near as can be
+        self.q, self.p, self.sim = np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0)
+        self.new, self.size = [], 0
+
+    def add(self, qi: np.ndarray, pi: np.ndarray, sims: np.ndarray):
+        """The pairs of a block, given with all their similarities."""
+        ok = sims >= self.least[qi][:, None]
+        last = self.last[qi]
+        if (last < len(self.raw)).any():
+            ok &= self.rank[self.own[pi]] < last[:, None]
+        if sims.shape[1] > self.k + 1 and np.count_nonzero(ok) > 4 * self.k * len(qi):
+            ok &= sims >= np.partition(sims, -self.k - 1, axis=1)[:, -self.k - 1, None] - _BAND  # one of them may be the query itself
+        r, c = np.nonzero(ok)
+        apart = self.asks[qi[r]] != self.own[pi[c]]
+        r, c = r[apart], c[apart]
+        if len(r):
+            self.new.append((qi[r], pi[c], sims[r, c]))
+            self.size += len(r)
+            if self.size > self.most:
+                self.settle()
+
+    def settle(self):
+        if not self.new:
+            return
+        q, p, s = (np.concatenate(x) for x in zip(*self.new))
+        self.new, self.size, old = [], 0, len(self.q)
+        q, p, s = np.r_[self.q, q], np.r_[self.p, p], np.r_[self.sim.astype("f4"), s]
+        exact = np.r_[self.sim, np.full(len(s) - old, np.nan)]
+        order = np.lexsort((-s, q))
+        q, p, s, exact = q[order], p[order], s[order], exact[order]
+        # The k best by single precision, and all that might tie with the last of them.
+        begin, count = _runs(q)
+        near = s >= np.repeat(s[np.minimum(begin + self.k, begin + count) - 1], count) - _BAND
+        q, p, exact = q[near], p[near], exact[near]
+        todo = np.flatnonzero(np.isnan(exact))
+        for a in range(0, len(todo), 50_000):
+            at = todo[a : a + 50_000]
+            x, y = self.raw[self.asks[q[at]]].astype("f8"), self.raw[self.own[p[at]]].astype("f8")
+            exact[at] = np.round((x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))), 6)
+        ok = exact >= self.floor
+        q, p, exact = q[ok], p[ok], exact[ok]
+        order = np.lexsort((self.rank[self.own[p]], -exact, q))
+        q, p, exact = q[order], p[order], exact[order]
+        begin, count = _runs(q)
+        best = np.arange(len(q)) - np.repeat(begin, count) < self.k
+        self.q, self.p, self.sim = q[best], p[best], exact[best]
+        full = begin[count >= self.k] + self.k - 1
+        self.least[q[full]] = np.maximum(self.least[q[full]], exact[full] - _BAND)
+        top = full[exact[full] >= 1]
+        self.last[q[top]] = self.rank[self.own[p[top]]]
+
+
+def _runs(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of equal values begin, and how long they are."""
+    begin = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.empty(0, "i8")
+    return begin, np.diff(np.r_[begin, len(q)])
+
+
+def _descend(p: np.ndarray, q: np.ndarray, tops: _Tops, slack: float, leaf: int, rng: np.random.Generator):
+    """Give ``tops`` the pairs (query, point) from one vantage-point tree over ``p``; queries go down in sets."""
     todo = [(np.arange(len(p)), np.arange(len(q)))]
     while todo:
         pi, qi = todo.pop()
@@ -96,47 +175,27 @@ def _tree_pairs(p: np.ndarray, q: np.ndarray, floor: float, slack: float, leaf:
                 dq = np.sqrt(np.maximum(0, 2 - 2 * q[qi] @ vantage))
                 todo += [(pi[inner], qi[dq <= mu + slack]), (pi[~inner], qi[dq >= mu - slack])]
                 continue
-        block = p[pi]
-        for s in range(0, len(qi), 4096):
-            for u in range(0, len(pi), 4096):
-                sims = q[qi[s : s + 4096]] @ block[u : u + 4096].T
-                r, c = np.nonzero(sims >= floor)
-                found_q.append(qi[s + r])
-                found_p.append(pi[u + c])
-                found_s.append(sims[r, c])
-    if not found_q:
-        return np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "f4")
-    return np.concatenate(found_q), np.concatenate(found_p), np.concatenate(found_s)
+        for s in range(0, len(qi), 2048):
+            block = q[qi[s : s + 2048]]
+            for u in range(0, len(pi), 512):
+                tops.add(qi[s : s + 2048], pi[u : u + 512], block @ p[pi[u : u + 512]].T)
+    tops.settle()
 
 
 def _search(k: int, floor: float, slack: float, leaf: int):
     def shard(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        own = t.column("own").to_numpy()
+        role = t.column("role").to_numpy()
         ids = t.column("id").to_numpy(zero_copy_only=False)
         raw = _matrix(t.column("vector"))
         unit = _unit(raw)
-        at = np.flatnonzero(own)
-        qi, pj, s = _tree_pairs(unit[at], unit, floor - 1e-5, slack, leaf, np.random.default_rng(len(at)))
-        pj = at[pj]
-        keep = qi != pj
-        qi, pj, s = qi[keep], pj[keep], s[keep]
-        order = np.lexsort((-s, qi))
-        qi, pj, s = qi[order], pj[order], s[order]
-        if len(qi):  # the k best by single precision, and all that might tie with the last of them
-            begins = np.r_[True, qi[1:] != qi[:-1]]
-            start = np.maximum.accumulate(np.where(begins, np.arange(len(qi)), 0))
-            count = np.diff(np.r_[np.flatnonzero(begins), len(qi)])
-            last = s[np.minimum(start + k - 1, start + np.repeat(count, count) - 1)]
-            near = s >= last - 4e-6
-            qi, pj = qi[near], pj[near]
-        sim = np.empty(len(qi))
-        for a in range(0, len(qi), 50_000):
-            x, y = raw[qi[a : a + 50_000]].astype("f8"), raw[pj[a : a + 50_000]].astype("f8")
-            sim[a : a + 50_000] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
-        sim = np.round(sim, 6)
-        ok = sim >= floor
-        q, p, sim = qi[ok], pj[ok], sim[ok]
+        at, asks = np.flatnonzero(role & _OWN), np.flatnonzero(role & _ASKS)
+        rank = np.empty(len(ids), "i8")
+        rank[np.argsort(ids)] = np.arange(len(ids))
+        tops = _Tops(raw, asks, at, rank, k, floor)
+        if len(at):
+            _descend(unit[at], unit[asks], tops, slack, leaf, np.random.default_rng(len(at)))
+        q, p, sim = asks[tops.q], at[tops.p], tops.sim
         groups = t.column("ids").to_pylist() if t.column("ids").null_count < len(t) else None
         if groups:  # the smallest ids of equal vectors stand for the group
             reach = [groups[i] or [ids[i]] for i in p]
@@ -165,8 +224,8 @@ def most_similar(
 
     ``min_similarity`` sets the search radius. ``relax_route`` and ``relax_tree`` divide the bounds of the shards and of
     the trees; 1 and 1 make the search exact. The shards' pivots are a sample of one row in ``shard_rows``, at most
-    ``max_pivots``; all rows are indexed and all are queries. A shard of more than four times the usual size is kept in
-    parts, each searched by all its queries.
+    ``max_pivots``; all rows are indexed and all are queries. The points and the queries of a shard of more than four times
+    the usual size are kept in parts, and each part of the points is searched by each part of the queries.
     """
     spark = vectors.sparkSession
     v = vectors.select("id", "vector")
@@ -179,12 +238,18 @@ def most_similar(
         return spark.createDataFrame([], "id string, other string, sim double")
     m = min(max_pivots, max(1, -(-n // shard_rows)))
     sample = _unit(np.array([r[0] for r in v.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(17 * m).select("vector").collect()], "f4"))
-    pivots, radius, splits = sample[:m], math.sqrt(max(0.0, 2 - 2 * min_similarity)), np.ones(m, "i8")
-    if m > 1:  # how crowded the shards are, by a sample of their rows
-        share = np.bincount((sample[m:] @ pivots.T).argmax(axis=1), minlength=m) / max(1, len(sample) - m)
-        splits = np.maximum(1, np.ceil(share * n / (4 * shard_rows))).astype("i8")
+    pivots, radius = sample[:m], math.sqrt(max(0.0, 2 - 2 * min_similarity))
+    slack, splits, asked = 2 * radius / relax_route, np.ones(m, "i8"), np.ones(m, "i8")
+    if m > 1 and len(sample) > m:  # how crowded the shards are, by a sample of their rows
+        own, visits = np.zeros(m, "i8"), np.zeros(m, "i8")
+        for s in range(m, len(sample), 4096):
+            d = np.sqrt(np.maximum(0, 2 - 2 * sample[s : s + 4096] @ pivots.T))
+            own += np.bincount(d.argmin(axis=1), minlength=m)
+            visits += (d <= d.min(axis=1, keepdims=True) + slack).sum(axis=0)
+        part = (len(sample) - m) * 4 * shard_rows / n
+        splits, asked = np.maximum(1, np.ceil(own / part)).astype("i8"), np.maximum(1, np.ceil(visits / part)).astype("i8")
     reps = lookup(lookup(v, members.where("id <> rep").select("id"), "id", "left_anti", written=True), firsts, "id")
-    routed = reps.select("id", "vector", "ids").mapInArrow(_router(pivots, splits, 2 * radius / relax_route), _ROUTED)
+    routed = reps.select("id", "vector", "ids").mapInArrow(_router(pivots, splits, asked, slack), _ROUTED)
     hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, radius / relax_tree, leaf), _HITS)
     # A group's own ids are hits of each other.
     own = firsts.select("id", F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("s"), i.alias("other"))).alias("top"))

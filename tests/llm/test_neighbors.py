@@ -1,8 +1,11 @@
 import datetime
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from lodestrand.llm.neighbors import most_similar, usable_vectors
+from lodestrand.llm.neighbors import _router, _search, most_similar, usable_vectors
 
 
 def brute(ids, x, k, floor):
@@ -46,6 +49,43 @@ def test_hot_group_of_equal_vectors(spark):
     assert got == brute(ids, x.astype("f8"), 5, 0.5)
 
 
+def crowd(n, seed, noise, dim=64):
+    r = np.random.default_rng(seed)
+    return [f"id{i:05}" for i in r.permutation(n)], (r.normal(size=dim) + noise * r.normal(size=(n, dim))).astype("f4")
+
+
+@pytest.mark.parametrize("noise", [0.2, 1e-5])
+def test_crowded_shard_takes_little_memory(noise):
+    ids, x = crowd(4000, 5, noise)  # 16 million pairs within the radius
+    t = pa.table({"role": pa.array([3] * len(ids), pa.int8()), "id": ids, "vector": pa.array(list(x), pa.list_(pa.float32())), "ids": pa.array([None] * len(ids), pa.list_(pa.string()))})
+    tracemalloc.start()
+    out = _search(5, 0.85, 10.0, 500)(t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {(i, h["other"], -h["s"]) for i, top in zip(out["id"].to_pylist(), out["top"].to_pylist()) for h in top[:5]}
+    assert got == brute(ids, x.astype("f8"), 5, 0.85)
+    assert peak < 250e6
+
+
+def test_crowded_shard_spreads_points_and_queries():
+    ids, x = crowd(1000, 6, 0.2)
+    far = np.vstack([x[0], -x[0]]) / np.linalg.norm(x[0])
+    b = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(list(x), pa.list_(pa.float32())), pa.array([None] * len(ids), pa.list_(pa.string()))], names=["id", "vector", "ids"])
+    routed = pa.Table.from_batches(_router(far, np.array([4, 1]), np.array([5, 1]), 0.0)([b])).to_pandas()
+    points, queries = routed[routed["role"] & 1 > 0], routed[routed["role"] & 2 > 0]
+    assert routed["part"].nunique() == 20 and max(points.groupby("part").size()) < 350 and max(queries.groupby("part").size()) < 300
+    pairs = points[["part", "id"]].merge(queries[["part", "id"]], on="part")
+    assert len(pairs) == 1_000_000 and not pairs.duplicated(["id_x", "id_y"]).any()
+
+
+def test_crowd_of_near_equal_vectors(spark):
+    ids, x = clustered(120, 7)
+    x[:60] = x[0] + 1e-6 * np.arange(60, dtype="f4")[:, None]
+    x[60:90] = x[60] + 0.1 * np.random.default_rng(8).normal(size=(30, 64)).astype("f4")
+    got = {tuple(r) for r in most_similar(frame(spark, ids, x), 5, 0.5, 1, 1, shard_rows=3, leaf=10).collect()}
+    assert got == brute(ids, x.astype("f8"), 5, 0.5)
+
+
 def test_dirty_rows(spark):
     day = datetime.datetime(2025, 1, 1)
     good = [1.0] * 64
