@@ -34,6 +34,9 @@ _LIBRARY = re.compile(r"\bbundled copy of ([\w-]+)|^\W*([\w-]+) v\d+\.\d+(?:\.\d
 _LIBRARY_PATH = re.compile(r"(?:^|/)([A-Za-z][\w]*)-v?\d+\.\d+(?:\.\d+)*/")
 _COMMENT = re.compile(r"""//[^\n]*|/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|(?:\bR"([^()\\\s]{0,16})\(.*?(?:\)\1"|\Z))""", re.S)
 _PY_COMMENT = re.compile(r"""\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'""", re.S)
+# What may stand before and between the comments that open a file: directives, blanks, a script's prologue.
+_HEAD = re.compile(r"""(?:\s+|//[^\n]*|/\*.*?(?:\*/|\Z)|\#(?:[^\n\\]|\\.)*|(["'])use strict\1;?)*+""", re.S)
+_PY_HEAD = re.compile(r"""(?:\s+|\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z))*+""", re.S)
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _KEYED = re.compile(r"^\s*(?:- )?[\w.\"'-]+:(?:\s.*)?$")
 
@@ -54,6 +57,12 @@ def _split(text: str, python: bool) -> tuple[str, list[str], list[str]]:
     return (_PY_COMMENT if python else _COMMENT).sub(put, text), notes, strings
 
 
+def _header(text: str, notes: list[str], python: bool) -> str:
+    """All comments before the first code, and the first ones of files that begin with code."""
+    head = (_PY_HEAD if python else _HEAD).match(text).group()
+    return "\n".join(_split(head, python)[1]) + "\n" + "\n".join(notes[:4])[:1000]
+
+
 def _data_lines(text: str) -> bool:
     """Whether the text as a whole is JSON, comma-separated or keyed data."""
     lines = [x for x in text.split("\n") if x.strip()]
@@ -90,7 +99,7 @@ def _features(long_rule: int, instance: int, least_uses: int):
             lines = text.split("\n")
             longest = max(map(len, lines))
             note = "\n".join(notes)
-            top = "\n".join(notes[:4])[:1000]
+            top = _header(text, notes, lang == "Python")
             library = _LIBRARY.search(top) or _LIBRARY_PATH.search(path)
             rows.append(
                 (
@@ -159,7 +168,8 @@ def file_origins(files: DataFrame, reuse: float = 0.15, least_tokens: int = 150,
     """(file_id, repo, origin, rule_reuse, shared_share) with origin one of generated, minified, vendored, blob, handwritten.
 
     Takes ``file_id, repo, file_path, content``. A file is generated if a tool's mark is on it or, in C++, one rule of ``long_rule``
-    or more tokens, used ``least_uses`` times or more, covers ``reuse`` of its ``least_tokens`` or more; vendored if a mark says so, it lies in a
+    or more tokens, used ``least_uses`` times or more, covers ``reuse`` of its ``least_tokens`` or more; vendored if a mark says so in its path or in
+    the comments before its first code (of files that begin with code, in the first 1,000 characters of the first four comments), it lies in a
     directory named like a library that two repositories vendor, or ``shared`` of its rule
     instances occur, with the same text, in ``repositories`` or more. Null content counts as empty, and empty files are
     hand-written; a null path says nothing. Repeated rows come out repeatedly; other columns are ignored.

@@ -105,6 +105,18 @@ def test_origins(spark):
     assert file_origins(df.limit(0)).count() == 0
 
 
+def test_banners_behind_long_headers(spark):
+    licence = "/*\n" + " * Permission is granted to anyone to use this software for any purpose.\n" * 40 + " */\n"
+    lines = "".join(f"// line {i} of the terms\n" for i in range(12))
+    banner = "// Bundled copy of zipper 1.2.3, imported unchanged from upstream\n"
+    body = "int f() { return 1; }\n"
+    later = "#include <a>\n" + body + "// plain\n" * 6 + banner
+    texts = [("a", "src/x.cc", licence + banner + body), ("a", "src/y.h", "#ifndef Y_H\n#define Y_H\n" + lines + banner + body), ("b", "src/z.py", lines.replace("//", "#") + banner.replace("//", "#") + "x = 1\n"), ("b", "src/zipper/w.cc", body), ("c", "src/v.cc", later)]
+    df = spark.createDataFrame([(i, r, p, t.encode()) for i, (r, p, t) in enumerate(texts)], "file_id int, repo string, file_path string, content binary")
+    got = {x["file_id"]: x["origin"] for x in file_origins(df).collect()}
+    assert got == {0: "vendored", 1: "vendored", 2: "vendored", 3: "handwritten", 4: "handwritten"}
+
+
 def test_every_swap_can_be_undone():
     r = Restorer()
     for k, (read, written) in enumerate(SWAPS):
