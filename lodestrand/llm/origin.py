@@ -2,7 +2,7 @@
 
 Every file's tokens, names and literals reduced to their kinds, are compressed to a grammar. Long rules that are used
 again and again cover generated files; literals that hardly compress, and little else, make a blob; long rule instances
-with the same exact text in several repositories make a vendored copy. Banners in comments, directory names and the
+or runs of tokens with the same exact text in several repositories make a vendored copy. Banners in comments, directory names and the
 shape of lines add what a grammar of one file cannot see.
 """
 
@@ -79,8 +79,31 @@ def _data_lines(text: str) -> bool:
     return len(lines) >= 5 and sum(bool(_KEYED.match(x)) for x in lines) >= 0.85 * len(lines) and ";" not in text
 
 
+_RUN = 24  # tokens of a run, on average
+
+
+def _runs(exact: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, owner, tokens) of runs of tokens. A run begins where the hash of four tokens says so, whatever is before
+    and behind: equal text has equal runs in every file."""
+    n = len(exact)
+    if not n:
+        return np.empty(0, "u8"), owner, owner
+    h = exact.copy()
+    for j in range(1, 4):
+        h[:-j] += exact[j:] * np.uint64(0x9E3779B97F4A7C15 ** (j + 1) & (1 << 64) - 1)
+    first = np.r_[True, owner[1:] != owner[:-1]]
+    whole = np.r_[owner[3:] == owner[:-3], np.zeros(min(3, n), bool)] if n > 3 else np.zeros(n, bool)
+    start = np.flatnonzero(first | whole & (((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)) % np.uint64(_RUN) == 0))
+    size = np.diff(np.r_[start, n])
+    power = np.full(size.max(), 0x94D049BB133111EB, "u8")
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    at = np.arange(n) - np.repeat(start, size)
+    return np.add.reduceat((exact ^ (exact >> np.uint64(31))) * power[at], start), owner[start], size
+
+
 def _features(long_rule: int, instance: int, least_uses: int):
-    """Per file: what the rules say, and hashes of the exact text under longer rules."""
+    """Per file: what the rules say, and hashes of the exact text under longer rules and of all runs of tokens."""
     vocabulary = _Vocabulary()
 
     def features(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -125,11 +148,18 @@ def _features(long_rule: int, instance: int, least_uses: int):
         pieces: list[list[int]] = [[] for _ in range(n)]
         for i in np.flatnonzero(length >= instance):
             pieces[o[i]].append(xxhash.xxh64_intdigest(exact[begin[i] : begin[i] + length[i]].tobytes()) - (1 << 63))
+        hashes, of, size_of = _runs(exact, owner)
+        order = np.lexsort((hashes, of))
+        hashes, of, size_of = hashes[order], of[order], size_of[order]
+        new = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])]) if len(of) else np.empty(0, "i8")
+        under = np.add.reduceat(size_of, new) if len(of) else size_of
+        run = pa.StructArray.from_arrays([pa.array(hashes[new].view("i8"), pa.int64()), pa.array(under, pa.int32())], names=["piece", "n"])
+        runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(of[new], np.arange(n + 1)), pa.int32()), run)
         flags = list(zip(*rows)) or [()] * 6
         kinds = [pa.bool_()] * 4 + [pa.string(), pa.bool_()]
         return pa.RecordBatch.from_arrays(
-            [b.column("file_id"), b.column("repo"), pa.array(size, pa.int64()), pa.array(most / np.maximum(1, size), pa.float64()), *[pa.array(x, t) for x, t in zip(flags, kinds)], pa.array(pieces, pa.list_(pa.int64())), b.column("language"), b.column("file_path")],
-            names=["file_id", "repo", "tokens", "rule_reuse", "generated_mark", "vendor_mark", "minified", "statements", "library", "blob", "pieces", "language", "file_path"],
+            [b.column("file_id"), b.column("repo"), pa.array(size, pa.int64()), pa.array(most / np.maximum(1, size), pa.float64()), *[pa.array(x, t) for x, t in zip(flags, kinds)], pa.array(pieces, pa.list_(pa.int64())), runs, b.column("language"), b.column("file_path")],
+            names=["file_id", "repo", "tokens", "rule_reuse", "generated_mark", "vendor_mark", "minified", "statements", "library", "blob", "pieces", "runs", "language", "file_path"],
         )
 
     def run(batches):
@@ -164,38 +194,42 @@ class _Vocabulary(dict):
         return out
 
 
-def file_origins(files: DataFrame, reuse: float = 0.15, least_tokens: int = 150, shared: float = 0.8, repositories: int = 3, long_rule: int = 24, instance: int = 12, least_uses: int = 4) -> DataFrame:
+def file_origins(files: DataFrame, reuse: float = 0.15, least_tokens: int = 150, shared: float = 0.8, repositories: int = 3, long_rule: int = 24, instance: int = 12, least_uses: int = 4, verbatim: float = 0.95) -> DataFrame:
     """(file_id, repo, origin, rule_reuse, shared_share) with origin one of generated, minified, vendored, blob, handwritten.
 
     Takes ``file_id, repo, file_path, content``. A file is generated if a tool's mark is on it or, in C++, one rule of ``long_rule``
     or more tokens, used ``least_uses`` times or more, covers ``reuse`` of its ``least_tokens`` or more; vendored if a mark says so in its path or in
     the comments before its first code (of files that begin with code, in the first 1,000 characters of the first four comments), it lies in a
     directory named like a library that two repositories vendor, or ``shared`` of its rule
-    instances occur, with the same text, in ``repositories`` or more. Null content counts as empty, and empty files are
+    instances, or runs of tokens that make up ``verbatim`` of its ``least_tokens`` or more, occur, with the same text, in ``repositories`` or
+    more; ``shared_share`` is the greater of the two shares. Null content counts as empty, and empty files are
     hand-written; a null path says nothing. Repeated rows come out repeatedly; other columns are ignored.
     """
     rows = files.select("file_id", "repo", "file_path", "content", language(F.col("file_path")).alias("language"))
     kind = dict(rows.dtypes)["file_id"]
     told = rows.mapInArrow(
         _features(long_rule, instance, least_uses),
-        f"file_id {kind}, repo string, tokens long, rule_reuse double, generated_mark boolean, vendor_mark boolean, minified boolean, statements boolean, library string, blob boolean, pieces array<long>, language string, file_path string",
+        f"file_id {kind}, repo string, tokens long, rule_reuse double, generated_mark boolean, vendor_mark boolean, minified boolean, statements boolean, library string, blob boolean, pieces array<long>, runs array<struct<piece: long, n: int>>, language string, file_path string",
     )
     told = cut(told)
-    piece = told.select("file_id", "repo", F.explode(F.array_distinct("pieces")).alias("piece"))
+    instances = F.transform(F.array_distinct("pieces"), lambda p: F.struct(p.alias("piece"), F.lit(0).alias("n")))
+    piece = told.select("file_id", "repo", F.inline(F.concat(instances, "runs")))
     wide = piece.select("piece", "repo").distinct().groupBy("piece").agg(F.count("*").alias("r")).where(F.col("r") >= repositories).select("piece")
-    share = piece.join(wide, "piece", "left_semi").groupBy("file_id").agg(F.count("*").alias("common"))
+    share = piece.join(wide, "piece", "left_semi").select("file_id", "piece", "n").distinct().groupBy("file_id").agg(F.count_if(F.col("n") == 0).alias("common"), F.sum("n").alias("copied"))
     # Directories named like a library whose banner or versioned directory two repositories have.
     named = told.where("library is not null").select("library", "repo").distinct().groupBy("library").agg(F.count("*").alias("r")).where("r >= 2").select(F.col("library").alias("folder"))
     folders = told.select("file_id", F.explode(F.array_distinct(F.slice(F.split(F.lower("file_path"), "/"), 1, F.greatest(F.lit(0), F.size(F.split("file_path", "/")) - 1)))).alias("folder"))
     inside = folders.join(named, "folder", "left_semi").select("file_id").distinct().withColumn("in_library", F.lit(True))
     out = told.join(share, "file_id", "left").join(inside, "file_id", "left")
     part = F.coalesce(F.col("common"), F.lit(0)) / F.greatest(F.lit(1), F.size(F.array_distinct("pieces")))
+    run_part = F.coalesce(F.col("copied"), F.lit(0)) / F.greatest(F.lit(1), F.col("tokens"))
+    copied = (run_part >= verbatim) & (F.col("tokens") >= least_tokens)
     regular = F.col("statements") & (F.col("rule_reuse") >= reuse) & (F.col("tokens") >= least_tokens)
     origin = (
         F.when(F.col("blob"), "blob")
         .when(F.col("minified"), "minified")
-        .when(F.col("vendor_mark") | ((part >= shared) & (F.size("pieces") >= 8)), "vendored")
+        .when(F.col("vendor_mark") | ((part >= shared) & (F.size("pieces") >= 8)) | copied, "vendored")
         .when(F.col("generated_mark") | (F.col("language") == "C++") & regular, "generated")
         .otherwise("handwritten")
     )
-    return out.select("file_id", "repo", origin.alias("origin"), F.round("rule_reuse", 6).alias("rule_reuse"), F.round(part, 6).alias("shared_share"))
+    return out.select("file_id", "repo", origin.alias("origin"), F.round("rule_reuse", 6).alias("rule_reuse"), F.round(F.greatest(part, run_part), 6).alias("shared_share"))

@@ -117,6 +117,24 @@ def test_banners_behind_long_headers(spark):
     assert got == {0: "vendored", 1: "vendored", 2: "vendored", 3: "handwritten", 4: "handwritten"}
 
 
+def test_verbatim_copies_without_marks(spark):
+    r = random.Random(9)
+
+    def library(seed):
+        w = random.Random(seed)
+        name = lambda: f"n{w.randrange(10**6)}"
+        forms = ["int {0}({1} a) {{ return a.{2} + {3}; }}", "struct {0} : {1} {{ {2} x; }};", "using {0} = {1}<{2}>;", "static {0} {1} = {2}({3}, 7);", "enum {0} {{ {1}, {2} }};"]
+        return "\n".join(w.choice(forms).format(name(), name(), name(), name()) for _ in range(40))
+
+    mine = "".join(f"int only{i}() {{ return {r.randrange(10**6)}; }}\n" for i in range(30))
+    rows = [(i, repo, f"src/{repo}{i}.cc", library(1)) for i, repo in enumerate("abc")] + [(3, "a", "src/mine.cc", mine), (4, "a", "x.cc", library(2)), (5, "b", "y.cc", library(2)), (6, "d", "z.cc", library(1)[:1200] + mine)]
+    rows += [(i, repo, f"{repo}/{i}.h", "int x;\n") for i, repo in enumerate("abcd", 7)]
+    df = spark.createDataFrame([(a, b, c, d.encode()) for a, b, c, d in rows], "file_id int, repo string, file_path string, content binary")
+    got = {x["file_id"]: (x["origin"], x["shared_share"]) for x in file_origins(df).collect()}
+    assert {k for k, v in got.items() if v[0] == "vendored"} == {0, 1, 2}
+    assert got[0][1] == 1 and 0 < got[6][1] < 0.8 and got[4] == got[5] == ("handwritten", 0)
+
+
 def test_every_swap_can_be_undone():
     r = Restorer()
     for k, (read, written) in enumerate(SWAPS):
