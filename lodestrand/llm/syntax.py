@@ -130,23 +130,41 @@ def _cpp_strip(m: re.Match) -> str:
     return ' "" ' + "\n" * x.count("\n")
 
 
+_CPP_NEGATED = re.compile(r"!\s*(?:defined\s*(?:\(\s*\w+\s*\)|\w+)|\w+)")
+
+
+def _cpp_condition(word: str, text: str, defined: dict[str, int]) -> tuple[tuple, bool]:
+    """What a condition asks, and the answer that it takes to hold; equal questions have equal answers until a macro they
+    name is defined anew."""
+    x, holds = re.sub(r"//[^\n]*|/\*.*?\*/|\\\n", " ", text, flags=re.S).strip(), True
+    if word.endswith("def"):
+        x = f"defined({x})"
+    if word.endswith("ndef") or _CPP_NEGATED.fullmatch(x):
+        x, holds = x.lstrip("! \t"), not holds
+    names = re.findall(r"\w+", x)
+    x = " ".join(re.findall(r"\w+|[^\w\s]", re.sub(r"\bdefined\s*\(\s*(\w+)\s*\)", r"defined \1", x)))
+    return (x, *[defined.get(n, 0) for n in names]), holds
+
+
 def _cpp_variants(text: str) -> list[str]:
-    """The text with every ``#if`` group as it stands first, then with each group's other branches in turn."""
+    """The text with every ``#if`` group as it stands first, with each branch in turn together with those around it, and
+    with all groups on their second branches. Groups that ask the same are switched together."""
     if "#" not in text:
         return [text]
-    parts: list = []  # text, or [number of the group, number of the branch] marks
-    last, stack, groups, bad = 0, [], [], ""
+    parts: list = []  # text, with the (group, branch) it stands in
+    last, stack, groups, bad = 0, [], [], ""  # a group: conditions of its branches, and the branches around it
+    defined: dict[str, int] = {}
     for m in _CPP_DIRECTIVE.finditer(text):
         parts.append((tuple(stack), text[last : m.start()]))
         last, word = m.end(), m.group(1)
         if word in ("if", "ifdef", "ifndef"):
-            groups.append(2)
+            groups.append(([_cpp_condition(word, m.group(2), defined)], tuple(stack)))
             stack.append((len(groups) - 1, 0))
         elif word in ("elif", "elifdef", "elifndef", "else"):
             if stack:
                 g, b = stack[-1]
                 stack[-1] = (g, b + 1)
-                groups[g] = max(groups[g], b + 2)
+                groups[g][0].append(None if word == "else" else _cpp_condition(word, m.group(2), defined))
             else:
                 bad += f" {_BAD_DIRECTIVE} "
         elif word == "endif":
@@ -156,15 +174,47 @@ def _cpp_variants(text: str) -> list[str]:
                 bad += f" {_BAD_DIRECTIVE} "
         elif word not in _CPP_KNOWN and (word or m.group(2).strip()) and not word.isdigit():
             bad += f" {_BAD_DIRECTIVE} "
+        elif word in ("define", "undef") and (name := re.match(r"\s*(\w+)", m.group(2))):
+            defined[name[1]] = defined.get(name[1], 0) + 1
         parts.append((tuple(stack), "\n" * m.group().count("\n")))
     parts.append((tuple(stack), text[last:]))
     if stack:
         bad += f" {_BAD_DIRECTIVE} "
-    choices = [{}] + [{g: b} for g, n in enumerate(groups) for b in range(1, n)]
+    for asked, _ in groups:
+        asked.append(None)  # nothing holds
+
+    def choose(answers: dict, g: int, b: int) -> bool:
+        """Add the answers that lead to a branch; False if others are given already."""
+        want = dict([(q, not holds) for q, holds in filter(None, groups[g][0][:b])])
+        if groups[g][0][b] is not None:
+            q, holds = groups[g][0][b]
+            if want.setdefault(q, holds) != holds:
+                return False
+        if any(answers.get(q, x) != x for q, x in want.items()):
+            return False
+        answers.update(want)
+        return True
+
+    def branches(answers: dict, usual: int) -> list[int]:
+        """The branch of every group; questions left open are answered so that it is the ``usual`` one."""
+        for g in range(len(groups)):
+            choose(answers, g, usual)
+            for c in groups[g][0]:
+                if c:
+                    answers.setdefault(*c)
+        return [next(b for b, c in enumerate(asked) if c is None or answers[c[0]] == c[1]) for asked, _ in groups]
+
+    choices = [branches({}, 0)] if groups else [[]]
+    for g, (asked, around) in enumerate(groups):
+        for b in range(len(asked)):
+            answers: dict = {}
+            if any(not choose(answers, *x) for x in (*around, (g, b))):
+                continue  # no setting leads here
+            choices.append(branches(answers, 0))
     if len(groups) > 1:
-        choices.append(dict.fromkeys(range(len(groups)), 1))
-    out = ["".join(s for where, s in parts if all(c.get(g, 0) == b for g, b in where)) + bad for c in choices]
-    return list(dict.fromkeys(out))
+        choices.append(branches({}, 1))
+    # What is left out keeps its lines, so that faults of several variants can be told to be the same.
+    return list(dict.fromkeys("".join(s if all(c[g] == b for g, b in where) else "\n" * s.count("\n") for where, s in parts) + (bad and "\n" + bad) for c in choices))
 
 
 _CPP_KIND: dict[str, str] = {w: w for w in _CPP_WORDS} | {'"': "s", "and": "&&", "or": "||", "not": "!", _BAD_TEXT: _BAD_TEXT, _BAD_DIRECTIVE: _BAD_DIRECTIVE}
@@ -1140,18 +1190,34 @@ class Cpp(_Parser):
         return self.t[k] in ("i", "M") and self.t[k + 1] in ("=", ";", "{", "(", "[", ",")
 
 
+def _cpp_places(text: str) -> list[tuple[int, int]]:
+    """The line of every token and its number within the line."""
+    noise = _CPP_NOISE if _CPP_SPECIAL.search(text) else _CPP_PLAIN
+    out: list[tuple[int, int]] = []
+    before = ""
+    for n, line in enumerate(noise.sub(_cpp_strip, text).replace('""', '"').split("\n")):
+        for k, x in enumerate(_CPP_TOKEN.findall(line)):
+            if not (x == before == '"'):
+                out.append((n, k))
+            before = x
+    return out
+
+
 def check_cpp(text: str) -> list[str]:
-    faults: list[str] = []
-    for v in _cpp_variants(text):
+    """The faults of all variants, each place once."""
+    faults: dict[tuple, str] = {}
+    variants = _cpp_variants(text)
+    for v in variants:
         p = Cpp(Cpp.tokens(v))
         try:
             found = p.program()
         except RecursionError:
             found = [(0, "nested too deeply")]
         if p.errors or found:
-            faults = [w for _, w in (p.errors or found)]
-            break
-    return faults
+            places = _cpp_places(v) if len(variants) > 1 else None
+            for n, (at, what) in enumerate(p.errors or found):
+                faults.setdefault((n, at) if places is None else places[at] if at < len(places) else (-1, 0), what)
+    return list(faults.values())
 
 
 # ------------------------------------------------------------------------------------------------------------- Python

@@ -58,6 +58,26 @@ def test_all_errors_come_out():
     assert len(check_cpp("int f() { a b c; return 1; }\nint g() { x + ; }\nint h() { return 2; }")) == 2
 
 
+NESTED = ["#if A\n#elif B\n#else\n#ifdef C\nint ok;\n#else\nint = ;\n#endif\n#endif\n", "#if A\n#if B\n#elif C\n#if D\n#else\nint = ;\n#endif\n#endif\n#endif\n", "#if A\n#else\n#if B\nint = ;\n#endif\n#endif\n"]
+
+
+@pytest.mark.parametrize("code", NESTED)
+def test_branches_within_other_branches(code):
+    assert check_cpp(code) and check_cpp(code.replace("int = ;", "int y;")) == []
+
+
+def test_equal_conditions_are_switched_together():
+    guard = '#ifdef __cplusplus\nextern "C" {\n#endif\nint f(void);\n#if defined( __cplusplus )  // end\n}\n#endif\n'
+    assert check_cpp(guard) == []
+    assert check_cpp("#ifndef A\nint f(int x) {\n#endif\n#ifdef A\nint f(long x) {\n#endif\nreturn 1; }\n") == []
+    assert check_cpp(guard.replace("defined( __cplusplus )", "OTHER"))
+    assert check_cpp("#ifdef A\nint f() {\n#endif\n#undef A\n#ifdef A\n}\n#endif\n")
+
+
+def test_errors_of_all_variants_come_out_once():
+    assert len(check_cpp("int = ;\n#if A\nint x = ;\n#else\nint f() { a b c; }\n#endif\nint g() { x + ; }\n")) == 4
+
+
 def test_python_against_the_standard_parser():
     base = open(ast.__file__, encoding="utf-8").read()
     assert check_python(base) == []
