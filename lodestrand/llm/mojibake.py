@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,19 @@ _MULTI = {"gbk", "cp932", "euc_jp", "big5", "utf-8"}
 PAIRS, CHARS, BLOCK = 1 << 20, 1 << 16, 1 << 12  # size of the model, whatever the data
 _TICKS = re.compile(r"(`+)[^\n]*?\1")
 _SPACE = re.compile(r"[ \t\r\n\f\v]+")
-# Blocks a restored text may hold (Latin, Greek, Cyrillic, punctuation, symbols, kana, Han, full width).
+# Blocks of the readings that keep a Cyrillic or Chinese word out of the model; any reading may be chosen.
 _UNLIKELY = re.compile("[^\\x00-\\x7f\\xa0-\u017f\u0391-\u03c9\u0400-\u045f\u0490\u0491\u2010-\u2044\u20ac\u2116\u2122\u2190-\u22ff\u2500-\u257f\u25a0-\u26ff\u2713-\u2718\u3000-\u30ff\u4e00-\u9fff\uff00-\uff60\U0001f300-\U0001f6ff]")
+_LATIN = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "iso8859-2")
+# A UTF-8 sequence of several bytes, each byte as the character of its number.
+_SEQUENCE = re.compile("(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+")
+_FOREIGN = re.compile("[^\x00-\x7f]+")
+
+
+def _no_text() -> re.Pattern:
+    """Characters that no text has: controls, surrogates, private and unassigned ones."""
+    none = [unicodedata.category(chr(c)) in ("Cc", "Cn", "Co", "Cs") and c not in (9, 10, 13) for c in range(0x110000)]
+    edges = [c for c in range(0x110001) if (c < 0x110000 and none[c]) != (c > 0 and none[c - 1])]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]")
 
 
 def _charmap(page: str) -> dict[int, int]:
@@ -70,10 +82,36 @@ class Restorer:
 
     def __init__(self):
         self.bytes_of = _tables()
+        self.no_text = _no_text()
+        self.byte_chars = {p: {c: 0x100 for c in range(128, 256)} | t for p, t in self.bytes_of.items()}
+        self.stretches = {p: re.compile("[" + "".join(map(re.escape, map(chr, t))) + "]{2,}") for p, t in self.bytes_of.items()}
         self.ciphers = {(r, w): _translation(r, w) for r, w in SWAPS if r not in _MULTI and w not in _MULTI}
 
     def undo(self, word: str, swap: int) -> str | None:
-        """The word before the swap, or None if this swap can't have made it."""
+        """The word before the swap, or with what stretches of it were before; None if this swap can't have made any."""
+        out = self.whole(word, swap)
+        if out is not None:
+            return out
+        read, written = SWAPS[swap]
+        if read in _MULTI:
+            if _FOREIGN.fullmatch(word):
+                return None
+            out = _FOREIGN.sub(lambda m: self.whole(m.group(), swap) or m.group(), word)
+        elif written == "utf-8":
+            raw, out, last = word.translate(self.byte_chars[read]), "", 0
+            for m in _SEQUENCE.finditer(raw):
+                out += word[last : m.start()] + m.group().encode("latin-1").decode("utf-8")
+                last = m.end()
+            out += word[last:]
+        else:
+            out = self.stretches[read].sub(lambda m: self.whole(m.group(), swap) or m.group(), word)
+        return None if out == word else out
+
+    def likely(self, text: str) -> bool:
+        return not self.no_text.search(text)
+
+    def whole(self, word: str, swap: int) -> str | None:
+        """The word before the swap of all of it."""
         read, written = SWAPS[swap]
         if (read, written) in self.ciphers:
             out = word.translate(self.ciphers[read, written])
@@ -115,7 +153,7 @@ def _count_letters(batches):
                     continue
                 at = seen.get(w)
                 if at is None:
-                    if not w.isascii() and any((x := r.undo(w, k)) and not _UNLIKELY.search(x) for k in utf8):
+                    if not w.isascii() and any((x := r.whole(w, k)) and (r.likely(x) if SWAPS[k][0] in _LATIN else not _UNLIKELY.search(x)) for k in utf8):
                         at = np.empty(0, "i8")
                     else:
                         x = f"^{w}$"
@@ -158,7 +196,7 @@ class _Judge:
                     now = self.restorer.undo(now, k) if not now.isascii() else None
                     if now is None:
                         break
-                    if not _UNLIKELY.search(now) and (more := self.model.score(now)) > score:
+                    if self.restorer.likely(now) and (more := self.model.score(now)) > score:
                         best, score = now, more
                 if best is None:
                     continue

@@ -156,3 +156,19 @@ def test_restore(spark):
     assert {k for k, r in got.items() if r["garbled"]} == {100, 101, 102, 106}
     assert got[100]["restored"] == "Die Änderungen hier" and got[101]["restored"] == "проверьте пожалуйста" and got[106]["restored"] == "naïve"
     assert restored_documents(df.limit(0)).count() == 0
+
+
+def test_restore_other_scripts_and_stretches(spark):
+    def bad(x):
+        return x.encode().decode("cp1252", "surrogateescape").translate({0xDC00 + b: b for b in range(128, 256)})
+
+    clean = "The naïve façade of the Größe is “quoted” here, проверьте узел 图中的节点已经删除".split()
+    rows = [(i, " ".join(clean), "s") for i in range(60)]
+    whole = ["삭제되었습니다", "العقدة", "הצומת", "ลบแล้ว", "được", "🧪🧪", "✅", "⭐", "\ufeffThe"]
+    rows += [(100 + i, f"the {bad(x)} here", "s") for i, x in enumerate(whole)]
+    rows += [(200, f"the “{bad('façade')}” here", "s"), (201, f"图中的{bad('façade')}节点已经删除", "s"), (202, "the " + bad("проверьте")[:-1] + " here", "s")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = {r["doc_id"]: r for r in restored_documents(df).collect()}
+    assert {k for k, r in got.items() if r["garbled"]} == {r[0] for r in rows[60:]}
+    assert {k: got[k]["restored"] for k in got if 100 <= k < 200} == {100 + i: f"the {x} here" for i, x in enumerate(whole)}
+    assert got[200]["restored"] == "the “façade” here" and got[201]["restored"] == "图中的façade节点已经删除" and "проверьт" in got[202]["restored"]
