@@ -1,9 +1,10 @@
 """Generated, minified, vendored and data files, told apart from hand-written source by Re-Pair grammars.
 
-Every file's tokens, names and literals reduced to their kinds, are compressed to a grammar. Long rules that are used
-again and again cover generated files; literals that hardly compress, and little else, make a blob; long rule instances
-or runs of tokens with the same exact text in several repositories make a vendored copy. Banners in comments, directory names and the
-shape of lines add what a grammar of one file cannot see.
+Three grammars are inferred. One, of each file's tokens with names and literals reduced to their kinds: a long rule that is
+used again and again covers a generated file. One, of each file's literals: literals that hardly compress, and little
+else, make a blob. One, of the comments and paths of many files together: a rule that several repositories share, and
+whose text is a tool's or a vendor's mark, makes every file that holds it generated or vendored, as do long exact texts
+shared by several repositories. Only minified files are told by the shape of their lines, which no grammar of tokens sees.
 """
 
 from __future__ import annotations
@@ -17,39 +18,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import cut
-from .repair import grammars
+from .repair import grammars, windows
 from .syntax import _CPP_WORDS, language
 
-# What tools and vendors write into comments and paths.
-_GENERATED_NOTE = re.compile(
-    r"\b(?:code |file )?generated\b.{0,60}\b(?:do not|don't) (?:edit|modify|change)|\bautogenerated\b|<auto-?generated|@generated\b|\bauto-?generated (?:by|from|file|code)|\bautomatically (?:generated|produced|created) (?:by|from)"
-    r"|\b(?:manual|hand|local) (?:edits|changes) (?:are|will be) (?:lost|overwritten)|\b(?:all )?changes (?:made in this file )?will be (?:lost|overwritten)|\bcreated by: .{1,40} from: |\bedit the (?:template|source|schema) instead",
-    re.I | re.S,
+# What tools and vendors say in comments and name files and folders. They are compared with the text of shared
+# rules alone: tokens in lower case, one blank between two, every number written as 0, a name between ^ and / or $.
+_GENERATED_SAYS = re.compile(
+    r"\bgenerated\b.* do(?: not|n ' t) (?:edit|modify|change)\b|(?:/ /|/ \*) code generated by\b|\bautogenerated\b|< auto -? ?generated|@ generated\b|\bauto - ?generated (?:by|from|file|code)\b|\bautomatically (?:generated|produced|created) (?:by|from)\b"
+    r"|\b(?:manual|hand|local) (?:edits|changes) are (?:lost|overwritten)\b|\bchanges (?:made in this file )?will be (?:lost|overwritten)\b|\bedit the (?:template|source|schema) instead\b|# line 0 "
 )
-_GENERATED_CODE = re.compile(r"^[ \t]*#[ \t]*line[ \t]+\d+[ \t]+\"[^\"]+\.(?:y|l|yy|ll|g4|idl|proto)\"|\b_?has_bits_\b", re.M)
-_GENERATED_PATH = re.compile(r"(?:^|/)(?:gen|generated|autogen|auto_generated|__generated__)/|(?:^|/)(?:moc_|qrc_|ui_|lex\.)[^/]*$|(?:\.pb|\.gen|\.g|_generated|_autogen|\.generated|_pb2|_pb)\.\w+$")
-_VENDOR_PATH = re.compile(r"(?:^|/)(?:third_?party|thirdparty|3rdparty|vendor|vendored|external|externals|extern|deps|bundled|contrib|node_modules)/|(?:^|/)[A-Za-z][\w]*-v?\d+\.\d+(?:\.\d+)*/", re.I)
-_VENDOR_NOTE = re.compile(r"\bbundled copy of\b|\bimported (?:unchanged |unmodified |verbatim )?from upstream\b|\bupstream (?:revision|commit|version)\b|\bvendored (?:copy|from)\b|\blibrary, version \d|\bcopyright \(c\) [\d, -]+ ?the [\w-]+ (?:contributors|authors|developers)\b|^\W*[\w-]+ v\d+\.\d+(?:\.\d+)?\s*$", re.I | re.M)
-_LIBRARY = re.compile(r"\bbundled copy of ([\w-]+)|^\W*([\w-]+) v\d+\.\d+(?:\.\d+)?\s*$|^\W*([\w-]+) - .{1,60} library, version \d", re.I | re.M)
-_LIBRARY_PATH = re.compile(r"(?:^|/)([A-Za-z][\w]*)-v?\d+\.\d+(?:\.\d+)*/")
+_GENERATED_NAME = re.compile(r"\^ (?:gen|generated|autogen|auto _ generated) /|\^ (?:moc|qrc|ui) _|\^ lex \.|\. (?:pb|gen|g|generated)(?: \.|$)|_ (?:generated|autogen)(?: \.|$)|_ pb(?: 0)? \.")
+_VENDOR_SAYS = re.compile(
+    r"\bbundled copy of [a-z]|\bimported (?:unchanged |unmodified |verbatim )?from upstream\b|\bupstream (?:revision|commit|version)\b|\bvendored (?:copy|from)\b|\blibrary , version 0|\( c \) 0 (?:, 0 |- 0 )*the [a-z][a-z -]* (?:contributors|authors|developers)\b|/ / [a-z]+ v 0 \. 0"
+)
+_VENDOR_NAME = re.compile(r"\^ (?:third _ ?party|third ?party|0 ?rdparty|vendor|vendored|external|externals|extern|deps|bundled|contrib|node _ modules) /|\b[a-z]+ - (?:v )?0 \. 0(?: \. 0)* /")
+_LIBRARY = re.compile(r"\bbundled copy of ([a-z]+)\b|/ / ([a-z]+) v 0 \. 0|\( c \) 0 the ([a-z]+) (?:contributors|authors|developers)\b|\b([a-z]+) - (?:v )?0 \. 0(?: \. 0)* /")
 _COMMENT = re.compile(r"""//[^\n]*|/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|(?:\bR"([^()\\\s]{0,16})\(.*?(?:\)\1"|\Z))""", re.S)
 _PY_COMMENT = re.compile(r"""\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'""", re.S)
 # What may stand before and between the comments that open a file: directives, blanks, a script's prologue.
 _HEAD = re.compile(r"""(?:\s+|//[^\n]*|/\*.*?(?:\*/|\Z)|\#(?:[^\n\\]|\\.)*|(["'])use strict\1;?)*+""", re.S)
 _PY_HEAD = re.compile(r"""(?:\s+|\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z))*+""", re.S)
 _TOKEN = re.compile(r"\w+|[^\w\s]")
-_KEYED = re.compile(r"^\s*(?:- )?[\w.\"'-]+:(?:\s.*)?$")
 
 
-def _split(text: str, python: bool) -> tuple[str, list[str], list[str]]:
-    """Code with strings cut to empty ones, the comments, and the strings."""
-    notes: list[str] = []
+def _split(text: str, python: bool) -> tuple[str, list[tuple[int, str]], list[str]]:
+    """Code with strings cut to empty ones, the comments and where they begin, and the strings. A Python string that is
+    a statement of its own is a comment."""
+    notes: list[tuple[int, str]] = []
     strings: list[str] = []
 
     def put(m: re.Match) -> str:
         x = m.group()
-        if x[0] in "/#":
-            notes.append(x)
+        if x[0] in "/#" or python and x[:3] in ('"""', "'''") and not text[text.rfind("\n", 0, m.start()) + 1 : m.start()].strip():
+            notes.append((m.start(), x))
             return " "
         strings.append(x)
         return '""'
@@ -57,26 +58,32 @@ def _split(text: str, python: bool) -> tuple[str, list[str], list[str]]:
     return (_PY_COMMENT if python else _COMMENT).sub(put, text), notes, strings
 
 
-def _header(text: str, notes: list[str], python: bool) -> str:
-    """All comments before the first code, and the first ones of files that begin with code."""
-    head = (_PY_HEAD if python else _HEAD).match(text).group()
-    return "\n".join(_split(head, python)[1]) + "\n" + "\n".join(notes[:4])[:1000]
+_SAID = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
+_DIRECTIVE = re.compile(r"^[ \t]*#[ \t]*line[ \t].*", re.M)
+# A line that may be a record of data, not code or prose: values between commas, or one key and its value.
+_NUMBER = re.compile(r"\d+")
+_CODE_SIGN = re.compile(r"[;{}()=<>\\&|!?@]")
+_RECORD = re.compile(r"[^,]*(?:,[^,]*)+|\s*(?:- )?[\w.\"'-]+\s*:(?:\s.*)?|\s*\S+\s*")
+# Words of the three languages that are no data.
+_WORDS = set(_CPP_WORDS) | set("import from def class return if else elif for while try except with as pass in not and or is None True False self function var let const".split())
+_LAYOUT = set(",[]:-.")
 
 
-def _data_lines(text: str) -> bool:
-    """Whether the text as a whole is JSON, comma-separated or keyed data."""
-    lines = [x for x in text.split("\n") if x.strip()]
-    if not lines:
-        return False
-    head = text.lstrip()[:1]
-    if head in "[{" and not re.match(r"\s*\[\[", text):
-        rest = re.sub(r'"(?:[^"\\]|\\.)*"|-?\d[\d.eE+-]*|true|false|null|[\s\[\]{},:]', "", text)
-        return len(rest) < 0.02 * len(text) + 8
-    commas = [x.count(",") for x in lines]
-    usual = max(set(commas), key=commas.count)
-    if len(lines) >= 5 and usual >= 1 and sum(c == usual for c in commas) >= 0.9 * len(lines) - 1 and not any(c in text for c in ";{}()="):
-        return True
-    return len(lines) >= 5 and sum(bool(_KEYED.match(x)) for x in lines) >= 0.85 * len(lines) and ";" not in text
+def _literals(code: str, strings: list[str]) -> tuple[list[str], float]:
+    """The literals of a file, and their share of its characters without layout. In lines that hold values or keys and
+    no code the words are literals too."""
+    out, share, other = [], sum(map(len, strings)), 0
+    for x in strings:
+        out += re.findall(r"\w{1,3}|[^\w\s]", x)
+    for line in code.split("\n"):
+        data = not _CODE_SIGN.search(line) and _RECORD.fullmatch(line) is not None
+        for t in _TOKEN.findall(line):
+            if t[0].isdigit() or data and (t[0].isalpha() or t[0] == "_") and t not in _WORDS:
+                out.append(t)
+                share += len(t)
+            elif t not in _LAYOUT:
+                other += len(t)
+    return out, share / max(1, share + other)
 
 
 _RUN = 24  # tokens of a run, on average
@@ -102,52 +109,92 @@ def _runs(exact: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.add.reduceat((exact ^ (exact >> np.uint64(31))) * power[at], start), owner[start], size
 
 
+def _says(text: str) -> str | None:
+    if text[0] == "~":  # a name; its tokens are marked, so that comments about names share no rule with them
+        text = text.replace("~", "")
+        return "vendored" if _VENDOR_NAME.search(text) else "generated" if _GENERATED_NAME.search(text) else None
+    return "vendored" if _VENDOR_SAYS.search(text) else "generated" if _GENERATED_SAYS.search(text) else None
+
+
+def _marks(hashes: np.ndarray, seg: np.ndarray, file_of: np.ndarray, words: list[str], files: int) -> list[list[tuple]]:
+    """Of each file, the rules it shares with another file of the batch that say what it is: (rule, size, says, library).
+    Rules that a shorter rule says are left out."""
+    rule, own, begin, size, left = grammars(hashes, seg, together=True).uses
+    out: list[list[tuple]] = [[] for _ in range(files)]
+    if not len(rule):
+        return out
+    file = file_of[own]
+    order = np.lexsort((file, rule))
+    rule, file, begin, size, left = (x[order] for x in (rule, file, begin, size, left))
+    first = np.flatnonzero(np.r_[True, rule[1:] != rule[:-1]])
+    last = np.r_[first[1:], len(rule)]
+    for a, b in zip(first, last):
+        if file[a] == file[b - 1]:
+            continue
+        at, n, k = begin[a], size[a], left[a]
+        text = " ".join(words[at : at + n])
+        says = _says(text)
+        if says is None or _says(" ".join(words[at : at + k])) == says or _says(" ".join(words[at + k : at + n])) == says:
+            continue
+        library = _LIBRARY.search(text.replace("~", "")) if says == "vendored" else None
+        name = next(x for x in library.groups() if x) if library else None
+        for f in np.unique(file[a:b]):
+            out[f].append((int(rule[a].view("i8")), int(n), says, name))
+    return out
+
+
 def _features(long_rule: int, instance: int, least_uses: int):
     """Per file: what the rules say, and hashes of the exact text under longer rules and of all runs of tokens."""
-    vocabulary = _Vocabulary()
+    vocabulary, spoken = _Vocabulary(), _Vocabulary()
 
     def features(b: pa.RecordBatch) -> pa.RecordBatch:
         n = b.num_rows
-        ids, rows = [np.empty(0, "i4")], []
-        for path, lang, content in zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content"))):
+        ids, rows, literal_ids = [np.empty(0, "i4")], [], [np.empty(0, "i4")]
+        said: list[str] = []  # the tokens of paths, comments and directives
+        ends, file_of, outer = [], [], []
+        for i, (path, lang, content) in enumerate(zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content")))):
             text = (content or b"").decode("utf-8", "replace").removeprefix("\ufeff").replace("\r\n", "\n")
-            path = path or ""
-            code, notes, strings = _split(text, lang == "Python")
+            python = lang == "Python"
+            code, notes, strings = _split(text, python)
             tokens = _TOKEN.findall(code)
             ids.append(np.fromiter(map(vocabulary.__getitem__, tokens), "i4", len(tokens)))
-            solid = sum(map(len, tokens))
-            numbers = [x for x in tokens if x[0].isdigit()]
-            literal = (sum(map(len, numbers)) + len(numbers) + sum(map(len, strings))) / max(1, solid + sum(map(len, strings)))
-            fresh = len(set(zip(numbers, numbers[1:]))) / max(1, len(numbers) - 1)  # pairs that repeat would compress
+            literals, share = _literals(code, strings)
+            literal_ids.append(np.fromiter(map(vocabulary.__getitem__, literals), "i4", len(literals)))
             lines = text.split("\n")
-            longest = max(map(len, lines))
-            note = "\n".join(notes)
-            top = _header(text, notes, lang == "Python")
-            library = _LIBRARY.search(top) or _LIBRARY_PATH.search(path)
-            rows.append(
-                (
-                    bool(_GENERATED_NOTE.search(note) or _GENERATED_CODE.search(code if "has_bits_" in code else text) or _GENERATED_PATH.search(path)),
-                    bool(_VENDOR_PATH.search(path) or _VENDOR_NOTE.search(top)),
-                    longest >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text),
-                    code.count(";") * 60 >= len(tokens),
-                    next((x for x in library.groups() if x), "").lower() if library else None,
-                    len(text) >= 200 and (literal >= 0.6 and (not numbers or fresh >= 0.3 or literal >= 0.9) or _data_lines(text)),
-                )
-            )
+            rows.append((share, max(map(len, lines)) >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text), code.count(";") * 60 >= len(tokens) <= code.count("{") * 200))
+            head = (_PY_HEAD if python else _HEAD).match(text).end()
+            *folders, name = (path or "").lower().split("/")
+            names = [f"^{x}/" for x in folders] + [f"^{name}$"]
+            parts = [x for at, x in notes if at < head]
+            outer.append(len(names) + len(parts))
+            for k, part in enumerate(names + parts + [x for at, x in notes if at >= head] + _DIRECTIVE.findall(code)):
+                heard = _SAID.findall(_NUMBER.sub("0", part.lower()))
+                said += ["~" + x for x in heard] if k < len(names) else heard
+                ends.append(len(said))
+                file_of.append(i)
+        size = np.array([len(x) for x in ids[1:]], "i8")
+        token, owner = np.concatenate(ids), np.repeat(np.arange(n), size)
         exact_of, kind_of = vocabulary.hashes()
-        token = np.concatenate(ids)
         exact = exact_of[token]
-        owner = np.repeat(np.arange(n), [len(x) for x in ids[1:]])
-        _, o, length, rules = grammars(kind_of[token], owner)
-        size = np.bincount(owner, minlength=n)
+        kinds = grammars(kind_of[token], owner)
+        rule, of, _, under, _ = kinds.uses
+        _, at, uses = np.unique(rule ^ (of.astype("u8") * np.uint64(0xBF58476D1CE4E5B9)), return_index=True, return_counts=True)
+        often = (under[at] >= long_rule) & (under[at] <= 8 * long_rule) & (uses >= least_uses)
         most = np.zeros(n, "i8")  # tokens under the one rule that covers most, of those used often and not only copied whole
-        for _, of, tokens_under, uses in rules:
-            often = (tokens_under >= long_rule) & (tokens_under <= 8 * long_rule) & (uses >= least_uses)
-            np.maximum.at(most, of[often], (tokens_under * uses)[often])
-        begin = np.cumsum(length) - length
+        np.maximum.at(most, of[at[often]], (under[at] * uses)[often])
+        _, o, begin, length = kinds.symbols
         pieces: list[list[int]] = [[] for _ in range(n)]
-        for i in np.flatnonzero(length >= instance):
-            pieces[o[i]].append(xxhash.xxh64_intdigest(exact[begin[i] : begin[i] + length[i]].tobytes()) - (1 << 63))
+        for k in np.flatnonzero(length >= instance):
+            pieces[o[k]].append(xxhash.xxh64_intdigest(exact[begin[k] : begin[k] + length[k]].tobytes()) - (1 << 63))
+        n_literals = np.array([len(x) for x in literal_ids[1:]], "i8")
+        left = grammars(exact_of[np.concatenate(literal_ids)], np.repeat(np.arange(n), n_literals)).symbols[1]
+        fresh = np.bincount(left, minlength=n) / np.maximum(1, n_literals)
+        word = np.fromiter(map(spoken.__getitem__, said), "i4", len(said))
+        heard = spoken.hashes()[0][word]
+        segment_size = np.diff(np.r_[0, np.array(ends, "i8")])
+        marks = _marks(heard, np.repeat(np.arange(len(ends)), segment_size), np.array(file_of, "i8"), said, n)
+        segments = np.bincount(np.array(file_of, "i8"), minlength=n)
+        per_file = np.r_[0, np.cumsum(np.bincount(np.repeat(np.array(file_of, "i8"), segment_size), minlength=n))]
         hashes, of, size_of = _runs(exact, owner)
         order = np.lexsort((hashes, of))
         hashes, of, size_of = hashes[order], of[order], size_of[order]
@@ -155,12 +202,25 @@ def _features(long_rule: int, instance: int, least_uses: int):
         under = np.add.reduceat(size_of, new) if len(of) else size_of
         run = pa.StructArray.from_arrays([pa.array(hashes[new].view("i8"), pa.int64()), pa.array(under, pa.int32())], names=["piece", "n"])
         runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(of[new], np.arange(n + 1)), pa.int32()), run)
-        flags = list(zip(*rows)) or [()] * 6
-        kinds = [pa.bool_()] * 4 + [pa.string(), pa.bool_()]
-        return pa.RecordBatch.from_arrays(
-            [b.column("file_id"), b.column("repo"), pa.array(size, pa.int64()), pa.array(most / np.maximum(1, size), pa.float64()), *[pa.array(x, t) for x, t in zip(flags, kinds)], pa.array(pieces, pa.list_(pa.int64())), runs, b.column("language"), b.column("file_path")],
-            names=["file_id", "repo", "tokens", "rule_reuse", "generated_mark", "vendor_mark", "minified", "statements", "library", "blob", "pieces", "runs", "language", "file_path"],
-        )
+        share, minified, statements = list(zip(*rows)) or [()] * 3
+        mark = pa.list_(pa.struct([("rule", pa.int64()), ("size", pa.int32()), ("says", pa.string()), ("library", pa.string())]))
+        named = [[dict(zip(("rule", "size", "says", "library"), m)) for m in x] for x in marks]
+        cols = {
+            "tokens": pa.array(size, pa.int64()),
+            "rule_reuse": pa.array(most / np.maximum(1, size), pa.float64()),
+            "statements": pa.array(statements, pa.bool_()),
+            "minified": pa.array(minified, pa.bool_()),
+            "literals": pa.array(n_literals, pa.int64()),
+            "literal_share": pa.array(share, pa.float64()),
+            "literals_left": pa.array(fresh, pa.float64()),
+            "marks": pa.array(named, mark),
+            "said": pa.ListArray.from_arrays(pa.array(per_file, pa.int32()), pa.array(heard.view("i8"), pa.int64())),
+            "segments": pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(segments)], pa.int32()), pa.array(segment_size, pa.int32())),
+            "outer": pa.array(outer, pa.int32()),
+            "pieces": pa.array(pieces, pa.list_(pa.int64())),
+            "runs": runs,
+        }
+        return pa.RecordBatch.from_arrays([b.column("file_id"), b.column("repo"), b.column("language"), b.column("file_path"), *cols.values()], names=["file_id", "repo", "language", "file_path", *cols])
 
     def run(batches):
         for b in batches:
@@ -170,6 +230,36 @@ def _features(long_rule: int, instance: int, least_uses: int):
     return run
 
 
+_FEATURES = (
+    "repo string, language string, file_path string, tokens long, rule_reuse double, statements boolean, minified boolean, literals long, literal_share double, literals_left double,"
+    " marks array<struct<rule: long, size: int, says: string, library: string>>, said array<long>, segments array<int>, outer int, pieces array<long>, runs array<struct<piece: long, n: int>>"
+)
+
+
+def _told_by(rules):
+    """The files that hold one of the rules; a vendor's mark counts in paths and in the comments before the first code."""
+
+    def run(batches):
+        vendored, wanted = {h for h, _, says in rules.value if says == "vendored"}, {}
+        for h, size, _ in rules.value:
+            wanted.setdefault(size, []).append(h)
+        wanted = {k: np.sort(np.array(v, "i8").view("u8")) for k, v in wanted.items()}
+        for b in batches:
+            sizes = b.column("segments").flatten().to_numpy(zero_copy_only=False)
+            per_file = b.column("segments").value_lengths().to_numpy(zero_copy_only=False)
+            file_of = np.repeat(np.arange(b.num_rows), per_file)
+            number = np.arange(len(file_of)) - np.repeat(np.cumsum(per_file) - per_file, per_file)
+            outside = number < b.column("outer").to_numpy(zero_copy_only=False)[file_of]
+            said = b.column("said").flatten().to_numpy(zero_copy_only=False).view("u8")
+            seg, h = windows(said, np.repeat(np.arange(len(sizes)), sizes), wanted)
+            h = h.view("i8").tolist()
+            hits = {(int(file_of[s]), "vendored" if x in vendored else "generated") for s, x in zip(seg.tolist(), h) if outside[s] or x not in vendored}
+            at = [f for f, _ in hits]
+            yield pa.RecordBatch.from_arrays([b.column("file_id").take(pa.array(at, pa.int64())), pa.array([x for _, x in hits], pa.string())], names=["file_id", "says"])
+
+    return run
+
+
 class _Vocabulary(dict):
     """Tokens to small numbers, with the hash of each and of its kind."""
 
@@ -194,42 +284,64 @@ class _Vocabulary(dict):
         return out
 
 
-def file_origins(files: DataFrame, reuse: float = 0.15, least_tokens: int = 150, shared: float = 0.8, repositories: int = 3, long_rule: int = 24, instance: int = 12, least_uses: int = 4, verbatim: float = 0.95) -> DataFrame:
-    """(file_id, repo, origin, rule_reuse, shared_share) with origin one of generated, minified, vendored, blob, handwritten.
+def file_origins(
+    files: DataFrame, reuse: float = 0.15, least_tokens: int = 150, shared: float = 0.8, repositories: int = 3, long_rule: int = 24, instance: int = 12, least_uses: int = 4, verbatim: float = 0.95,
+    marked: int = 2, literal_share: float = 0.75, literals_left: float = 0.4, least_literals: int = 12, rules_at_once: int = 100_000,
+) -> DataFrame:
+    """(file_id, repo, origin, evidence, rule_reuse, shared_share) with origin one of generated, minified, vendored, blob, handwritten.
+
+    Takes ``file_id, repo, file_path, content``. In this order, a file is
 
-    Takes ``file_id, repo, file_path, content``. A file is generated if a tool's mark is on it or, in C++, one rule of ``long_rule``
-    or more tokens, used ``least_uses`` times or more, covers ``reuse`` of its ``least_tokens`` or more; vendored if a mark says so in its path or in
-    the comments before its first code (of files that begin with code, in the first 1,000 characters of the first four comments), it lies in a
-    directory named like a library that two repositories vendor, or ``shared`` of its rule
-    instances, or runs of tokens that make up ``verbatim`` of its ``least_tokens`` or more, occur, with the same text, in ``repositories`` or
-    more; ``shared_share`` is the greater of the two shares. Null content counts as empty, and empty files are
-    hand-written; a null path says nothing. Repeated rows come out repeatedly; other columns are ignored.
+    - a blob if ``literal_share`` of its characters are literals, ``least_literals`` or more, and their grammar leaves
+      ``literals_left`` of them or more as symbols (evidence ``literals``);
+    - minified by the shape of its lines (``lines``);
+    - vendored if it holds a rule of the grammar of paths and comments that ``marked`` repositories share and that is a
+      vendor's mark, in its path or before its first code (``shared rule``); if it lies in a directory named like a library
+      that such rules of two repositories name (``library folder``); or if ``shared`` of its rule instances (8 at least),
+      or runs of tokens that make up ``verbatim`` of it, occur with the same text in ``repositories`` or more (``shared text``);
+    - generated if it holds a shared rule that is a tool's mark (``shared rule``), or, in C++, one rule of ``long_rule`` or more
+      tokens, used ``least_uses`` times or more, covers ``reuse`` of it (``rule reuse``).
+
+    Rule reuse and equal text need files of ``least_tokens``, since short files have few rules and are alike by chance.
+    ``shared_share`` is the greater of the two shares of shared text. Marks are searched everywhere, ``rules_at_once`` at a time.
+    Null content counts as empty, and empty files are hand-written; a null path says nothing. Repeated rows come out
+    repeatedly; other columns are ignored.
     """
+    spark = files.sparkSession
     rows = files.select("file_id", "repo", "file_path", "content", language(F.col("file_path")).alias("language"))
     kind = dict(rows.dtypes)["file_id"]
-    told = rows.mapInArrow(
-        _features(long_rule, instance, least_uses),
-        f"file_id {kind}, repo string, tokens long, rule_reuse double, generated_mark boolean, vendor_mark boolean, minified boolean, statements boolean, library string, blob boolean, pieces array<long>, runs array<struct<piece: long, n: int>>, language string, file_path string",
-    )
-    told = cut(told)
+    told = cut(rows.mapInArrow(_features(long_rule, instance, least_uses), f"file_id {kind}, {_FEATURES}"))
+    rules = cut(told.select("repo", F.inline("marks")).distinct().groupBy("rule", "size", "says", "library").agg(F.count("*").alias("r")).where(F.col("r") >= marked))
+    blocks = max(1, -(-rules.count() // rules_at_once))
+    held = None
+    for k in range(blocks):
+        block = [(r[0], r[1], r[2]) for r in rules.where(F.pmod(F.xxhash64("rule"), F.lit(blocks)) == k).select("rule", "size", "says").collect()]
+        part = told.select("file_id", "said", "segments", "outer").mapInArrow(_told_by(spark.sparkContext.broadcast(block)), f"file_id {kind}, says string")
+        held = part if held is None else held.unionByName(part)
+    held = held.groupBy("file_id").agg(F.bool_or(F.col("says") == "vendored").alias("vendor_mark"), F.bool_or(F.col("says") == "generated").alias("generated_mark"))
     instances = F.transform(F.array_distinct("pieces"), lambda p: F.struct(p.alias("piece"), F.lit(0).alias("n")))
     piece = told.select("file_id", "repo", F.inline(F.concat(instances, "runs")))
     wide = piece.select("piece", "repo").distinct().groupBy("piece").agg(F.count("*").alias("r")).where(F.col("r") >= repositories).select("piece")
     share = piece.join(wide, "piece", "left_semi").select("file_id", "piece", "n").distinct().groupBy("file_id").agg(F.count_if(F.col("n") == 0).alias("common"), F.sum("n").alias("copied"))
-    # Directories named like a library whose banner or versioned directory two repositories have.
-    named = told.where("library is not null").select("library", "repo").distinct().groupBy("library").agg(F.count("*").alias("r")).where("r >= 2").select(F.col("library").alias("folder"))
+    named = rules.where("library is not null").select(F.col("library").alias("folder")).distinct()
     folders = told.select("file_id", F.explode(F.array_distinct(F.slice(F.split(F.lower("file_path"), "/"), 1, F.greatest(F.lit(0), F.size(F.split("file_path", "/")) - 1)))).alias("folder"))
     inside = folders.join(named, "folder", "left_semi").select("file_id").distinct().withColumn("in_library", F.lit(True))
-    out = told.join(share, "file_id", "left").join(inside, "file_id", "left")
+    out = told.drop("said", "segments", "marks").join(share, "file_id", "left").join(inside, "file_id", "left").join(held, "file_id", "left")
     part = F.coalesce(F.col("common"), F.lit(0)) / F.greatest(F.lit(1), F.size(F.array_distinct("pieces")))
     run_part = F.coalesce(F.col("copied"), F.lit(0)) / F.greatest(F.lit(1), F.col("tokens"))
-    copied = (run_part >= verbatim) & (F.col("tokens") >= least_tokens)
-    regular = F.col("statements") & (F.col("rule_reuse") >= reuse) & (F.col("tokens") >= least_tokens)
-    origin = (
-        F.when(F.col("blob"), "blob")
-        .when(F.col("minified"), "minified")
-        .when(F.col("vendor_mark") | ((part >= shared) & (F.size("pieces") >= 8)) | copied, "vendored")
-        .when(F.col("generated_mark") | (F.col("language") == "C++") & regular, "generated")
-        .otherwise("handwritten")
+    long = F.col("tokens") >= least_tokens
+    is_blob = (F.col("literal_share") >= literal_share) & (F.col("literals_left") >= literals_left) & (F.col("literals") >= least_literals)
+    copied = ((part >= shared) & (F.size("pieces") >= 8)) | ((run_part >= verbatim) & long)
+    regular = F.col("statements") & (F.col("rule_reuse") >= reuse) & long & (F.col("language") == "C++")
+    why = (
+        F.when(is_blob, "blob:literals")
+        .when(F.col("minified"), "minified:lines")
+        .when(F.col("vendor_mark"), "vendored:shared rule")
+        .when(F.col("in_library"), "vendored:library folder")
+        .when(copied, "vendored:shared text")
+        .when(F.col("generated_mark"), "generated:shared rule")
+        .when(regular, "generated:rule reuse")
+        .otherwise("handwritten:")
     )
-    return out.select("file_id", "repo", origin.alias("origin"), F.round("rule_reuse", 6).alias("rule_reuse"), F.round(F.greatest(part, run_part), 6).alias("shared_share"))
+    told_as = F.split(why, ":")
+    return out.select("file_id", "repo", told_as[0].alias("origin"), F.when(told_as[1] != "", told_as[1]).alias("evidence"), F.round("rule_reuse", 6).alias("rule_reuse"), F.round(F.greatest(part, run_part), 6).alias("shared_share"))

@@ -1,66 +1,91 @@
 """Re-Pair grammars of many token sequences at once.
 
-In each round every pair that occurs twice or more in its sequence, and is more frequent there than the pairs it
-overlaps, is replaced by a new symbol. All sequences of a batch are worked on together in arrays.
+In each round every pair that occurs twice or more, and is more frequent than the pairs it overlaps, is replaced by a new
+symbol, until no pair occurs twice. All sequences of a batch are worked on together in arrays. A symbol is named by a hash
+of the tokens it stands for, so equal text has equal rules in whatever file, batch or task it is found.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
-_MIX, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+# The base of the hashes of texts, and a multiplier that mixes the owner into a pair.
+BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+BACK = pow(BASE, -1, 1 << 64)
+
+
+def powers(n: int, base: int = BASE) -> np.ndarray:
+    """``base`` to the power of 0 up to ``n``, in 64 bits."""
+    out = np.full(n + 1, base, "u8")
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
 
+class Grammar(NamedTuple):
+    """The symbols left over, as (hash, owner, first token, tokens), and every use of every rule when it was made, as
+    (hash, owner, first token, tokens, tokens of its left part)."""
 
-def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = (a * _MIX) ^ (b + _TURN)
-    h = (h ^ (h >> np.uint64(31))) * _TURN
-    return h ^ (h >> np.uint64(29))
+    symbols: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+    uses: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def grammars(tokens: np.ndarray, owner: np.ndarray, max_rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+def grammars(tokens: np.ndarray, owner: np.ndarray, together: bool = False) -> Grammar:
     """Compress sequences given as token hashes (uint64) with the owner of each token (ascending).
 
-    Returns the final symbols as (hash, owner, length in tokens), and of every round the rules made: arrays of rule hash,
-    owner, length in tokens and number of uses. Equal rules of different sequences have equal hashes.
+    Each owner has a grammar of its own, or all have one ``together``; no rule reaches over the end of a sequence.
     """
     sym, own = tokens.astype("u8"), owner.astype("i8")
-    length = np.ones(len(sym), "i8")
-    rules: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-    for _ in range(max_rounds):
-        if len(sym) < 2:
-            break
+    begin, length = np.arange(len(sym)), np.ones(len(sym), "i8")
+    power = powers(len(sym))
+    uses: list[tuple[np.ndarray, ...]] = []
+    while len(sym) >= 2:
         same = own[1:] == own[:-1]
-        h = _pair_hash(sym[:-1], sym[1:])
-        key = h ^ (own[:-1].astype("u8") * _TURN)
+        h = sym[:-1] * power[length[1:]] + sym[1:]
+        key = h if together else h ^ (own[:-1].astype("u8") * _MIX)
         _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         n = np.where(same, count[inverse], 0)
         # Ranks within the sequence: the count, then the hash, so that equal pairs are treated alike everywhere.
         before = np.r_[0, n[:-1]]
         after = np.r_[n[1:], 0]
         hb, ha = np.r_[np.uint64(0), h[:-1]], np.r_[h[1:], np.uint64(0)]
-        pick = (n >= 2) & ((n > before) | ((n == before) & (h > hb))) & ((n > after) | ((n == after) & (h >= ha)))
+        pick = (n >= 2) & ((n > before) | ((n == before) & (h >= hb))) & ((n > after) | ((n == after) & (h >= ha)))
         at = np.flatnonzero(pick)
         if len(at):  # of overlapping picks (a run of one symbol) the first, third, ... stay
             gap = np.diff(at) == 1
             if gap.any():
                 start = np.r_[True, ~gap]
-                begin = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - begin) % 2 == 0]
+                head = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
+                at = at[(np.arange(len(at)) - head) % 2 == 0]
+        _, inverse, count = np.unique(key[at], return_inverse=True, return_counts=True)
+        at = at[count[inverse] >= 2]
         if not len(at):
             break
-        u, uses = np.unique(key[at], return_counts=True)
-        good = uses >= 2
-        if not good.any():
-            break
-        at = at[good[np.searchsorted(u, key[at])]]
-        src = np.searchsorted(u[good], key[at])
-        new_len = length[at] + length[at + 1]
-        rep = np.empty(len(u[good]), "i8")
-        rep[src] = at
-        rules.append((h[rep], own[rep], length[rep] + length[rep + 1], uses[good]))
-        sym = sym.copy()
-        sym[at], length[at] = h[at], new_len
+        left = length[at].copy()
+        sym, length = sym.copy(), length.copy()
+        sym[at], length[at] = h[at], left + length[at + 1]
+        uses.append((sym[at], own[at], begin[at], length[at], left))
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
-        sym, own, length = sym[keep], own[keep], length[keep]
-    return sym, own, length, rules
+        sym, own, begin, length = sym[keep], own[keep], begin[keep], length[keep]
+    kinds = ("u8", "i8", "i8", "i8", "i8")
+    joined = tuple(np.concatenate(x) for x in zip(*uses)) if uses else tuple(np.empty(0, t) for t in kinds)
+    return Grammar((sym, own, begin, length), joined)
+
+
+def windows(tokens: np.ndarray, owner: np.ndarray, wanted: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, hash) of the runs of tokens whose hash is in ``wanted``, given as length to sorted hashes."""
+    n = len(tokens)
+    found_own, found_hash = [np.empty(0, "i8")], [np.empty(0, "u8")]
+    forth = powers(n)
+    total = np.r_[np.uint64(0), np.cumsum(tokens * powers(n, BACK)[:n], dtype="u8")]
+    for size, hashes in wanted.items():
+        if size > n:
+            continue
+        h = (total[size:] - total[:-size]) * forth[size - 1 : n]
+        hit = (hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h) & (owner[size - 1 :] == owner[: n - size + 1])
+        at = np.flatnonzero(hit)
+        found_own.append(owner[at])
+        found_hash.append(h[at])
+    return np.concatenate(found_own), np.concatenate(found_hash)
