@@ -29,7 +29,7 @@ def newest_rows(df: DataFrame, key: str, at: str) -> DataFrame:
 
 def pack_counts(counts: np.ndarray, block: int) -> pa.RecordBatch:
     """The non-zero blocks of an array of counters, compressed, as (block, counts)."""
-    rows = counts.astype("u8").reshape(-1, block)
+    rows = counts.astype("f8").reshape(-1, block)
     some = np.flatnonzero(rows.any(axis=1))
     packed = [zlib.compress(rows[k].tobytes(), 3) for k in some]
     return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
@@ -39,12 +39,12 @@ def add_counts(df: DataFrame, size: int, block: int) -> np.ndarray:
     """The sum of the tasks' counters, added up block by block; the driver gets ``size`` numbers, whatever the data."""
 
     def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(block, "u8")
+        total = np.zeros(block)
         for x in t.column("counts").to_pylist():
-            total += np.frombuffer(zlib.decompress(x), "u8")
+            total += np.frombuffer(zlib.decompress(x), "f8")
         return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 3)], pa.binary())})
 
-    out = np.zeros((size // block, block), "u8")
+    out = np.zeros((size // block, block))
     for r in df.groupBy("block").applyInArrow(add, "block int, counts binary").collect():
-        out[r[0]] = np.frombuffer(zlib.decompress(r[1]), "u8")
+        out[r[0]] = np.frombuffer(zlib.decompress(r[1]), "f8")
     return out.ravel()
