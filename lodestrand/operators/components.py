@@ -25,7 +25,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     """(node, component) for every node of the links; a component is named by its smallest node.
 
     Links with a null are left out, loops and repeated links change nothing, and an empty table gives none. Rounds grow
-    with the logarithm of the size, also for long chains; each is written to the shared folder. Hot nodes are
+    with the logarithm of the size, also for long chains; each is written to the shared folder. It is an error if
+    ``max_rounds`` don't suffice. Hot nodes are
     aggregated before they are joined; adaptive skew joins split what remains.
     """
     known = edges.select(F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")).where("a is not null and b is not null")
@@ -39,6 +40,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         if this == seen:
             break
         seen = this
+    else:
+        raise RuntimeError(f"the components are not finished after {max_rounds} rounds")
     named = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     alone = loops.select(F.col("a").alias("node"), F.col("a").alias("component")).join(named.select("node"), "node", "left_anti").join(heads.select("node"), "node", "left_anti")

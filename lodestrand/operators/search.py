@@ -83,7 +83,7 @@ def resolve_root(nodes: DataFrame, **selector: str | None) -> tuple[str, list[st
     found = nodes
     for k, v in given.items():
         found = found.where(F.col(k) == v)
-    keys = sorted(r[0] for r in found.select("identity_key").distinct().limit(101).collect())
+    keys = sorted(r[0] for r in found.select("identity_key").distinct().collect())
     return ("missing_root" if not keys else "ok" if len(keys) == 1 else "ambiguous_root"), keys
 
 

@@ -35,9 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, or one of our own where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Only a local session, whose executors are
+    on this machine, gets one of its own where that is unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="spark-lodestrand-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -66,10 +69,22 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", broadcast_rows: int = 200_000, written: bool = False) -> DataFrame:
-    """Join with a side that is usually small: counted, and broadcast up to ``broadcast_rows``, else shuffled.
+def written_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df``, the result of ``cut`` or a selection from one, is read from."""
+    spark = df.sparkSession
+    total = 0
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
+
+
+def lookup(df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", broadcast_rows: int = 200_000, broadcast_bytes: int = 16 << 20, written: bool = False) -> DataFrame:
+    """Join with a side that is usually small: measured, and broadcast up to ``broadcast_rows`` rows in files of
+    ``broadcast_bytes``, else shuffled.
 
-    It is written first, so that counting doesn't compute it twice, unless it is ``written`` already.
+    It is written first, so that measuring doesn't compute it twice, unless it is ``written`` already.
     """
     small = small if written else cut(small)
-    return df.join(F.broadcast(small) if small.count() <= broadcast_rows else small, on, how)
+    fits = written_bytes(small) <= broadcast_bytes and small.count() <= broadcast_rows
+    return df.join(F.broadcast(small) if fits else small, on, how)
