@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 # Kinds of symbols in the index format, by what becomes of them.
 KIND_TYPES = {7: "Class", 49: "Struct", 59: "Struct", 17: "Function", 26: "Function", 9: "Function"}
 DROPPED_KINDS = (30, 61, 37, 58, 15, 11, 12, 25, 55)
-# Top namespaces that are always dropped, and those whose missing definitions become stubs.
-IGNORED_NAMESPACES = ("std", "__gnu_cxx", "__cxxabiv1", "__gnu_debug", "boost", "__sanitizer", "__asan")
-MONITORED_NAMESPACES = ("YAML", "webrtc", "rtc", "game_hook", "common", "models")
 _PART = re.compile(r"(?:`(?P<quoted>[^`]*)(?:`|\Z)|(?P<plain>[^/#.!()\[\]]*))(?:\((?P<mark>[^)]*)(?:\)(?P<dot>\.)?|\Z)|(?P<end>.)|\Z)", re.S)
 _PLAIN_MARK = re.compile(r"[0-9a-z_-]{4,64}")
 PARSED = "entity_type string, entity_name string, first_namespace string, package_local boolean, function_sig_hash string"
@@ -65,12 +62,12 @@ def parse_symbols(df: DataFrame, symbol: str, kind: str | None = None) -> DataFr
     return keys.withColumn("p", parsed("scip_symbol", "kind")).select("scip_symbol", "kind", "p.*")
 
 
-def is_external(package_local: Column, first_namespace: Column, monitored=MONITORED_NAMESPACES) -> Column:
+def is_external(package_local: Column, first_namespace: Column, monitored: tuple[str, ...]) -> Column:
     """Not of this package, or in a top namespace that is not monitored."""
     return ~package_local | ((first_namespace != "") & ~first_namespace.isin(*monitored))
 
 
-def disposition(entity_type: Column, first_namespace: Column, defined: Column, monitored=MONITORED_NAMESPACES, ignored=IGNORED_NAMESPACES) -> Column:
+def disposition(entity_type: Column, first_namespace: Column, defined: Column, monitored: tuple[str, ...], ignored: tuple[str, ...]) -> Column:
     """keep, drop or stub."""
     return (
         F.when(entity_type.isNull() | first_namespace.isin(*ignored), "drop")

@@ -50,17 +50,26 @@ def implementation_relation(src_type: Column, tgt_type: Column) -> Column:
 
 
 def ownership(definitions: DataFrame, precedence: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(scip_symbol, owner_repo, file_path, candidates, is_conflict) from (scip_symbol, repo, file_path, seq).
+    """(scip_symbol, owner_repo, file_path, candidates, is_conflict, reason) from (scip_symbol, repo, file_path, seq).
 
-    The owner is an override if it is a candidate, else the candidate first in ``precedence`` (repo, position), then in
-    ``seq``; its first file counts. A symbol with several entries is a conflict.
+    The owner is an override if it is a candidate, else the candidate that the symbol names as its package, else the one
+    first in ``precedence`` (repo, position), then in ``seq``; its first file counts. A symbol with several entries is a
+    conflict; ``reason`` says what decided.
     """
-    d = definitions.where("scip_symbol is not null").join(precedence, "repo", "left").withColumn("rank", F.coalesce("position", F.lit(2**31 - 1)))
+    package = F.get(F.split("scip_symbol", " ", 5), F.lit(2))
+    named = F.col("scip_symbol").startswith("cxx ") & (package == F.col("repo")) & (package != ".")
+    d = definitions.where("scip_symbol is not null").join(precedence, "repo", "left").withColumn("place", F.coalesce("position", F.lit(2**31 - 1))).withColumn("rank", F.when(named, 0).otherwise(1))
     if overrides is not None:
         d = d.join(overrides.select("scip_symbol", F.col("repo").alias("_chosen")), "scip_symbol", "left").withColumn("rank", F.when(F.col("_chosen") == F.col("repo"), -1).otherwise(F.col("rank")))
-    best = F.min_by(F.struct("repo", "file_path"), F.struct("rank", "seq", "repo"))
+    best = F.min_by(F.struct("repo", "file_path", "rank"), F.struct("rank", "place", "seq", "repo"))
     g = d.groupBy("scip_symbol").agg(best.alias("b"), F.array_sort(F.collect_set("repo")).alias("candidates"), (F.count("*") > 1).alias("is_conflict"))
-    return g.select("scip_symbol", F.col("b.repo").alias("owner_repo"), F.col("b.file_path").alias("file_path"), "candidates", "is_conflict")
+    reason = F.when(F.col("b.rank") == -1, "override").when(~F.col("is_conflict"), "single_local_definition").when(F.col("b.rank") == 0, "package_hint").otherwise("stable_order")
+    return g.select("scip_symbol", F.col("b.repo").alias("owner_repo"), F.col("b.file_path").alias("file_path"), "candidates", "is_conflict", reason.alias("reason"))
+
+
+def conflicts(catalog: DataFrame) -> DataFrame:
+    """(scip_symbol, owner_repo, candidates, reason) of the symbols with several definitions."""
+    return catalog.where("is_conflict").select("scip_symbol", "owner_repo", "candidates", "reason")
 
 
 def existing_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -71,6 +80,19 @@ def existing_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return edges.select(*EDGE_KEY, "is_cross_repo").distinct()
 
 
+def merge_edges(old: DataFrame, new: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The store of edges after new ones arrive, and (relationship_type, offered, merged, vanished): how many distinct new
+    edges there were, and how many of them went missing because an end is no node. The newer flag of an edge wins."""
+    distinct = new.groupBy(*EDGE_KEY).agg(F.bool_or("is_cross_repo").alias("is_cross_repo"))
+    kept = existing_edges(distinct, nodes)
+    both = kept.withColumn("_new", F.lit(1)).unionByName(old.select(*EDGE_KEY, "is_cross_repo").withColumn("_new", F.lit(0)))
+    store = both.groupBy(*EDGE_KEY).agg(F.max_by("is_cross_repo", "_new").alias("is_cross_repo"))
+    count = lambda df, name: df.groupBy("relationship_type").agg(F.count("*").alias(name))
+    report = count(distinct, "offered").join(count(kept, "merged"), "relationship_type", "left")
+    merged = F.coalesce("merged", F.lit(0))
+    return store, report.select("relationship_type", "offered", merged.alias("merged"), (F.col("offered") - merged).alias("vanished"))
+
+
 def defined_in(nodes: DataFrame) -> DataFrame:
     """(owner_repo, scip_symbol, repo_name, file_path): each node's file, but for externals."""
     return nodes.where("file_path <> '<external>'").select("owner_repo", "scip_symbol", "repo_name", "file_path").distinct()

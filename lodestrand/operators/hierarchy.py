@@ -138,7 +138,7 @@ def resolve(links: DataFrame, child: str, parent: str, paths: bool = False, frag
     ``depth`` is the distance to the root (0 for a root). Nodes on a cycle have depth -1, nodes leading into one -2;
     for both ``root`` is the cycle's smallest node. ``path`` runs from the root to the node and is null at or before a
     cycle, and everywhere unless ``paths`` is set. Rows with a null on either side are left out; repeated rows count
-    once; of several parents of a node the smallest is followed; a node that is its own parent is a cycle of one. An
+    once; of several parents of a node the smallest is followed (``descendants`` takes all); a node that is its own parent is a cycle of one. An
     empty table gives an empty result; other columns are ignored. No task holds more than about ``fragment_rows`` links.
     """
     pairs = links.select(F.col(f"`{child}`").cast("string").alias("node"), F.col(f"`{parent}`").cast("string").alias("parent")).where("node is not null and parent is not null")
@@ -162,8 +162,34 @@ def resolve(links: DataFrame, child: str, parent: str, paths: bool = False, frag
     return out.withColumn("depth", F.col("depth").cast("int")).withColumn("path", F.reverse("path"))
 
 
-def descendants(resolved: DataFrame) -> DataFrame:
-    """(ancestor, descendant, distance) for every node below another, from ``resolve(..., paths=True)``; cycles have none."""
+def descendants(resolved: DataFrame, links: DataFrame | None = None, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(ancestor, descendant, distance) for every node below another, from ``resolve(..., paths=True)``; cycles have none.
+
+    With the ``links`` themselves, nodes with several parents are below all of them, at the least distance: what the paths
+    say is composed with the links they don't follow until nothing changes. Without such links this costs one look.
+    """
     n = F.size("path")
     up = resolved.where("path is not null").select(F.col("node").alias("descendant"), n.alias("_n"), F.posexplode("path").alias("_at", "ancestor"))
-    return up.where("ancestor <> descendant").select("ancestor", "descendant", (F.col("_n") - 1 - F.col("_at")).alias("distance"))
+    below = up.where("ancestor <> descendant").select("ancestor", "descendant", (F.col("_n") - 1 - F.col("_at")).alias("distance"))
+    if links is None:
+        return below
+    pairs = links.select(F.col(f"`{child}`").alias("c"), F.col(f"`{parent}`").alias("p")).where("c is not null and p is not null and c <> p").distinct()
+    several = pairs.groupBy("c").agg(F.count("*").alias("k")).where("k > 1").select("c")
+    followed = below.where("distance = 1").select(F.col("descendant").alias("c"), F.col("ancestor").alias("p"))
+    extra = cut(pairs.join(several, "c", "left_semi").join(followed, ["c", "p"], "left_anti"))
+    if extra.isEmpty():
+        return below
+    below = cut(below)
+    self_ = extra.select(F.col("c").alias("x")).unionByName(extra.select(F.col("p").alias("x"))).distinct()
+    near = cut(below.unionByName(self_.select(F.col("x").alias("ancestor"), F.col("x").alias("descendant"), F.lit(0).alias("distance"))))
+    over = near.select(F.col("descendant").alias("p"), "ancestor", F.col("distance").alias("above"))
+    known = below
+    front = near
+    while True:
+        crossed = front.select(F.col("ancestor").alias("c"), "descendant", "distance").join(extra, "c").join(over, "p").select("ancestor", "descendant", (F.col("distance") + 1 + F.col("above")).alias("distance"))
+        least = crossed.where("ancestor <> descendant").groupBy("ancestor", "descendant").agg(F.min("distance").alias("distance"))
+        better = least.join(known.withColumnRenamed("distance", "had"), ["ancestor", "descendant"], "left").where("had is null or distance < had").drop("had")
+        front = cut(better)
+        if front.isEmpty():
+            return known
+        known = cut(known.unionByName(front).groupBy("ancestor", "descendant").agg(F.min("distance").alias("distance")))

@@ -6,7 +6,7 @@ import time
 from contextlib import contextmanager
 from threading import Timer
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.session import cut, lookup
@@ -42,13 +42,55 @@ def blast_radius(edges: DataFrame, roots: DataFrame, max_depth: int = 5, upstrea
         met = lookup(links, front.select("node", "chain"), "node", "inner", written=True)
         step = met.groupBy("next").agg(F.min(F.concat("chain", F.array("relationship_type"))).alias("chain"))
         found = step.select(F.col("next").alias("node"), F.lit(depth).alias("depth"), "chain")
-        front = cut(lookup(found, seen.select("node"), "node", "left_anti", written=True))
+        front = cut(found.join(seen.select("node"), "node", "left_anti"))
         if front.isEmpty():
             break
         seen = seen.unionByName(front)
     return seen.where("depth > 0")
 
 
+def in_repository(found: DataFrame, nodes: DataFrame, repo: str | None, node: str = "node", key: str = "identity_key") -> DataFrame:
+    """Results whose node belongs to ``repo``, all if it is None. The walk itself may have passed through others."""
+    if repo is None:
+        return found
+    mine = nodes.where(F.col("repo_name") == repo).select(F.col(key).alias(node)).distinct()
+    return found.join(mine, node, "left_semi")
+
+
+def closure(links: DataFrame, child: str, parent: str) -> DataFrame:
+    """(node, ancestor, depth) for everything above a node by any of its parents, with the least distance.
+
+    Each round joins what is known with itself, so that rounds grow with the logarithm of the depth; it ends on cycles too,
+    where a node is its own ancestor. Links with a null are left out, repeated ones count once.
+    """
+    known = links.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")).where("node is not null and ancestor is not null").distinct()
+    known, before = cut(known), None
+    while True:
+        below, above = known.withColumnsRenamed({"ancestor": "via", "depth": "d"}), known.withColumnsRenamed({"node": "via", "depth": "e"})
+        further = below.join(above, "via").select("node", "ancestor", (F.col("d") + F.col("e")).alias("depth"))
+        known = cut(known.unionByName(further).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        now = known.agg(F.count("*"), F.sum("depth")).first()
+        if now == before:
+            return known
+        before = now
+
+
+def inheritance(links: DataFrame, child: str, parent: str, limit: int = 200, root: str | None = None) -> DataFrame:
+    """(uri, relation, other, depth): the first ``limit`` ancestors and descendants of ``root``, or of every type, by depth
+    and then by name."""
+    all_ = closure(links, child, parent) if root is None else None
+    if root is not None:
+        edges = links.select(F.col(child).alias("src"), F.col(parent).alias("tgt"), F.lit("INHERITS").alias("relationship_type"))
+        at = links.sparkSession.createDataFrame([(root,)], "node string")
+        side = lambda up: blast_radius(edges, at, 2**31 - 2, upstream=up).select(F.lit(root).alias("uri"), F.lit("descendant" if up else "ancestor").alias("relation"), F.col("node").alias("other"), "depth")
+        both = side(False).unionByName(side(True))
+    else:
+        both = all_.select(F.col("node").alias("uri"), F.lit("ancestor").alias("relation"), F.col("ancestor").alias("other"), "depth")
+        both = both.unionByName(all_.select(F.col("ancestor").alias("uri"), F.lit("descendant").alias("relation"), F.col("node").alias("other"), "depth"))
+    w = Window.partitionBy("uri", "relation").orderBy("depth", "other")
+    return both.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit).drop("_r")
+
+
 def neighbors(edges: DataFrame, node: str, limit: int = 200) -> DataFrame:
     """(direction, relationship_type, neighbor) one step away, at most ``limit`` each way, in order."""
     def side(name: str, here: str, there: str) -> DataFrame:

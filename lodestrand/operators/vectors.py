@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import os
 import random
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.comments import embedding_text
 from ..functions.uri import identity_key, point_id
+from ..plans.session import cut
 
 REQUIRED = ["global_uri", "repo_name", "file_path", "entity_type", "entity_name", "code_text"]
 
@@ -80,30 +80,74 @@ def newest_points(df: DataFrame, key: str, at: str) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, key: str, at: str) -> None:
-    """Merge ``new`` into the Parquet table at ``path``: last write wins, and writing the same rows again changes nothing.
+def declare_table(spark: SparkSession, path: str, dimension: int, recreate: bool = False) -> None:
+    """Make the vector table at ``path`` for vectors of one ``dimension``. One that exists stays as it is, and may not have
+    another dimension, unless ``recreate`` drops it first."""
+    fs, jvm = _fs(spark, path), spark.sparkContext._jvm
+    root, note = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(os.path.join(path, _NOTE))
+    if recreate:
+        fs.delete(root, True)
+    elif fs.exists(root):
+        if (known := declared_dimension(spark, path)) != dimension:
+            raise ValueError(f"the table has dimension {known}, not {dimension}")
+        return
+    fs.mkdirs(root)
+    out = fs.create(note, True)
+    out.write(bytearray(str(dimension).encode()))
+    out.close()
+
+
+def declared_dimension(spark: SparkSession, path: str) -> int | None:
+    """The dimension a table was declared with, or None if it never was."""
+    note = os.path.join(path, _NOTE)
+    fs, jvm = _fs(spark, path), spark.sparkContext._jvm
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(note)):
+        return None
+    source = fs.open(jvm.org.apache.hadoop.fs.Path(note))
+    text = jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return int(text)
 
-    Each version is a directory of its own; a small pointer file is replaced at the end, so that readers and retries
-    never see half a table.
+
+def upsert(path: str, new: DataFrame, key: str, at: str, buckets: int = 64) -> None:
+    """Add ``new`` to the table at ``path``; for each ``key`` the row with the latest ``at`` counts, whenever it came.
+
+    Rows are appended to the bucket of their key's hash, so that the work is that of the new rows alone, a batch that is
+    written twice changes nothing, and readers see no half-written rows. ``compact`` drops what is outdated. A table that
+    was declared takes vectors of its dimension only.
     """
-    old = read_table(spark, path)
-    merged = newest_points(new if old is None else old.unionByName(new), key, at)
-    version = f"v-{uuid.uuid4().hex}"
-    merged.write.parquet(os.path.join(path, version))
-    jvm = spark.sparkContext._jvm
-    fs, point = _fs(spark, path), jvm.org.apache.hadoop.fs.Path(os.path.join(path, "CURRENT"))
-    out = fs.create(point, True)
-    out.write(bytearray(version.encode()))
-    out.close()
+    spark = new.sparkSession
+    dimension = declared_dimension(spark, path)
+    if dimension is not None:
+        size = F.coalesce(F.size("vector"), F.lit(-1))
+        new = new.withColumn("vector", F.when(size == dimension, F.col("vector")).otherwise(F.raise_error(F.concat(F.lit(f"a vector for a table of dimension {dimension} has "), size.cast("string")))))
+    new.withColumn("_bucket", _bucket(key, buckets)).write.partitionBy("_bucket").mode("append").parquet(path)
+
 
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of an upserted table, or None before the first."""
+
+def read_table(spark: SparkSession, path: str, key: str, at: str) -> DataFrame | None:
+    """The newest row of each key of an upserted table, or None before the first."""
     jvm = spark.sparkContext._jvm
-    point = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "CURRENT"))
-    if not _fs(spark, path).exists(point):
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    if not _fs(spark, path).exists(folder) or not any(f.isDirectory() for f in _fs(spark, path).listStatus(folder)):
         return None
-    return spark.read.parquet(os.path.join(path, spark.read.text(os.path.join(path, "CURRENT")).first()[0]))
+    return newest_points(spark.read.parquet(path).drop("_bucket"), key, at)
+
+
+def compact(spark: SparkSession, path: str, key: str, at: str, buckets: int = 64, most_files: int = 16) -> None:
+    """Rewrite the buckets of more than ``most_files`` files with the newest row of each key."""
+    rows = spark.read.parquet(path)
+    files = rows.select("_bucket", F.input_file_name().alias("f")).distinct().groupBy("_bucket").agg(F.count("*").alias("n"))
+    crowded = [r["_bucket"] for r in files.where(F.col("n") > most_files).collect()]
+    if crowded:
+        kept = cut(newest_points(rows.where(F.col("_bucket").isin(crowded)).drop("_bucket"), key, at))
+        kept.withColumn("_bucket", _bucket(key, buckets)).repartition(len(crowded), "_bucket").write.partitionBy("_bucket").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+_NOTE = "_dimension"  # a name that readers of Parquet folders pass over
 
 
 def _fs(spark: SparkSession, path: str):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.uri import WS, tight_scopes
 from ..operators.hierarchy import descendants, resolve
 from ..operators.skew import key_counts
-from .session import table
+from .session import cut, table
 
 
 def inherits_links(spark: SparkSession, d: str) -> DataFrame:
@@ -31,7 +31,8 @@ def p2_paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
-    return descendants(resolve(inherits_links(spark, d), "child", "parent", paths=True)).select("ancestor", "descendant", F.col("distance").cast("int").alias("distance"))
+    links = cut(inherits_links(spark, d))
+    return descendants(resolve(links, "child", "parent", paths=True), links).select("ancestor", "descendant", F.col("distance").cast("int").alias("distance"))
 
 
 def _keyed(spark: SparkSession, d: str) -> DataFrame:
@@ -63,6 +64,9 @@ def _clean(c: str) -> str:
     return f"regexp_replace(regexp_replace({c}, '{WS}*::{WS}*', '::', 'g'), '^{WS}+|{WS}+$', '', 'g')"
 
 
+ALL_LINKS = f"""raw as (select {_clean('src_uri')} as child, {_clean('tgt_uri')} as parent from graph_edge where relationship_type = 'INHERITS'),
+link as (select distinct child, parent from raw where len(string_split(child, '::')) >= 4 and len(string_split(parent, '::')) >= 4
+  and string_split(child, '::')[3] in ('Class', 'Struct') and string_split(parent, '::')[3] in ('Class', 'Struct'))"""
 _LINKS = f"""
 raw as (select {_clean('src_uri')} as child, {_clean('tgt_uri')} as parent from graph_edge where relationship_type = 'INHERITS'),
 link as (select child, min(parent) as parent from raw where len(string_split(child, '::')) >= 4 and len(string_split(parent, '::')) >= 4

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.comments import embedding_text, signature_source
 from ..functions.symbols import disposition, is_external, parse_symbols
 from ..functions.uri import SIG_PATTERN, WS, cpp_name, global_uri, identity_key, parse_uri, point_id, signature_hash, tight_scopes
-from ..operators import graph, search
-from ..operators.hierarchy import descendants, resolve
+from ..operators import construction, graph, search
 from ..operators.scope import innermost
-from ..operators.vectors import newest_points, points
+from ..operators.skew import numbered_chunks
+from ..operators.vectors import compact, points, read_table, upsert
 from ..sources import cpp
-from .general_queries import SQL as GENERAL
+from .general_queries import ALL_LINKS as _ALL_LINKS
 from .general_queries import _clean, inherits_links
-from .session import cut, lookup, table
+from .session import cut, lookup, shared_dir, table
 
 MONITORED = ("mica", "tessel", "lumen", "base")
 IGNORED = ("obsv", "memory")
@@ -191,7 +194,20 @@ _ENDS = "(owner_repo, scip_symbol)"
     f"""select distinct {_KEYS}, is_cross_repo from graph_edge where (src_owner_repo, src_scip_symbol) in (select {_ENDS} from graph_node) and (tgt_owner_repo, tgt_scip_symbol) in (select {_ENDS} from graph_node)""",
 )
 def snk_edge_merge(spark: SparkSession, d: str) -> DataFrame:
-    return graph.existing_edges(table(spark, d, "graph_edge"), table(spark, d, "graph_node"))
+    """The store of edges after all edges were merged into an empty one."""
+    edges = table(spark, d, "graph_edge")
+    return graph.merge_edges(edges.limit(0), edges, table(spark, d, "graph_node"))[0]
+
+
+@query(
+    "snk_edge_report",
+    f"""with e as (select distinct {_KEYS} from graph_edge), k as (select *, (src_owner_repo, src_scip_symbol) in (select {_ENDS} from graph_node where not is_external) and (tgt_owner_repo, tgt_scip_symbol) in (select {_ENDS} from graph_node where not is_external) as kept from e)
+select relationship_type, count(*) as offered, count(*) filter (where kept) as merged, count(*) filter (where not kept) as vanished from k group by 1""",
+)
+def snk_edge_report(spark: SparkSession, d: str) -> DataFrame:
+    """How many edges were offered to a store without external nodes, and how many vanished for want of an end."""
+    edges = table(spark, d, "graph_edge")
+    return graph.merge_edges(edges.limit(0), edges, table(spark, d, "graph_node").where("not is_external"))[1]
 
 
 @query("snk_defined_in", "select distinct owner_repo, scip_symbol, repo_name, file_path from graph_node where file_path <> '<external>'")
@@ -213,12 +229,77 @@ def snk_node_merge(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "snk_delete_repo",
-    "select repo_name, count(*) as nodes from graph_node where repo_name is distinct from (select min(repo_name) from repo_catalog) group by repo_name",
+    """with f as (select min(repo_name) as r from repo_catalog)
+select 'nodes' as kind, repo_name as repo, count(*) as n from graph_node, f where repo_name is distinct from r group by repo_name
+union all select 'edges', src_owner_repo, count(*) from graph_edge, f where src_owner_repo is distinct from r and tgt_owner_repo is distinct from r group by src_owner_repo""",
 )
 def snk_delete_repo(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes and edges that are left of each repository after the first one was deleted."""
     first = table(spark, d, "repo_catalog").agg(F.min("repo_name")).first()[0]
-    nodes, _ = graph.delete_repository(table(spark, d, "graph_node"), table(spark, d, "graph_edge"), first)
-    return nodes.groupBy("repo_name").agg(F.count("*").alias("nodes"))
+    nodes, edges = graph.delete_repository(table(spark, d, "graph_node"), table(spark, d, "graph_edge"), first)
+    left = lambda df, kind, repo: df.groupBy(F.lit(kind).alias("kind"), F.col(repo).alias("repo")).agg(F.count("*").alias("n"))
+    return left(nodes, "nodes", "repo_name").unionByName(left(edges, "edges", "src_owner_repo"))
+
+
+# The graph built anew from what the tables say of the indexes: nodes as definitions, edges as their relationships.
+_DEFS = f"""d as (select owner_repo as repo, scip_symbol, file_path, entity_type, not is_external as defined from graph_node where owner_repo is not null and scip_symbol is not null),
+c as (select scip_symbol, arg_min(repo, (coalesce(precedence, 2147483647), repo)) as owner, arg_min(file_path, (coalesce(precedence, 2147483647), repo)) as file from d left join repo_catalog r on r.repo_name = d.repo where defined group by 1),
+m as (select repo, scip_symbol from d union select src_owner_repo, src_scip_symbol from graph_edge union select src_owner_repo, tgt_scip_symbol from graph_edge
+ union select repo, scip_symbol from scip_reference union select repo, enclosing_symbol from scip_reference),
+x as (select *, regexp_replace(scip_symbol, '^cxx \\. \\. \\$ ', '') as rest from m where scip_symbol is not null and not starts_with(scip_symbol, 'local ')),
+s as (select x.repo, x.scip_symbol, case when not suffix(rest, '#') then 'Function' when d.entity_type = 'Struct' then 'Struct' else 'Class' end as type,
+ replace(regexp_replace(rest, '(#|\\([^)]*\\)\\.|\\.)$', ''), '/', '::') as name, split_part(rest, '/', 1) as ns, d.file_path as local_file, d.scip_symbol is not null as here, coalesce(d.defined, false) as defined, c.file as catalog_file, c.owner as catalog_owner,
+ case when regexp_matches(rest, '\\([^)]+\\)\\.$') then 'sig_' || regexp_extract(rest, '\\(([^)]+)\\)\\.$', 1) end as sig
+ from x left join d on d.repo = x.repo and d.scip_symbol = x.scip_symbol left join c on c.scip_symbol = x.scip_symbol),
+t as (select *, coalesce(catalog_owner, case ns when 'base' then 'basalt-tools' end, repo) as owner, case when ns in {_list(IGNORED)} then 'drop' when ns in {_list(MONITORED)} and not here then 'stub' else 'keep' end as what,
+ case when (defined and coalesce(catalog_owner, case ns when 'base' then 'basalt-tools' end, repo) <> repo) or (not defined and ns in {_list(MONITORED)}) then true else false end as away from s),
+l as (select src_owner_repo as repo, src_scip_symbol as src, tgt_scip_symbol as tgt, relationship_type as kind, 0 as phase, cast(null as varchar) as file from graph_edge where relationship_type <> 'CALLS'
+ union select repo, enclosing_symbol, scip_symbol, role, 1, file_path from scip_reference where enclosing_symbol is not null and scip_symbol is not null),
+j as (select l.*, a.owner as ao, a.type as a_t, b.owner as bo, b.type as b_t, b.what as bw, b.catalog_owner as bc, b.name as bn, b.sig as bs,
+ a.owner || '::' || case when phase = 1 then coalesce(a.catalog_file, a.local_file, l.file) when a.away then coalesce(a.catalog_file, a.local_file, '<external>') else a.local_file end || '::' || a.type || '::' || a.name as src_uri,
+ case when b.what = 'stub' then coalesce(b.catalog_file, b.local_file, '<external>') when phase = 1 then coalesce(b.catalog_file, b.local_file, l.file) else coalesce(b.local_file, a.local_file) end as bf,
+ b.owner || '::' || bf || '::' || b.type || '::' || b.name as tgt_uri from l join t a on a.repo = l.repo and a.scip_symbol = l.src join t b on b.repo = l.repo and b.scip_symbol = l.tgt where b.what <> 'drop')"""
+
+
+def _index(spark: SparkSession, d: str) -> construction.Graph:
+    n = table(spark, d, "graph_node").where("owner_repo is not null and scip_symbol is not null")
+    kind = F.when(F.col("entity_type") == "Class", 7).when(F.col("entity_type") == "Struct", 49).otherwise(17)
+    defs = n.select(F.col("owner_repo").alias("repo"), F.xxhash64("scip_symbol").alias("seq"), "scip_symbol", "file_path", kind.alias("kind"), (~F.col("is_external")).alias("has_definition"))
+    e = table(spark, d, "graph_edge").where("relationship_type <> 'CALLS'")
+    built = F.col("relationship_type").isin("INHERITS", "OVERRIDES")
+    rel = e.select(F.col("src_owner_repo").alias("repo"), F.xxhash64("src_scip_symbol").alias("seq"), F.col("src_scip_symbol").alias("scip_symbol"), F.col("tgt_scip_symbol").alias("target"), built.alias("is_implementation"), (~built).alias("is_type_definition"))
+    refs = table(spark, d, "scip_reference")
+    order = table(spark, d, "repo_catalog").select(F.col("repo_name").alias("repo"), F.col("precedence").alias("position"))
+    catalog = cut(graph.ownership(defs.where("has_definition"), order))
+    return construction.build_graph(defs, rel, refs, catalog, order, construction.Namespaces(MONITORED, IGNORED, {"base": "basalt-tools"}))
+
+
+_STUB_ROWS = "select distinct bo as owner_repo, tgt as scip_symbol, repo as ingestion_repo, tgt_uri as global_uri, bs as function_sig_hash, bf as file_path, b_t as entity_type, bn as entity_name, true as is_external, 1 as phase from j where bw = 'stub' and bc is null"
+
+
+@query(
+    "grf_nodes",
+    f"""with {_DEFS}, o as (select t.owner as owner_repo, t.scip_symbol, t.repo as ingestion_repo, t.owner || '::' || case when t.away then coalesce(t.catalog_file, t.local_file, '<external>') else t.local_file end || '::' || t.type || '::' || t.name as global_uri,
+ t.sig as function_sig_hash, case when t.away then coalesce(t.catalog_file, t.local_file, '<external>') else t.local_file end as file_path, t.type as entity_type, t.name as entity_name, t.away as is_external, 0 as phase from t where here and what <> 'drop'
+ union all {_STUB_ROWS}),
+r as (select o.*, row_number() over (partition by owner_repo, scip_symbol order by is_external, coalesce(precedence, 2147483647), phase) as r from o left join repo_catalog on repo_name = ingestion_repo)
+select owner_repo, scip_symbol, global_uri, file_path, entity_type, entity_name, case when entity_type = 'Function' then function_sig_hash end as function_sig_hash, is_external from r where r = 1""",
+)
+def grf_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of all repositories, from their definitions and what they refer to."""
+    return _index(spark, d).nodes.select("owner_repo", "scip_symbol", "global_uri", "file_path", "entity_type", "entity_name", "function_sig_hash", "is_external")
+
+
+_EDGE_SQL = f"""{_DEFS}, e as (select phase, ao as src_owner_repo, src as src_scip_symbol, bo as tgt_owner_repo, tgt as tgt_scip_symbol, src_uri, tgt_uri, ao <> bo or bw = 'stub' as is_cross_repo,
+ case when kind in ('INHERITS', 'OVERRIDES') then case when a_t = 'Function' and b_t = 'Function' then 'OVERRIDES' when a_t in ('Class', 'Struct') and b_t in ('Class', 'Struct') then 'INHERITS' end
+  when kind = 'USES_TYPE' or (kind in ('CALL', 'READ', 'WRITE') and b_t in ('Class', 'Struct')) then case when b_t in ('Class', 'Struct') then 'USES_TYPE' end
+  when kind in ('CALL', 'READ', 'WRITE') and a_t = 'Function' and b_t = 'Function' then 'CALLS' end as relationship_type from j)"""
+
+
+@query("grf_edges", f"with {_EDGE_SQL} select {_KEYS}, arg_min(is_cross_repo, phase) as is_cross_repo, arg_min(src_uri, phase) as src_uri, arg_min(tgt_uri, phase) as tgt_uri from e where relationship_type is not null group by {_KEYS}")
+def grf_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of all repositories, from relationships and references."""
+    return _index(spark, d).edges.select(*graph.EDGE_KEY, "is_cross_repo", "src_uri", "tgt_uri")
 
 
 @query(
@@ -230,9 +311,9 @@ from r join n a on a.scip_symbol = r.enclosing_symbol join n b on b.scip_symbol
 group by 1, 2, 3 having relationship_type is not null""",
 )
 def grf_reference_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Edges from references: the enclosing entity uses a type, or calls a function.
+    """How many references stand behind each edge: the enclosing entity uses a type, or calls a function.
 
-    The references are counted by source, target and role before they meet the node types, so hot targets shrink first.
+    Distinct (repo, seq) are counted by source, target and role before they meet the node types, so hot targets shrink first.
     """
     t = table(spark, d, "graph_node").where("scip_symbol is not null").groupBy("scip_symbol").agg(F.min("entity_type").alias("t"))
     r = table(spark, d, "scip_reference").where("enclosing_symbol is not null and role in ('CALL', 'READ', 'WRITE')").select("repo", "seq", "scip_symbol", "enclosing_symbol", "role").distinct()
@@ -245,12 +326,12 @@ def grf_reference_edges(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "agg_ownership",
     """with f as (select d.scip_symbol, d.repo_name as repo, d.file_path, coalesce(c.precedence, 2147483647) as rank from graph_node d left join repo_catalog c on c.repo_name = d.repo_name where not is_external and scip_symbol is not null)
-select scip_symbol, arg_min(repo, (rank, file_path, repo)) as owner_repo, arg_min(file_path, (rank, file_path, repo)) as file_path, len(list_distinct(list(repo))) as n_candidates, count(*) > 1 as is_conflict from f group by 1""",
+select scip_symbol, arg_min(repo, (rank, file_path, repo)) as owner_repo, arg_min(file_path, (rank, file_path, repo)) as file_path, len(list_distinct(list(repo))) as n_candidates, count(*) > 1 as is_conflict, case when count(*) > 1 then 'stable_order' else 'single_local_definition' end as reason from f group by 1""",
 )
 def agg_ownership(spark: SparkSession, d: str) -> DataFrame:
     defs = table(spark, d, "graph_node").where("not is_external").select("scip_symbol", F.col("repo_name").alias("repo"), "file_path", F.col("file_path").alias("seq"))
     order = table(spark, d, "repo_catalog").select(F.col("repo_name").alias("repo"), F.col("precedence").alias("position"))
-    return graph.ownership(defs, order).select("scip_symbol", "owner_repo", "file_path", F.size("candidates").cast("long").alias("n_candidates"), "is_conflict")
+    return graph.ownership(defs, order).select("scip_symbol", "owner_repo", "file_path", F.size("candidates").cast("long").alias("n_candidates"), "is_conflict", "reason")
 
 
 @query(
@@ -313,8 +394,12 @@ def win_overload_salt(spark: SparkSession, d: str) -> DataFrame:
 
 @query("win_fixed_batches", "select repo_name, cast(floor((r - 1) / 32) as bigint) as batch, count(*) as files from (select repo_name, row_number() over (partition by repo_name order by file_id, extracted_at, arrived_at) as r from file_diagnostics) group by 1, 2")
 def win_fixed_batches(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("repo_name").orderBy("file_id", "extracted_at", "arrived_at")
-    return table(spark, d, "file_diagnostics").select("repo_name", F.floor((F.row_number().over(w) - 1) / 32).alias("batch")).groupBy("repo_name", "batch").agg(F.count("*").alias("files"))
+    """Batches of 32 rows of each repository. Rows are numbered by prefix sums over tasks, whatever a repository's size."""
+    order = ["repo_name", "file_id", "extracted_at", "arrived_at"]
+    numbered = cut(numbered_chunks(table(spark, d, "file_diagnostics").select(*order), order, 200_000))
+    first = numbered.groupBy("repo_name").agg(F.min("_row").alias("_first"))
+    at = lookup(numbered.withColumnRenamed("repo_name", "r"), first.withColumnRenamed("repo_name", "q"), F.col("r").eqNullSafe(F.col("q")))
+    return at.groupBy(F.col("r").alias("repo_name"), F.floor((F.col("_row") - F.col("_first")) / 32).alias("batch")).agg(F.count("*").alias("files"))
 
 
 @query("agg_point_report", "select case when vector is null then 'missing_vector' when len(vector) <> 64 then 'dimension_mismatch' else 'ok' end as reason, count(*) as points, round(count(*) / (select count(*) from vector_point), 6) as share from vector_point group by 1")
@@ -327,17 +412,25 @@ def agg_point_report(spark: SparkSession, d: str) -> DataFrame:
 
 # -- the vector table
 
-@query("snk_upsert", "select id, epoch_us(max(updated_at)) as updated_us, count(*) as versions from vector_point group by id")
+@query("snk_upsert", "select id, max(epoch_us(updated_at)) as updated_us from vector_point where id is not null group by id")
 def snk_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """The table after all versions were upserted."""
-    p = table(spark, d, "vector_point")
-    n = p.groupBy("id").agg(F.count("*").alias("versions"))
-    return newest_points(p, "id", "updated_at").select("id", F.unix_micros("updated_at").alias("updated_us")).join(n, "id")
+    """The table after all versions of all points were written to it, one half of the ids again, and it was compacted."""
+    p = table(spark, d, "vector_point").where("id is not null")
+    path = os.path.join(shared_dir(spark), f"points-{uuid.uuid4().hex}")
+    upsert(path, p, "id", "updated_at")
+    upsert(path, p.where(F.col("id") < "8"), "id", "updated_at")
+    compact(spark, path, "id", "updated_at", most_files=1)
+    return read_table(spark, path, "id", "updated_at").select("id", F.unix_micros("updated_at").alias("updated_us"))
 
 
-@query("qry_points", f"select entity_id, epoch_us(ingested_at) as ingested_us, {_KEY} as identity_key, coalesce(code_text is null, false) as dropped from code_entity")
+@query(
+    "qry_points",
+    f"""select entity_id, epoch_us(ingested_at) as ingested_us, {_KEY} as identity_key, repo_name, file_path, entity_type, entity_name, start_line, end_line, is_templated, function_sig_hash, coalesce(code_text is null, false) as dropped from code_entity""",
+)
 def qry_points(spark: SparkSession, d: str) -> DataFrame:
-    return points(table(spark, d, "code_entity")).select("entity_id", F.expr(_US), "identity_key", F.col("reason").isNotNull().alias("dropped"))
+    """Every entity as a point with its payload."""
+    payload = ["repo_name", "file_path", "entity_type", "entity_name", "start_line", "end_line", "is_templated", "function_sig_hash"]
+    return points(table(spark, d, "code_entity")).select("entity_id", F.expr(_US), "identity_key", *payload, F.col("reason").isNotNull().alias("dropped"))
 
 
 @query(
@@ -380,13 +473,35 @@ def _root(edges: DataFrame) -> str:
 
 @query(
     "qry_blast_radius",
-    f"""with recursive {_VALID}, walk as (select root as node, 0 as depth from {_ROOT} union select v.src, depth + 1 from walk join v on v.tgt = walk.node where depth < 5)
-select node, min(depth) as depth from walk group by node having min(depth) > 0""",
+    f"""with recursive {_VALID}, walk as (select root as node, 0 as depth, '' as chain from {_ROOT} union select v.src, depth + 1, chain || case when depth = 0 then '' else ' > ' end || relationship_type from walk join v on v.tgt = walk.node where depth < 5)
+select node, min(depth) as depth, arg_min(chain, (depth, chain)) as chain from walk group by node having min(depth) > 0""",
 )
 def qry_blast_radius(spark: SparkSession, d: str) -> DataFrame:
+    """What depends on the entity most others point to, with the chain of relationships."""
     e = cut(_valid(spark, d))
     roots = spark.createDataFrame([(_root(e),)], "node string")
-    return search.blast_radius(e, roots, 5).select("node", "depth")
+    return search.blast_radius(e, roots, 5).select("node", "depth", F.array_join("chain", " > ").alias("chain"))
+
+
+@query(
+    "qry_sample_class",
+    f"""with recursive {_VALID}, c as (select repo_name as repo, min(global_uri) as root from graph_node where entity_type in ('Class', 'Struct') and not is_external and global_uri is not null group by 1),
+walk as (select repo, root, root as node, 0 as depth from c union select repo, root, v.src, depth + 1 from walk join v on v.tgt = walk.node where depth < 3)
+select repo, root, count(distinct node) - 1 as reached, max(depth) as deepest from walk group by 1, 2""",
+)
+def qry_sample_class(spark: SparkSession, d: str) -> DataFrame:
+    """The first class of every repository, with how much depends on it within three steps."""
+    n = table(spark, d, "graph_node").where("entity_type in ('Class', 'Struct') and not is_external and global_uri is not null")
+    roots = n.groupBy(F.col("repo_name").alias("repo")).agg(F.min("global_uri").alias("root"))
+    links = cut(_valid(spark, d).select(F.col("tgt").alias("node"), F.col("src").alias("next")).distinct())
+    front = seen = cut(roots.select("repo", "root", F.col("root").alias("node"), F.lit(0).alias("depth")))
+    for depth in range(1, 4):
+        step = links.join(front, "node").select("repo", "root", F.col("next").alias("node"), F.lit(depth).alias("depth")).distinct()
+        front = cut(step.join(seen.select("repo", "node"), ["repo", "node"], "left_anti"))
+        seen = seen.unionByName(front)
+    walked = seen.groupBy("repo", "root").agg((F.count("*") - 1).alias("reached"))
+    ends = links.join(seen.where("depth < 3"), "node").groupBy("repo").agg(F.max(F.col("depth") + 1).alias("deepest"))
+    return walked.join(ends, "repo", "left").select("repo", "root", "reached", F.coalesce("deepest", F.lit(0)).alias("deepest"))
 
 
 @query(
@@ -399,12 +514,16 @@ def qry_neighbors(spark: SparkSession, d: str) -> DataFrame:
     return search.neighbors(e, _root(e))
 
 
-@query("qry_inheritance", f"with d as ({GENERAL['p2_descendants']}) select ancestor as uri, 'descendant' as relation, descendant as other, distance from d union all select descendant, 'ancestor', ancestor, distance from d")
+@query(
+    "qry_inheritance",
+    f"""with recursive {_ALL_LINKS}, up as (select child as node, parent as anc, 1 as depth from link union select up.node, link.parent, depth + 1 from up join link on link.child = up.anc where depth < 300),
+least as (select node, anc, min(depth) as depth from up group by 1, 2),
+both_ as (select node as uri, 'ancestor' as relation, anc as other, depth from least union all select anc, 'descendant', node, depth from least),
+r as (select *, row_number() over (partition by uri, relation order by depth, other) as r from both_) select uri, relation, other, depth from r where r <= 200""",
+)
 def qry_inheritance(spark: SparkSession, d: str) -> DataFrame:
-    """Ancestors and descendants of every type, with the distance."""
-    t = descendants(resolve(inherits_links(spark, d), "child", "parent", paths=True)).withColumn("distance", F.col("distance").cast("int"))
-    down = t.select(F.col("ancestor").alias("uri"), F.lit("descendant").alias("relation"), F.col("descendant").alias("other"), "distance")
-    return down.unionByName(t.select(F.col("descendant").alias("uri"), F.lit("ancestor").alias("relation"), F.col("ancestor").alias("other"), "distance"))
+    """The first 200 ancestors and descendants of every type, by any of its parents, with the least distance."""
+    return search.inheritance(inherits_links(spark, d), "child", "parent", 200)
 
 
 @query("qry_graph_counts", "select owner_repo, entity_type, is_external, count(*) as nodes from graph_node group by all")
@@ -412,6 +531,12 @@ def qry_graph_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "graph_node").groupBy("owner_repo", "entity_type", "is_external").agg(F.count("*").alias("nodes"))
 
 
+@query("qry_edge_counts", "select src_owner_repo as repo, relationship_type, count(*) as edges, count(*) filter (where is_cross_repo) as cross_repo from graph_edge group by 1, 2")
+def qry_edge_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of every repository."""
+    return table(spark, d, "graph_edge").groupBy(F.col("src_owner_repo").alias("repo"), "relationship_type").agg(F.count("*").alias("edges"), F.count_if("is_cross_repo").alias("cross_repo"))
+
+
 @query(
     "qry_cross_file",
     f"with {_VALID} select relationship_type, string_split(src, '::')[1] = string_split(tgt, '::')[1] as same_repo, count(*) as n_edges from v where string_split(src, '::')[1] || '::' || string_split(src, '::')[2] <> string_split(tgt, '::')[1] || '::' || string_split(tgt, '::')[2] group by 1, 2",
