@@ -45,18 +45,18 @@ def p6_repositories(spark: SparkSession, d: str) -> DataFrame:
     return o.groupBy("repo").agg(F.count("*").alias("files"), *[F.count_if(F.col("origin") == k).alias(k) for k in kinds])
 
 
-def _entity_pairs(spark: SparkSession, d: str) -> DataFrame:
-    e = newest_rows(table(spark, d, "code_entity").select("entity_id", "code_text", "ingested_at"), "entity_id", "ingested_at")
-    return neardup.similar_pairs(e, "entity_id", "code_text", threshold=0.6, width=3, min_words=30)
+def _entities(spark: SparkSession, d: str) -> DataFrame:
+    return newest_rows(table(spark, d, "code_entity").select("entity_id", "code_text", "ingested_at"), "entity_id", "ingested_at")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _entity_pairs(spark, d).select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
+    pairs = neardup.similar_pairs(_entities(spark, d), "entity_id", "code_text", threshold=0.6, width=3, min_words=30)
+    return pairs.select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
 
 
 def p7_groups(spark: SparkSession, d: str) -> DataFrame:
-    """The copied entities with the group and the number of links of each."""
-    return neardup.duplicate_groups(_entity_pairs(spark, d)).withColumnRenamed("id", "entity_id")
+    """The copied entities with the class of equal ones, the group and the number of links of each."""
+    return neardup.duplicate_groups(*neardup.similar_classes(_entities(spark, d), "entity_id", "code_text", threshold=0.6, width=3, min_words=30)).withColumnRenamed("id", "entity_id")
 
 
 def p8_placements(spark: SparkSession, d: str) -> DataFrame:
