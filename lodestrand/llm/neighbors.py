@@ -2,8 +2,9 @@
 
 A bounded sample of the vectors are the pivots of the shards; every vector belongs to the shard of its nearest pivot
 and is also a query there and in each shard the triangle inequality cannot rule out. Each shard builds a vantage-point
-tree over its own vectors and sends its queries down it in blocks. Both pruning bounds are divided by a factor; with
-factors of one nothing within the radius is lost.
+tree over its own vectors. Its queries go down in sets: first each to the one leaf it falls into, which bounds the distance
+of its k-th neighbour, then to all leaves that this bound, which shrinks on the way, leaves open. Both pruning bounds are
+divided by a factor; with factors of one nothing within the radius is lost.
 """
 
 from __future__ import annotations
@@ -157,32 +158,78 @@ def _runs(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.r_[begin, len(q)])
 
 
-def _descend(p: np.ndarray, q: np.ndarray, tops: _Tops, slack: float, leaf: int, rng: np.random.Generator):
-    """Give ``tops`` the pairs (query, point) from one vantage-point tree over ``p``; queries go down in sets."""
-    todo = [(np.arange(len(p)), np.arange(len(q)))]
-    while todo:
-        pi, qi = todo.pop()
-        if not len(qi):
-            continue
-        if len(pi) > leaf:
+class _Tree:
+    """A vantage-point tree: nodes of (vantage point, median distance, inside, outside), and leaves of point numbers."""
+
+    def __init__(self, p: np.ndarray, leaf: int, rng: np.random.Generator):
+        self.nodes: list = [None]
+        todo = [(0, np.arange(len(p)))]
+        while todo:
+            at, pi = todo.pop()
+            self.nodes[at] = pi
+            if len(pi) <= leaf:
+                continue
             tries = p[rng.choice(pi, 8)]
             some = p[rng.choice(pi, min(len(pi), 512), replace=False)]
-            vantage = tries[np.argmax((some @ tries.T).std(axis=0))]
-            dp = np.sqrt(np.maximum(0, 2 - 2 * p[pi] @ vantage))
-            mu = np.median(dp)
-            inner = dp <= mu
-            if not inner.all():
-                dq = np.sqrt(np.maximum(0, 2 - 2 * q[qi] @ vantage))
-                todo += [(pi[inner], qi[dq <= mu + slack]), (pi[~inner], qi[dq >= mu - slack])]
+            vantage = tries[np.argmax(_distances(some, tries).std(axis=0))]
+            d = _distances(p[pi], vantage)
+            mu = np.median(d)
+            inside = d <= mu
+            if inside.all():
                 continue
+            n = len(self.nodes)
+            self.nodes[at] = (vantage, mu, n, n + 1)
+            self.nodes += [None, None]
+            todo += [(n, pi[inside]), (n + 1, pi[~inside])]
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Between points on the unit sphere."""
+    return np.sqrt(np.maximum(0, 2 - 2 * (x @ y.T)))
+
+
+def _descend(p: np.ndarray, q: np.ndarray, tops: _Tops, relax: float, leaf: int, rng: np.random.Generator) -> int:
+    """Give ``tops`` the pairs (query, point) of one vantage-point tree over ``p``, and count them."""
+    tree, home, compared = _Tree(p, leaf, rng), np.full(len(q), -1), 0
+
+    def meet(at: int, qi: np.ndarray):
+        pi = tree.nodes[at]
         for s in range(0, len(qi), 2048):
             block = q[qi[s : s + 2048]]
             for u in range(0, len(pi), 512):
                 tops.add(qi[s : s + 2048], pi[u : u + 512], block @ p[pi[u : u + 512]].T)
+        return len(pi) * len(qi)
+
+    todo = [(0, np.arange(len(q)))]
+    while todo:  # every query to the leaf it falls into
+        at, qi = todo.pop()
+        if not len(qi):
+            continue
+        if isinstance(tree.nodes[at], tuple):
+            vantage, mu, inner, outer = tree.nodes[at]
+            near = _distances(q[qi], vantage) <= mu
+            todo += [(inner, qi[near]), (outer, qi[~near])]
+        else:
+            home[qi] = at
+            compared += meet(at, qi)
+    tops.settle()
+    todo = [(0, np.arange(len(q)))]
+    while todo:  # and to the others that may hold something nearer than its k-th neighbour so far
+        at, qi = todo.pop()
+        if not len(qi):
+            continue
+        if isinstance(tree.nodes[at], tuple):
+            vantage, mu, inner, outer = tree.nodes[at]
+            d = _distances(q[qi], vantage)
+            slack = np.sqrt(np.maximum(0, 2 - 2 * tops.least[qi])) / relax + 1e-3 / relax
+            todo += [(inner, qi[d <= mu + slack]), (outer, qi[d >= mu - slack])]
+        else:
+            compared += meet(at, qi[home[qi] != at])
     tops.settle()
+    return compared
 
 
-def _search(k: int, floor: float, slack: float, leaf: int):
+def _search(k: int, floor: float, relax: float, leaf: int):
     def shard(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         role = t.column("role").to_numpy()
@@ -194,7 +241,7 @@ def _search(k: int, floor: float, slack: float, leaf: int):
         rank[np.argsort(ids)] = np.arange(len(ids))
         tops = _Tops(raw, asks, at, rank, k, floor)
         if len(at):
-            _descend(unit[at], unit[asks], tops, slack, leaf, np.random.default_rng(len(at)))
+            _descend(unit[at], unit[asks], tops, relax, leaf, np.random.default_rng(len(at)))
         q, p, sim = asks[tops.q], at[tops.p], tops.sim
         groups = t.column("ids").to_pylist() if t.column("ids").null_count < len(t) else None
         if groups:  # the smallest ids of equal vectors stand for the group
@@ -214,7 +261,7 @@ def _search(k: int, floor: float, slack: float, leaf: int):
 
 
 def most_similar(
-    vectors: DataFrame, k: int = 5, min_similarity: float = -1.0, relax_route: float = 10.0, relax_tree: float = 5.5, shard_rows: int = 16_384, max_pivots: int = 4096, leaf: int = 2048
+    vectors: DataFrame, k: int = 5, min_similarity: float = -1.0, relax_route: float = 13.0, relax_tree: float = 5.5, shard_rows: int = 8192, least_shards: int = 16, max_pivots: int = 65_536, leaf: int = 64
 ) -> DataFrame:
     """(id, other, sim) of the ``k`` most similar other vectors of each of (id, vector), nearest first in rank order.
 
@@ -222,10 +269,12 @@ def most_similar(
     are left out. Ids must be unique and vectors usable (see ``usable_vectors``). Equal vectors are searched once: the
     k + 1 smallest ids of a group stand for it, and every member gets its own result. An empty table gives none.
 
-    ``min_similarity`` sets the search radius. ``relax_route`` and ``relax_tree`` divide the bounds of the shards and of
-    the trees; 1 and 1 make the search exact. The shards' pivots are a sample of one row in ``shard_rows``, at most
-    ``max_pivots``; all rows are indexed and all are queries. The points and the queries of a shard of more than four times
-    the usual size are kept in parts, and each part of the points is searched by each part of the queries.
+    ``min_similarity`` bounds the search radius. ``relax_route`` and ``relax_tree`` divide the bounds of the shards and of
+    the trees; 1 and 1 make the search exact. The shards' pivots are a sample of one row in ``shard_rows``, or of
+    ``least_shards`` of 800 rows or more, at most ``max_pivots``, and how crowded they are is told by 16 more rows for each,
+    at most 262,144; all rows are indexed and all are queries. The points and the queries of a shard of more than four
+    times the usual size are kept in parts, and each part of the points is searched by each part of the queries; so shards
+    may hold any number of rows beyond ``max_pivots`` of them.
     """
     spark = vectors.sparkSession
     v = vectors.select("id", "vector")
@@ -236,8 +285,8 @@ def most_similar(
     n = v.count()
     if not n:
         return spark.createDataFrame([], "id string, other string, sim double")
-    m = min(max_pivots, max(1, -(-n // shard_rows)))
-    sample = _unit(np.array([r[0] for r in v.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(17 * m).select("vector").collect()], "f4"))
+    m = min(max_pivots, max(1, -(-n // shard_rows), min(least_shards, n // 800)))
+    sample = _unit(_matrix(v.orderBy(F.xxhash64(F.lit(7), "id"), "id").limit(min(17 * m, m + 262_144)).select("vector").toArrow().column("vector")))
     pivots, radius = sample[:m], math.sqrt(max(0.0, 2 - 2 * min_similarity))
     slack, splits, asked = 2 * radius / relax_route, np.ones(m, "i8"), np.ones(m, "i8")
     if m > 1 and len(sample) > m:  # how crowded the shards are, by a sample of their rows
@@ -246,11 +295,11 @@ def most_similar(
             d = np.sqrt(np.maximum(0, 2 - 2 * sample[s : s + 4096] @ pivots.T))
             own += np.bincount(d.argmin(axis=1), minlength=m)
             visits += (d <= d.min(axis=1, keepdims=True) + slack).sum(axis=0)
-        part = (len(sample) - m) * 4 * shard_rows / n
+        part = (len(sample) - m) * 4 * max(1, min(shard_rows, -(-n // m))) / n
         splits, asked = np.maximum(1, np.ceil(own / part)).astype("i8"), np.maximum(1, np.ceil(visits / part)).astype("i8")
     reps = lookup(lookup(v, members.where("id <> rep").select("id"), "id", "left_anti", written=True), firsts, "id")
     routed = reps.select("id", "vector", "ids").mapInArrow(_router(pivots, splits, asked, slack), _ROUTED)
-    hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, radius / relax_tree, leaf), _HITS)
+    hits = routed.groupBy("shard", "part").applyInArrow(_search(k, min_similarity, relax_tree, leaf), _HITS)
     # A group's own ids are hits of each other.
     own = firsts.select("id", F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("s"), i.alias("other"))).alias("top"))
     merged = hits.unionByName(own).groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("top")))), 1, k + 1).alias("top"))

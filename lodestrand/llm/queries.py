@@ -16,6 +16,13 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
 
 
+def p1_exact(spark: SparkSession, d: str) -> DataFrame:
+    """``p1_found`` with both factors one: nothing is missed, at the cost of more comparisons."""
+    v = neighbors.usable_vectors(table(spark, d, "vector_point"), "id", "vector", "updated_at", 64)
+    hits = neighbors.most_similar(v, k=5, min_similarity=0.85, relax_route=1, relax_tree=1, least_shards=1)
+    return hits.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return syntax.parsed_files(table(spark, d, "source_file")).where("n_errors > 0").select("file_id").distinct()
 
@@ -87,11 +94,11 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restored_documents(table(spark, d, "documents")).where("words > 0").select("doc_id", "words", "restored")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups, "p8_placements": p8_placements, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
+QUERIES = {"p1_found": p1_found, "p1_exact": p1_exact, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups, "p8_placements": p8_placements, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
 _NEWEST = "(select *, row_number() over (partition by {key} order by {at} desc nulls last) as newest from {table} where {key} is not null)"
 
 SQL = {
-    "p1_found": f"""with v as (select id, cast(vector as double[]) as x from {_NEWEST.format(key="id", at="updated_at", table="vector_point")} where newest = 1 and len(vector) = 64
+    "p1_exact": f"""with v as (select id, cast(vector as double[]) as x from {_NEWEST.format(key="id", at="updated_at", table="vector_point")} where newest = 1 and len(vector) = 64
   and len(list_filter(vector, lambda y: y is null or isnan(y) or isinf(y))) = 0 and len(list_filter(vector, lambda y: y <> 0)) > 0),
 s as (select a.id as a, b.id as b, round(list_cosine_similarity(a.x, b.x), 6) as sim from v a join v b on a.id <> b.id),
 r as (select *, row_number() over (partition by a order by sim desc, b) as r from s where sim >= 0.85)
