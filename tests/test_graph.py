@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lodestrand.operators import graph, search
 from lodestrand.operators.scope import innermost
-from lodestrand.operators.vectors import greedy_batches, mock_embedding, points, read_table, upsert
+from lodestrand.operators.vectors import compact, declare_table, declared_dimension, embed_with, greedy_batches, mock_embedding, points, read_table, upsert
 
 
 def test_ownership(spark):
@@ -15,6 +15,17 @@ def test_ownership(spark):
     assert {r["scip_symbol"]: r["owner_repo"] for r in graph.ownership(d, order, over).collect()}["s"] == "b"
 
 
+def test_ownership_reasons(spark):
+    hinted = "cxx . b 1 n/S#"
+    d = spark.createDataFrame([(hinted, "a", "fa", 1), (hinted, "b", "fb", 2), ("t", "a", "f", 1), ("u", "a", "f", 1), ("u", "b", "g", 2), ("v", "b", "f", 1), ("v", "b", "g", 2)], "scip_symbol string, repo string, file_path string, seq int")
+    order = spark.createDataFrame([("a", 0), ("b", 1)], "repo string, position int")
+    over = spark.createDataFrame([("u", "b"), ("t", "nobody")], "scip_symbol string, repo string")
+    catalog = graph.ownership(d, order, over)
+    got = {r["scip_symbol"]: (r["owner_repo"], r["file_path"], r["reason"]) for r in catalog.collect()}
+    assert got == {hinted: ("b", "fb", "package_hint"), "t": ("a", "f", "single_local_definition"), "u": ("b", "g", "override"), "v": ("b", "f", "stable_order")}
+    assert {(r["scip_symbol"], tuple(r["candidates"])) for r in graph.conflicts(catalog).collect()} == {(hinted, ("a", "b")), ("u", ("a", "b")), ("v", ("b",))}
+
+
 def test_merge_keeps_real_nodes(spark):
     cols = "owner_repo string, scip_symbol string, ingestion_repo string, file_path string, is_external boolean"
     old = spark.createDataFrame([("r", "s", "i", "f.h", False), ("r", "t", "i", "<external>", True)], cols)
@@ -87,11 +98,75 @@ def test_greedy_batches():
 
 
 def test_upsert_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert read_table(spark, path, "id", "at") is None
     rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "z", 1)], "id string, v string, at int")
     for _ in range(2):
-        upsert(spark, str(tmp_path), rows, "id", "at")
-    upsert(spark, str(tmp_path), spark.createDataFrame([("a", "old", 0)], "id string, v string, at int"), "id", "at")
-    assert {tuple(r) for r in read_table(spark, str(tmp_path)).collect()} == {("a", "y", 2), ("b", "z", 1)}
+        upsert(path, rows, "id", "at", 2)
+    upsert(path, spark.createDataFrame([("a", "old", 0)], "id string, v string, at int"), "id", "at", 2)
+    for _ in range(2):
+        assert {tuple(r) for r in read_table(spark, path, "id", "at").collect()} == {("a", "y", 2), ("b", "z", 1)}
+        compact(spark, path, "id", "at", 2, most_files=1)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_declared_dimension(spark, tmp_path):
+    path = str(tmp_path / "t")
+    declare_table(spark, path, 2)
+    declare_table(spark, path, 2)
+    assert declared_dimension(spark, path) == 2 and read_table(spark, path, "id", "at") is None
+    with pytest.raises(ValueError):
+        declare_table(spark, path, 3)
+    row = spark.createDataFrame([("a", [1.0, 2.0], 1)], "id string, vector array<float>, at int")
+    upsert(path, row, "id", "at")
+    with pytest.raises(Exception, match="dimension 2"):
+        upsert(path, spark.createDataFrame([("b", [1.0], 1)], "id string, vector array<float>, at int"), "id", "at")
+    assert read_table(spark, path, "id", "at").count() == 1
+    declare_table(spark, path, 3, recreate=True)
+    assert declared_dimension(spark, path) == 3 and read_table(spark, path, "id", "at") is None
+
+
+def test_embed_with(spark):
+    df = spark.createDataFrame([(i, "x" * i if i else None) for i in range(7)], "i int, text string")
+    got = {r["i"]: list(r["vector"]) for r in embed_with(df, "text", lambda texts: [[float(len(t)), float(len(texts) <= 2)] for t in texts], batch=2).collect()}
+    assert got == {i: [float(i), 1.0] for i in range(7)}
+    with pytest.raises(Exception, match="one vector for each text"):
+        embed_with(df, "text", lambda texts: []).collect()
+
+
+def test_time_limit(spark):
+    slow = F.udf(lambda x: __import__("time").sleep(20) or x, "long")
+    with pytest.raises(Exception):
+        with search.time_limit(spark, 1):
+            spark.range(1).select(slow("id")).collect()
+    with search.time_limit(spark, 60):
+        assert spark.range(3).count() == 3
+
+
+def test_edge_merge_counts_what_vanished(spark):
+    nodes = spark.createDataFrame([("r", "a"), ("r", "b")], "owner_repo string, scip_symbol string")
+    cols = "src_owner_repo string, src_scip_symbol string, tgt_owner_repo string, tgt_scip_symbol string, relationship_type string, is_cross_repo boolean"
+    old = spark.createDataFrame([("r", "b", "r", "a", "CALLS", True)], cols)
+    new = spark.createDataFrame([("r", "a", "r", "b", "CALLS", False)] * 2 + [("r", "a", "r", "gone", "CALLS", False), ("r", "b", "r", "a", "CALLS", False)], cols)
+    store, report = graph.merge_edges(old, new, nodes)
+    assert sorted(map(tuple, store.collect())) == [("r", "a", "r", "b", "CALLS", False), ("r", "b", "r", "a", "CALLS", False)]
+    assert [tuple(r) for r in report.collect()] == [("CALLS", 3, 2, 1)]
+
+
+def test_inheritance_over_all_parents(spark):
+    links = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("e", "d"), ("e", "a"), ("x", "y"), ("y", "x"), (None, "a"), ("b", "a")], "child string, parent string")
+    up = {(r["node"], r["ancestor"]): r["depth"] for r in search.closure(links, "child", "parent").collect()}
+    assert up == {("d", "b"): 1, ("d", "c"): 1, ("d", "a"): 2, ("b", "a"): 1, ("c", "a"): 1, ("e", "d"): 1, ("e", "b"): 2, ("e", "c"): 2, ("e", "a"): 1, ("x", "y"): 1, ("y", "x"): 1, ("x", "x"): 2, ("y", "y"): 2}
+    one = [tuple(r) for r in search.inheritance(links, "child", "parent", 2, root="e").orderBy("relation", "depth", "other").collect()]
+    assert one == [("e", "ancestor", "a", 1), ("e", "ancestor", "d", 1)]
+    some = {tuple(r) for r in search.inheritance(links, "child", "parent", 2).where("uri = 'a'").collect()}
+    assert some == {("a", "descendant", "b", 1), ("a", "descendant", "c", 1)}
+
+
+def test_results_of_one_repository(spark):
+    nodes = spark.createDataFrame([("r", "a"), ("s", "b")], "repo_name string, identity_key string")
+    found = spark.createDataFrame([("a", 1), ("b", 2)], "node string, depth int")
+    assert [r["node"] for r in search.in_repository(found, nodes, "s").collect()] == ["b"] and search.in_repository(found, nodes, None).count() == 2
 
 
 def test_points_and_embeddings(spark, data):

@@ -54,3 +54,12 @@ def test_paths_and_descendants(spark):
     r = resolve(spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "c")], "child string, parent string"), "child", "parent", paths=True, least_fragments=3, fragment_rows=2)
     assert {x["node"]: x["path"] for x in r.collect()} == {"a": ["c", "b", "a"], "b": ["c", "b"], "c": ["c"], "d": ["c", "d"]}
     assert {tuple(x) for x in descendants(r).collect()} == {("c", "b", 1), ("c", "a", 2), ("b", "a", 1), ("c", "d", 1)}
+
+
+def test_descendants_of_all_parents(spark):
+    links = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "r"), ("e", "d"), ("f", "e"), ("x", "x")], "child string, parent string")
+    got = {(r["ancestor"], r["descendant"]): r["distance"] for r in descendants(resolve(links, "child", "parent", paths=True), links).collect()}
+    want = {("b", "d"): 1, ("a", "d"): 2, ("a", "b"): 1, ("c", "d"): 1, ("r", "c"): 1, ("r", "d"): 2}
+    want |= {(a, "e"): k + 1 for (a, d), k in want.items() if d == "d"} | {("d", "e"): 1}
+    want |= {(a, "f"): k + 1 for (a, d), k in want.items() if d == "e"} | {("e", "f"): 1}
+    assert got == want

@@ -67,7 +67,7 @@ def test_symbols(symbol, kind, want):
 def test_symbol_table_and_disposition(spark):
     df = spark.createDataFrame([("cxx . . $ std/a#",), ("cxx . . $ YAML/b#",), ("cxx . . $ z/c#",), ("cxx . . $ z/c#",), (None,)], "s string")
     p = parse_symbols(df, "s")
-    d = {r["entity_name"]: r["d"] for r in p.select("entity_name", disposition(F.col("entity_type"), F.col("first_namespace"), F.lit(False)).alias("d")).collect()}
+    d = {r["entity_name"]: r["d"] for r in p.select("entity_name", disposition(F.col("entity_type"), F.col("first_namespace"), F.lit(False), ("YAML",), ("std",)).alias("d")).collect()}
     assert d == {"std::a": "drop", "YAML::b": "stub", "z::c": "keep"}
 
 

@@ -78,7 +78,7 @@ def test_json_lines_and_stream(spark, tmp_path, data):
     assert entities.read_entities(spark, src).count() == 40
     for _ in range(2):
         ingest_entities(spark, src, str(tmp_path / "out"), str(tmp_path / "state"), dimension=4).awaitTermination()
-    t = read_table(spark, str(tmp_path / "out"))
+    t = read_table(spark, str(tmp_path / "out"), "id", "updated_at")
     assert t.count() == t.select("id").distinct().count() > 0
 
 
