@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.symbols import disposition, is_external, parse_symbols
 from ..functions.uri import global_uri, identity_key
+from ..plans.session import cut
 from .graph import TYPES, dedupe_edges, dedupe_nodes, drop_reason, implementation_relation, reference_relation
 
 EXTERNAL = "<external>"
@@ -128,18 +129,18 @@ def build_graph(definitions: DataFrame, relationships: DataFrame, references: Da
         none = nodes.sparkSession.createDataFrame([], ", ".join(f"{c} {'boolean' if c == 'is_cross_repo' else 'string'}" for c in EDGE))
         return Graph(dedupe_nodes(nodes, "rank").select(*NODE), none, none.sparkSession.createDataFrame([], "reason string, relationship_type string, n_edges long"))
     flags = F.bool_or("is_implementation").alias("is_implementation"), F.bool_or("is_type_definition").alias("is_type_definition")
-    rel = placed(relationships.where("scip_symbol is not null and target is not null").groupBy("repo", F.col("scip_symbol").alias("src"), F.col("target").alias("tgt")).agg(F.min("seq").alias("seq"), *flags))
-    ref = placed(references.where("enclosing_symbol is not null and scip_symbol is not null").groupBy("repo", "file_path", F.col("enclosing_symbol").alias("src"), F.col("scip_symbol").alias("tgt"), "role").agg(F.min("seq").alias("seq")))
+    rel = cut(placed(relationships.where("scip_symbol is not null and target is not null").groupBy("repo", F.col("scip_symbol").alias("src"), F.col("target").alias("tgt")).agg(F.min("seq").alias("seq"), *flags)))
+    ref = cut(placed(references.where("enclosing_symbol is not null and scip_symbol is not null").groupBy("repo", "file_path", F.col("enclosing_symbol").alias("src"), F.col("scip_symbol").alias("tgt"), "role").agg(F.min("seq").alias("seq"))))
     ends = [df.select("repo", F.col(c).alias("scip_symbol")) for df in (rel, ref) for c in ("src", "tgt")]
-    symbols = resolved_symbols(definitions, ends[0].unionByName(ends[1]).unionByName(ends[2]).unionByName(ends[3]), catalog, rules)
+    symbols = cut(resolved_symbols(definitions, ends[0].unionByName(ends[1]).unionByName(ends[2]).unionByName(ends[3]), catalog, rules))
     own = definitions.select("repo", "seq", F.struct("file_path", "has_definition").alias("own"))
     rel = rel.join(own, ["repo", "seq"])
     moved = F.when(F.col("own.has_definition"), F.col("src_owner") != F.col("repo")).otherwise(F.col("src_first_namespace").isin(*rules.monitored))
     src_file = F.when(moved, F.coalesce("src_catalog_file", "src_local_file", F.lit(EXTERNAL))).otherwise(F.col("own.file_path"))
     stub = F.col("tgt_disposition") == "stub"
     away = F.coalesce("tgt_catalog_file", "tgt_local_file", F.lit(EXTERNAL))
-    by_rel = _linked(rel, src_file, F.when(stub, away).otherwise(F.coalesce("tgt_local_file", "own.file_path")), symbols)
-    by_ref = _linked(ref, F.coalesce("src_catalog_file", "src_local_file", "file_path"), F.when(stub, away).otherwise(F.coalesce("tgt_catalog_file", "tgt_local_file", "file_path")), symbols)
+    by_rel = cut(_linked(rel, src_file, F.when(stub, away).otherwise(F.coalesce("tgt_local_file", "own.file_path")), symbols))
+    by_ref = cut(_linked(ref, F.coalesce("src_catalog_file", "src_local_file", "file_path"), F.when(stub, away).otherwise(F.coalesce("tgt_catalog_file", "tgt_local_file", "file_path")), symbols))
     typed = F.col("tgt_entity_type").isin(*TYPES) & F.col("src_entity_type").isin("Function", *TYPES)
     edges = (
         _edges(by_rel.where("is_implementation"), implementation_relation(F.col("src_entity_type"), F.col("tgt_entity_type")), 0, F.col("seq"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 from threading import Timer
 
@@ -135,13 +136,18 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def top_k(points: DataFrame, query: list[float], vector: str, id_col: str, k: int = 3) -> DataFrame:
-    """The ``k`` points nearest to one query vector: (id, score), best first."""
+def top_k(points: DataFrame, query: list[float], vector: str, id_col: str, k: int = 3, payload: list[str] | None = None) -> DataFrame:
+    """The ``k`` points nearest to one query vector: (id, score) and the payload, best first."""
     q = F.array(*[F.lit(float(x)) for x in query])
-    scored = points.where(F.size(vector) == len(query)).select(id_col, F.round(cosine(F.col(vector), q), 6).alias("score"))
+    scored = points.where(F.size(vector) == len(query)).select(id_col, F.round(cosine(F.col(vector), q), 6).alias("score"), *(payload or []))
     return scored.where("score is not null and not isnan(score)").orderBy(F.desc("score"), id_col).limit(k)
 
 
+def ask(points: DataFrame, question: str, function: Callable[[list[str]], list[list[float]]], vector: str, id_col: str, payload: list[str], k: int = 3) -> DataFrame:
+    """The ``k`` points nearest to a question in words, embedded by ``function``: (id, score) and the payload, best first."""
+    return top_k(points, function([question])[0], vector, id_col, k, payload)
+
+
 @contextmanager
 def time_limit(spark: SparkSession, seconds: float, group: str | None = None):
     """Cancel the jobs of the block when it takes longer."""

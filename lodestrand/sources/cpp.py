@@ -24,7 +24,7 @@ _LEX = re.compile(
     r"""(?P<note>//[^\n]*|/\*.*?(?:\*/|\Z))|(?P<text>\bR"(?P<d>[^()\\\s]{0,16})\(.*?(?:\)(?P=d)"|\Z)|"(?:[^"\\\n]|\\.)*"?|'(?:[^'\\\n]|\\.)*'?)|(?P<rule>^[ \t]*\#(?:[^\n\\]|\\.)*)|(?P<word>~?[^\W\d]\w*)|(?P<mark>::|[^\s\w])""",
     re.S | re.M,
 )
-RAW = "entity_type string, entity_name string, comment string, code_text string, start_line int, end_line int, is_templated boolean, position int, errors int"
+RAW = "entity_type string, entity_name string, comment string, code_text string, start_line int, end_line int, is_templated boolean, position int, is_declaration boolean, extern_c boolean, errors int"
 
 
 def _close(tokens: list[re.Match], i: int, a: str, b: str) -> int:
@@ -39,18 +39,21 @@ def _close(tokens: list[re.Match], i: int, a: str, b: str) -> int:
 
 
 def scan(text: str) -> Iterator[tuple]:
-    """(type, qualified name, comment, code, first line, last line, templated, position, errors) of every entity."""
+    """(type, qualified name, comment, code, first line, last line, templated, position, declared only, in extern "C",
+    errors) of every entity and function declaration; one row of nulls and errors where there is none."""
     every = list(_LEX.finditer(text))
     notes = [m for m in every if m.lastgroup == "note"]
     code = [m for m in every if m.lastgroup not in ("note", "rule")]
     starts = [0] + [m.end() for m in re.finditer("\n", text)]
+    note_ends = [m.end() for m in notes]
 
     def line(at: int) -> int:
         return bisect.bisect_right(starts, at)
 
     def comment(at: int) -> str:
         run, below = [], line(at)
-        for m in reversed([m for m in notes if m.end() <= at]):
+        for k in range(bisect.bisect_right(note_ends, at) - 1, -1, -1):
+            m = notes[k]
             if below - line(max(m.start(), m.end() - 1)) > 1 or m.start() < last_end:
                 break
             if re.match(r"/\*\*(?!/)|/\*!|///|//!", m.group()):
@@ -59,6 +62,7 @@ def scan(text: str) -> Iterator[tuple]:
         return "\n".join(reversed(run))
 
     scopes: list[str | None] = []
+    linked: list[bool] = []  # which scopes are extern "C"
     out: list[list] = []
     errors, i, head, last_end = 0, 0, [], 0
     while i < len(code):
@@ -69,10 +73,12 @@ def scan(text: str) -> Iterator[tuple]:
             if "namespace" in words:
                 k = words.index("namespace")
                 scopes.append("::".join(w for w in words[k + 1 :] if w not in ("::", "inline")) or None)
+                linked.append(False)
                 head, last_end, i = [], code[i].end(), i + 1
                 continue
             if words[:1] == ["extern"] and len(words) == 2 and "(" not in words:
                 scopes.append(None)
+                linked.append(words[1] == '"C"')
                 head, last_end, i = [], code[i].end(), i + 1
                 continue
             j = _close(code, i, "{", "}")
@@ -97,7 +103,7 @@ def scan(text: str) -> Iterator[tuple]:
                 full = "::".join([s for s in scopes if s] + [name])
                 begin = head[0].start()
                 stop = code[j].end()
-                out.append([kind, full, comment(begin), text[begin:stop], line(begin), line(stop - 1), templated, len(out)])
+                out.append([kind, full, comment(begin), text[begin:stop], line(begin), line(stop - 1), templated, len(out), False, any(linked)])
             if kind == "Function" or kind in ("Class", "Struct") or not kind:
                 if not kind and "=" in words:
                     head.append(code[j])
@@ -108,10 +114,15 @@ def scan(text: str) -> Iterator[tuple]:
         if x == "}" and code[i].lastgroup == "mark":
             if scopes:
                 scopes.pop()
+                linked.pop()
             else:
                 errors += 1
             head, last_end = [], code[i].end()
         elif x == ";" and code[i].lastgroup == "mark":
+            if head and (name := _declared(text, head)):
+                begin, stop = head[0].start(), code[i].end()
+                c_linked = any(linked) or [m.group() for m in head[:2]] == ["extern", '"C"']
+                out.append(["Function", "::".join([s for s in scopes if s] + [name]), comment(begin), text[begin:stop], line(begin), line(stop - 1), head[0].group() == "template", len(out), True, c_linked])
             head, last_end = [], code[i].end()
         elif x == "(" and code[i].lastgroup == "mark":
             j = _close(code, i, "(", ")")
@@ -127,7 +138,19 @@ def scan(text: str) -> Iterator[tuple]:
     for e in out:
         yield (*e, errors)
     if not out:
-        yield (None, None, None, None, None, None, None, None, errors)
+        yield (*[None] * 10, errors)
+
+
+def _declared(text: str, head: list[re.Match]) -> str | None:
+    """The name of the function that a head before a semicolon declares."""
+    words = [m.group() for m in head]
+    if "(" not in words or words[0] in ("using", "typedef", "return", "friend", "static_assert", "class", "struct", "enum", "union") or "=" in words[: words.index("(")]:
+        return None
+    at = words.index("(")
+    kind, name = _entity([w for w in words if not w.startswith('"')])
+    if kind != "Function" or at < 2 and not name.startswith(("operator", "~")) or re.match(r"\s*[\d\"'{]", text[head[at].end() :][:40]):
+        return None  # a call of a macro, or a variable with its value
+    return name
 
 
 def _entity(words: list[str]) -> tuple[str | None, str | None]:
@@ -174,19 +197,39 @@ def discover(spark: SparkSession, root: str, repo: str) -> DataFrame:
     return files.where(ok).select(F.lit(repo).alias("repo"), path.alias("file_path"), "content")
 
 
-def entities(files: DataFrame) -> DataFrame:
-    """Entity rows, with ``parse_errors`` of their file, from (repo, file_path, content); files without any give none."""
+def read_file(spark: SparkSession, path: str, repo: str, root: str | None = None) -> DataFrame:
+    """One C++ file as (repo, file_path, content), its path relative to ``root`` or to its own folder."""
+    if not path.endswith(EXTENSIONS):
+        raise ValueError(f"{path} is no C++ file, whose name ends in one of {', '.join(EXTENSIONS)}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise FileNotFoundError(path)
+    folder = (root or path.rpartition("/")[0]).rstrip("/") + "/"
+    return spark.read.format("binaryFile").load(path).select(F.lit(repo).alias("repo"), F.lit(path.removeprefix(folder)).alias("file_path"), "content")
+
 
+def _scanned(files: DataFrame) -> DataFrame:
     def run(frames):
         for pdf in frames:
             rows = []
             for repo, path, content in zip(pdf["repo"], pdf["file_path"], pdf["content"]):
-                body = bytes(content or b"").decode("utf-8", "replace").removeprefix("﻿").replace("\r\n", "\n")
+                body = bytes(content or b"").decode("utf-8", "replace").removeprefix("\ufeff").replace("\r\n", "\n")
                 rows += [(repo, path, *r) for r in scan(body)]
             yield pd.DataFrame(rows, columns=["repo_name", "file_path", *[c.split()[0] for c in RAW.split(", ")]])
 
     is_cpp = F.col("file_path").rlike("(?:" + "|".join(re.escape(x) for x in EXTENSIONS) + ")$")
-    raw = files.where(is_cpp).select("repo", "file_path", "content").mapInPandas(run, f"repo_name string, file_path string, {RAW}").where("entity_type is not null")
+    return files.where(is_cpp).select("repo", "file_path", "content").mapInPandas(run, f"repo_name string, file_path string, {RAW}")
+
+
+def _taken(include_declarations: bool, extern_c_declarations: bool):
+    """Definitions, and declarations if all are wanted, or those in extern "C" if these are."""
+    declared = F.col("is_declaration")
+    return F.col("entity_type").isNotNull() & (~declared | F.lit(include_declarations) | (F.col("extern_c") & F.lit(extern_c_declarations)))
+
+
+def entities(files: DataFrame, include_declarations: bool = False, extern_c_declarations: bool = False) -> DataFrame:
+    """Entity rows, with ``parse_errors`` of their file, from (repo, file_path, content); files without any give none."""
+    raw = _scanned(files).where(_taken(include_declarations, extern_c_declarations))
     sig = F.when(F.col("entity_type") == "Function", signature_hash(signature_source(F.col("code_text"))))
     doc = clean_doxygen(F.col("comment"))
     e = raw.withColumns({"entity_name": cpp_name("entity_name"), "function_sig_hash": sig, "docstring": F.when(doc != "", doc)})
@@ -196,6 +239,18 @@ def entities(files: DataFrame) -> DataFrame:
     )
 
 
+def diagnostics(files: DataFrame, include_declarations: bool = False, extern_c_declarations: bool = False) -> DataFrame:
+    """(repo_name, file_path, parse_error_count, entity_count) of every C++ file, also of those without entities."""
+    rows = _scanned(files).groupBy("repo_name", "file_path")
+    return rows.agg(F.max("errors").alias("parse_error_count"), F.count_if(_taken(include_declarations, extern_c_declarations)).alias("entity_count"))
+
+
+def numbered_files(files: DataFrame) -> DataFrame:
+    """``files`` with ``seq``, their place by path in their repository, for rules by which the first or last file wins."""
+    w = Window.partitionBy("repo").orderBy("file_path")
+    return files.withColumn("seq", F.row_number().over(w) - 1)
+
+
 def salted_overloads(df: DataFrame, order: str) -> DataFrame:
     """Repeats of a signature hash within one file, type and name get a hash of their own; the first keeps it."""
     w = Window.partitionBy("repo_name", "file_path", "entity_type", "entity_name", "function_sig_hash").orderBy(order)

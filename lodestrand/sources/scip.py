@@ -141,3 +141,15 @@ def spans(documents: DataFrame) -> DataFrame:
     o = documents.select("repo", "relative_path", F.explode("occurrences").alias("o")).where(F.col("o.symbol_roles").bitwiseAND(1) != 0)
     b = line_bounds(F.col("o.range"), F.col("o.enclosing_range"))
     return o.select("repo", F.col("relative_path").alias("file_path"), F.col("o.symbol").alias("scip_symbol"), b["first"].alias("first"), b["last"].alias("last")).where("first is not null")
+
+
+def totals(documents: DataFrame, definitions_: DataFrame, disposition: str = "disposition") -> DataFrame:
+    """(repo, documents, symbols, dropped_symbols, references) of each repository, added up over all of its index files.
+
+    ``definitions_`` are those of ``definitions`` with their ``disposition``.
+    """
+    d = documents.groupBy("repo").agg(F.count("*").alias("documents"), F.sum(F.size("occurrences")).alias("occurrences"))
+    s = definitions_.groupBy("repo").agg(F.count_if(F.col(disposition) != "drop").alias("symbols"), F.count_if(F.col(disposition) == "drop").alias("dropped_symbols"))
+    r = references(documents).groupBy("repo").agg(F.count("*").alias("references"))
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "occurrences", "symbols", "dropped_symbols", "references")]
+    return d.join(s, "repo", "left").join(r, "repo", "left").select("repo", *zero)

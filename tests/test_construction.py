@@ -52,7 +52,7 @@ def test_two_repositories(spark):
     }
     assert nodes["repo-b", RUN]["global_uri"] == "repo-b::run.cc::Function::app::run" and nodes["repo-b", RUN]["identity_key"] == "repo-b::run.cc::Function::app::run::sig_ab12"
     assert named(g.edges) == {
-        (RUN, "USES_TYPE", WIDGET): ("repo-b::run.cc::Function::app::run", "repo-a::w.h::Class::app::Widget", True),
+        (RUN, "USES_TYPE", WIDGET): ("repo-b::run.cc::Function::app::run", "repo-a::copy.h::Class::app::Widget", True),  # a relationship names its target by the file in its own index
         (WIDGET, "INHERITS", BASE): ("repo-a::w.h::Class::app::Widget", "lib-repo::<external>::Class::lib::Base", True),
     }
     only = built(spark, defs, rels, refs, nodes_only=True)
