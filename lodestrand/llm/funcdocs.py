@@ -1,6 +1,6 @@
 """Functions paired with their documentation, from the code text of entities.
 
-A string- and comment-aware lexer splits the code into pieces; braces are matched to delimit functions and methods, and
+A string- and comment-aware state machine splits the code into pieces; braces are matched to delimit functions and methods, and
 the documentation comment directly above each is attached to it.
 """
 
@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame
 
 from .common import newest_rows
 
-# One piece of C++ at a time: comments, raw strings, strings, characters, directives, names, numbers, line ends, the rest.
-_PIECE = re.compile(
-    r"""(?P<line>//(?:[^\n\\]|\\.|\\\n)*)|(?P<block>/\*.*?(?:\*/|\Z))|(?P<raw>\b(?:u8|[uUL])?R"(?P<d>[^()\\\s]{0,16})\(.*?(?:\)(?P=d)"|\Z))"""
-    r"""|(?P<str>"(?:[^"\\\n]|\\.|\\\n)*(?:"|(?=\n)|\Z))|(?P<chr>(?<![0-9a-fA-F])'(?:[^'\\\n]|\\.)*(?:'|(?=\n)|\Z))"""
-    r"""|(?P<dir>^[ \t]*\#(?:[^\n\\]|\\.|\\\n)*)|(?P<name>[^\W\d]\w*)|(?P<num>\d(?:[\w.]|'\w)*)|(?P<nl>\n)|(?P<op>::|\[\[|\]\]|->|[^\s])""",
-    re.S | re.M,
-)
+# The states of the lexer. In code, a piece is a name, a number, a line end or a sign, or opens another state.
+_CODE = re.compile(r"""(?P<line>//)|(?P<block>/\*)|(?P<raw>\b(?:u8|[uUL])?R"(?=[^()\\\s]{0,16}\())|(?P<str>")|(?P<chr>(?<![0-9a-fA-F])')|(?P<dir>^[ \t]*\#)|(?P<name>[^\W\d]\w*)|(?P<num>\d(?:[\w.]|'\w)*)|(?P<nl>\n)|(?P<op>::|\[\[|\]\]|->|[^\s])""", re.M)
+# How each other state ends: with its sign, or where the line or the text does.
+_REST = {
+    "line": re.compile(r"(?:[^\n\\]|\\.|\\\n)*", re.S),
+    "block": re.compile(r".*?(?:\*/|\Z)", re.S),
+    "raw": re.compile(r"([^()\\\s]{0,16})\(.*?(?:\)\1\"|\Z)", re.S),
+    "str": re.compile(r"(?:[^\"\\\n]|\\.|\\\n)*(?:\"|(?=\n)|\Z)", re.S),
+    "chr": re.compile(r"(?:[^'\\\n]|\\.)*(?:'|(?=\n)|\Z)", re.S),
+    "dir": re.compile(r"(?:[^\n\\]|\\.|\\\n)*", re.S),
+}
 _DOXYGEN = re.compile(r"/\*\*(?!/)|/\*!|///|//!")
 _TYPES = {"class", "struct", "union", "enum", "namespace"}
 _NOT_NAMES = {"if", "for", "while", "switch", "catch", "return", "sizeof", "alignas", "decltype", "noexcept", "__attribute__", "__declspec", "explicit", "requires", "throw", "static_assert", "new", "delete", "else", "do", "try"}
@@ -34,17 +38,23 @@ class _Piece:
 
 
 def _pieces(code: str) -> list[_Piece]:
-    out, line = [], 0
-    for m in _PIECE.finditer(code):
-        kind, text = m.lastgroup, m.group()
-        if kind == "nl":
-            line += 1
-            continue
-        if m.group("raw") is not None:
-            kind = "raw"
-        last = line + (text.count("\n") if kind in ("block", "raw", "line", "dir", "str") else 0)
-        out.append(_Piece(kind, text, m.start(), m.end(), line, last))
-        line = last
+    """The pieces of a text: a state machine that is in code, a comment, a string, a character or a directive."""
+    out, line, at, n = [], 0, 0, len(code)
+    while at < n:
+        begun, at = at, n
+        for m in _CODE.finditer(code, begun):  # in code, until something opens
+            kind = m.lastgroup
+            if kind in _REST:
+                start, at = m.start(), _REST[kind].match(code, m.end()).end()
+                text = code[start:at]
+                last = line if kind == "chr" else line + text.count("\n")
+                out.append(_Piece(kind, text, start, at, line, last))
+                line = last
+                break
+            if kind == "nl":
+                line += 1
+            else:
+                out.append(_Piece(kind, m.group(), m.start(), m.end(), line, line))
     return out
 
 

@@ -12,7 +12,7 @@ from collections import deque
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import cut
+from ..plans.session import cut, lookup
 from .tokens import TOKENIZER, with_token_counts
 
 BUCKETS = 4096
@@ -96,34 +96,30 @@ def route(tokens: dict[tuple[str, ...], int], target: dict[str, float], repeats:
     return solve(low)[1], low
 
 
-def mixed(documents: DataFrame, targets: DataFrame, seed: int = 0, total_tokens: int | None = None, tokenizer: str = TOKENIZER, max_patterns: int = 2000) -> DataFrame:
+def mixed(documents: DataFrame, targets: DataFrame, seed: int = 0, total_tokens: int | None = None, tokenizer: str = TOKENIZER) -> DataFrame:
     """(mix_name, source, doc_id, occurrence, n_tokens): the documents of each mix, one row for each use of one.
 
     Takes ``doc_id, text, source``, and few rows of ``mix_name, source, target_share, max_repeats``. Sources are
     compared trimmed and in lower case; rows with a null source or no tokens take no part. Equal texts are one document,
     named by its smallest id. Each source gets its share of the largest total its mix allows (at most ``total_tokens``),
-    to within one document at each end of a stretch; a source without documents gets none, and the others keep their
-    proportions. No document is used more often for a source than its ``max_repeats``. Of more than ``max_patterns``
-    sets of sources, the smaller ones count for their first source only.
+    to within half a document at each end of a stretch; a source without documents gets none, and the others keep their
+    proportions. No document is used more often for a source than its ``max_repeats``. The flow's network has a node for
+    each set of wanted sources that share a document, and one for each source, whatever the number of documents.
     """
     spark: SparkSession = documents.sparkSession
     goal = targets.where("target_share > 0 and source is not null").select("mix_name", F.lower(F.trim("source")).alias("source"), "target_share", F.greatest(F.lit(1), F.coalesce("max_repeats", F.lit(1))).alias("max_repeats"))
     wanted = goal.select("source").distinct()
     rows = documents.where("text is not null and source is not null").select("doc_id", F.lower(F.trim("source")).alias("source"), "text")
-    rows = rows.join(F.broadcast(wanted), "source", "left_semi").withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text")})
+    rows = lookup(rows, wanted, "source", "left_semi").withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text")})
     sized = cut(with_token_counts(rows, "text", tokenizer).where("n_tokens > 0"))
     units = sized.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.array_sort(F.collect_set("source")).alias("pattern"))
     units = cut(units.withColumns({"spot": F.xxhash64(F.lit(seed), "h1", "h2"), "key": F.array_join("pattern", "\x1f")}).select("doc_id", "n_tokens", "key", "spot", F.shiftrightunsigned("spot", 52).cast("int").alias("bucket")))
-    sums = units.groupBy("key").agg(F.sum("n_tokens").alias("tokens"))
-    large = cut(sums.orderBy(F.desc("tokens"), "key").limit(max_patterns))
-    kept = {r["key"]: r["tokens"] for r in large.collect()}
-    units = units.join(F.broadcast(large.select(F.col("key").alias("known"))), F.col("key") == F.col("known"), "left").withColumn("key", F.coalesce("known", F.split("key", "\x1f")[0])).drop("known")
-    if sums.count() > len(kept):
-        kept = {r["key"]: r["tokens"] for r in units.groupBy("key").agg(F.sum("n_tokens").alias("tokens")).collect()}
-    tokens = {tuple(k.split("\x1f")): v for k, v in kept.items()}
+    sums = cut(units.groupBy("key").agg(F.sum("n_tokens").alias("length")))
+    tokens = {tuple(r["key"].split("\x1f")): r["length"] for r in sums.collect()}
+    goals = goal.collect()
     stretches = []
-    for mix in sorted({r["mix_name"] for r in goal.select("mix_name").distinct().collect()}):
-        mine = goal.where(F.col("mix_name") == mix).collect()
+    for mix in sorted({r["mix_name"] for r in goals}):
+        mine = [r for r in goals if r["mix_name"] == mix]
         flow, _ = route(tokens, {r["source"]: r["target_share"] for r in mine}, {r["source"]: r["max_repeats"] for r in mine}, total_tokens)
         begin: dict[tuple, int] = {}
         for (p, s), n in sorted(flow.items()):
@@ -137,12 +133,12 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 0, total_tokens:
     inner = Window.partitionBy("key", "bucket").orderBy("spot", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = units.withColumn("within", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).join(bucket_at, ["key", "bucket"])
     tape = placed.select("doc_id", "n_tokens", "key", (F.col("base") + F.col("within")).alias("at"))
-    length = spark.createDataFrame([(k, v) for k, v in kept.items()], "key string, length long")
     cuts = spark.createDataFrame(stretches, "mix_name string, key string, source string, a long, b long")
-    used = tape.join(F.broadcast(length), "key").join(F.broadcast(cuts), "key")
-    # Passes n with a <= at + n * length < b.
-    first = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("a") - F.col("at")) / F.col("length")))
-    last = F.ceil((F.col("b") - F.col("at")) / F.col("length")) - 1
+    used = lookup(lookup(tape, sums, "key", "inner", written=True), cuts, "key", "inner")
+    # Passes k in which the document's middle lies in the stretch: a <= at + n / 2 + k * length < b.
+    middle = F.col("at") + F.col("n_tokens") / 2
+    first = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("a") - middle) / F.col("length")))
+    last = F.ceil((F.col("b") - middle) / F.col("length")) - 1
     used = used.withColumns({"first": first, "last": last}).where("last >= first")
     return used.select("mix_name", "source", "doc_id", F.explode(F.sequence("first", "last")).alias("occurrence"), "n_tokens")
 

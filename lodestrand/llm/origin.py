@@ -303,7 +303,8 @@ def file_origins(
       tokens, used ``least_uses`` times or more, covers ``reuse`` of it (``rule reuse``).
 
     Rule reuse and equal text need files of ``least_tokens``, since short files have few rules and are alike by chance.
-    ``shared_share`` is the greater of the two shares of shared text. Marks are searched everywhere, ``rules_at_once`` at a time.
+    ``shared_share`` is the greater of the two shares of shared text. The grammar of paths and comments is inferred over 512
+    files at a time; a mark found in any of these is searched everywhere, ``rules_at_once`` at a time.
     Null content counts as empty, and empty files are hand-written; a null path says nothing. Repeated rows come out
     repeatedly; other columns are ignored.
     """

@@ -56,7 +56,7 @@ def _pack(open_bins: int):
     return group
 
 
-def packed(items: DataFrame, specs: DataFrame, id_col: str, size: str, open_bins: int = 64, tokens_per_task: int = 20_000_000) -> DataFrame:
+def packed(items: DataFrame, specs: DataFrame, id_col: str, size: str, open_bins: int = 64, tokens_per_task: int = 4_000_000) -> DataFrame:
     """(pack_name, capacity, container, item, piece, start_token, n_tokens): where each item lies, for each pack.
 
     ``items`` has ids and sizes, ``specs`` at most 1000 rows of

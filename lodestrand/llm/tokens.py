@@ -1,8 +1,13 @@
-"""Sizes of texts in tokens of a public tokenizer."""
+"""Sizes of texts in tokens of a public tokenizer.
+
+A tokenizer is a file of ranks, one token in base 64 and its rank a line, as published for byte-level BPE; its path is a
+parameter and must be readable by every executor. How text is split before BPE is the pattern that comes with those files.
+"""
 
 from __future__ import annotations
 
 import base64
+import os
 from functools import lru_cache
 
 import pyarrow as pa
@@ -15,8 +20,13 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 @lru_cache(maxsize=2)
 def _encoding(path: str):
     import tiktoken
-    from public_tokenizers import PATTERN
 
+    try:
+        from public_tokenizers import PATTERN
+    except ImportError as e:
+        raise RuntimeError("the module public_tokenizers, which holds the tokenizers' split pattern, must be on the Python path of the executors") from e
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no tokenizer at {path}: give the path of a rank file that every executor can read")
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

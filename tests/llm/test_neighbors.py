@@ -59,7 +59,7 @@ def test_crowded_shard_takes_little_memory(noise):
     ids, x = crowd(4000, 5, noise)  # 16 million pairs within the radius
     t = pa.table({"role": pa.array([3] * len(ids), pa.int8()), "id": ids, "vector": pa.array(list(x), pa.list_(pa.float32())), "ids": pa.array([None] * len(ids), pa.list_(pa.string()))})
     tracemalloc.start()
-    out = _search(5, 0.85, 10.0, 500)(t)
+    out = _search(5, 0.85, 1.0, 500)(t)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     got = {(i, h["other"], -h["s"]) for i, top in zip(out["id"].to_pylist(), out["top"].to_pylist()) for h in top[:5]}

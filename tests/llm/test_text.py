@@ -5,7 +5,7 @@ import pytest
 
 from lodestrand.llm.funcdocs import described_functions, documented_functions, function_docs, trivial
 from lodestrand.llm.mojibake import SWAPS, Restorer, restored_documents
-from lodestrand.llm.neardup import duplicate_groups, similar_pairs
+from lodestrand.llm.neardup import duplicate_groups, similar_classes, similar_pairs
 from lodestrand.llm.origin import file_origins
 
 CLASS = """class API A : public B {
@@ -83,10 +83,27 @@ def test_near_duplicates_against_all_pairs(spark):
     want = {(i, j) for i in range(len(g)) for j in range(i + 1, len(g)) if g[i] and g[j] and len(g[i] & g[j]) >= 0.6 * len(g[i] | g[j])}
     pairs = similar_pairs(df, "id", "text", 0.6, 3, 30)
     assert {(r["a"], r["b"]) for r in pairs.collect()} == want
-    groups = {r["id"]: (r["group_id"], r["links"]) for r in duplicate_groups(pairs).collect()}
+    groups = {r["id"]: (r["class_id"], r["group_id"], r["links"]) for r in duplicate_groups(*similar_classes(df, "id", "text", 0.6, 3, 30)).collect()}
     first = len(texts) - 30
-    assert groups[first + 5] == (first, 29) and len(groups) == len({x for p in want for x in p})
+    assert groups[first + 5] == (first, first, 29) and len(groups) == len({x for p in want for x in p})
+    links = {}
+    for i, j in want:
+        links[i], links[j] = links.get(i, 0) + 1, links.get(j, 0) + 1
+    assert {i: x[2] for i, x in groups.items()} == links
     assert similar_pairs(df.limit(0), "id", "text").count() == 0
+    assert duplicate_groups(*similar_classes(df.limit(0), "id", "text")).count() == 0
+
+
+def test_near_duplicates_that_share_hot_shingles(spark):
+    r = random.Random(6)
+    common = [f"licence{i}" for i in range(30)]
+    texts = [" ".join(common + [f"t{i // 2}x{k}" for k in range(12)] + ([f"n{i}"] if i % 2 else [])) for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {(x["a"], x["b"]) for x in similar_pairs(df, "id", "text", 0.85, 2, hot_rows=16).collect()}
+    assert got == {(i, i + 1) for i in range(0, 400, 2)}
+    same = spark.createDataFrame([(i, "a b c d e f g " * (1 + i % 2)) for i in range(3000)], "id int, text string")
+    groups = duplicate_groups(*similar_classes(same, "id", "text", 0.7, 2)).groupBy("class_id", "group_id", "links").count().collect()
+    assert sorted(map(tuple, groups)) == [(0, 0, 2999, 1500), (1, 0, 2999, 1500)] and r
 
 
 def test_origins(spark):
@@ -99,9 +116,11 @@ def test_origins(spark):
     mini = "".join(f"function f{i}(a,b){{return a.x?b:a+{i}}}" for i in range(60))
     vendored = "/* Bundled copy of lib 1.2.3, imported unchanged from upstream revision abc */\nint y;\n"
     rows = [(1, "a", "src/a.h", generated), (2, "a", "src/b.h", banner), (3, "a", "src/c.cc", speaks), (4, "a", "src/d.c", blob), (5, "a", "web/e.js", mini), (6, "a", "src/util/f.h", vendored), (7, "a", "third_party/lib/g.h", "int z;"), (8, "a", "src/vendor_api/h.h", "int z;"), (9, "a", "x.cc", ""), (10, None, None, None), (11, "b", "data.cc", "id,name\n" + "".join(f"{i},n{i}\n" for i in range(60)))]
-    df = spark.createDataFrame([(a, b, c, d.encode() if d is not None else None, "x") for a, b, c, d in rows], "file_id int, repo string, file_path string, content binary, origin string")
+    rows += [(12, "b", "src/m.h", banner.replace("int x", "char c")), (13, "b", "src/util/n.h", vendored.replace("1.2.3", "1.2.4").replace("int y", "long q")), (14, "b", "third_party/lib/o.h", "int zz;"), (15, "b", "notes.h", "# Notes\n" + "".join(f"- fold the page {i} now\n" for i in range(40)))]
+    rows += [(16, "a", "src/p.h", "// Copyright (c) the project authors. All rights reserved.\nint p;\n"), (17, "b", "src/q.h", "// Copyright (c) the project authors. All rights reserved.\nint q;\n")]
+    df = spark.createDataFrame([(a, b, c, d.encode() if d is not None else None, "x") for a, b, c, d in rows], "file_id int, repo string, file_path string, content binary, origin string").coalesce(1)
     got = {x["file_id"]: x["origin"] for x in file_origins(df).collect()}
-    assert got == {1: "generated", 2: "generated", 3: "handwritten", 4: "blob", 5: "minified", 6: "vendored", 7: "vendored", 8: "handwritten", 9: "handwritten", 10: "handwritten", 11: "blob"}
+    assert got == {1: "generated", 2: "generated", 3: "handwritten", 4: "blob", 5: "minified", 6: "vendored", 7: "vendored", 8: "handwritten", 9: "handwritten", 10: "handwritten", 11: "blob", 12: "generated", 13: "vendored", 14: "vendored", 15: "handwritten", 16: "handwritten", 17: "handwritten"}
     assert file_origins(df.limit(0)).count() == 0
 
 
@@ -111,10 +130,11 @@ def test_banners_behind_long_headers(spark):
     banner = "// Bundled copy of zipper 1.2.3, imported unchanged from upstream\n"
     body = "int f() { return 1; }\n"
     later = "#include <a>\n" + body + "// plain\n" * 6 + banner
+    # w.cc lies in a folder named like the library that two repositories name.
     texts = [("a", "src/x.cc", licence + banner + body), ("a", "src/y.h", "#ifndef Y_H\n#define Y_H\n" + lines + banner + body), ("b", "src/z.py", lines.replace("//", "#") + banner.replace("//", "#") + "x = 1\n"), ("b", "src/zipper/w.cc", body), ("c", "src/v.cc", later)]
-    df = spark.createDataFrame([(i, r, p, t.encode()) for i, (r, p, t) in enumerate(texts)], "file_id int, repo string, file_path string, content binary")
+    df = spark.createDataFrame([(i, r, p, t.encode()) for i, (r, p, t) in enumerate(texts)], "file_id int, repo string, file_path string, content binary").coalesce(1)
     got = {x["file_id"]: x["origin"] for x in file_origins(df).collect()}
-    assert got == {0: "vendored", 1: "vendored", 2: "vendored", 3: "handwritten", 4: "handwritten"}
+    assert got == {0: "vendored", 1: "vendored", 2: "vendored", 3: "vendored", 4: "handwritten"}
 
 
 def test_verbatim_copies_without_marks(spark):
@@ -132,7 +152,7 @@ def test_verbatim_copies_without_marks(spark):
     df = spark.createDataFrame([(a, b, c, d.encode()) for a, b, c, d in rows], "file_id int, repo string, file_path string, content binary")
     got = {x["file_id"]: (x["origin"], x["shared_share"]) for x in file_origins(df).collect()}
     assert {k for k, v in got.items() if v[0] == "vendored"} == {0, 1, 2}
-    assert got[0][1] == 1 and 0 < got[6][1] < 0.8 and got[4] == got[5] == ("handwritten", 0)
+    assert got[0][1] == 1 and 0 < got[6][1] < 0.8 and got[4][1] == got[5][1] == 0  # two repositories are too few
 
 
 def test_every_swap_can_be_undone():
@@ -172,3 +192,36 @@ def test_restore_other_scripts_and_stretches(spark):
     assert {k for k, r in got.items() if r["garbled"]} == {r[0] for r in rows[60:]}
     assert {k: got[k]["restored"] for k in got if 100 <= k < 200} == {100 + i: f"the {x} here" for i, x in enumerate(whole)}
     assert got[200]["restored"] == "the “façade” here" and got[201]["restored"] == "图中的façade节点已经删除" and "проверьт" in got[202]["restored"]
+
+
+_RUSSIAN = """после обновления индекс больше содержит символов проверьте пожалуйста узел удаляется вместе рёбрами была отклонена потому что сборка падает при чтении файла строка таблица
+ошибка возникает только если очередь пуста значение поля меняется без блокировки поток ждёт события память освобождается слишком поздно запрос возвращает старые данные нужно добавить
+тест который показывает проблему функция вызывается дважды результат зависит порядка аргументов сервер закрывает соединение раньше времени клиент получает пустой ответ документ описывает
+новый формат журнала изменения вступят силу следующей версии поэтому лучше подождать выпуска исправления""".split()
+
+
+def test_cipher_of_no_known_page(spark):
+    r = random.Random(3)
+    sentences = [" ".join(r.choice(_RUSSIAN) for _ in range(9)) for _ in range(480)]
+    letters = sorted({c for w in _RUSSIAN for c in w})
+    signs = [chr(c) for c in range(0xC0, 0x100)]
+    r.shuffle(signs)
+    cipher = dict(zip(map(ord, letters), signs))
+    rows = [(i, s, f"good{i % 3}") for i, s in enumerate(sentences[:400])] + [(1000 + i, s.translate(cipher), "bad") for i, s in enumerate(sentences[400:])]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    right = {}
+    for rounds in (0, 3):
+        got = {x["doc_id"]: x for x in restored_documents(df, rounds=rounds).collect()}
+        assert not any(x["garbled"] for k, x in got.items() if k < 1000)
+        words = [(a, b) for i, s in enumerate(sentences[400:]) for a, b in zip(got[1000 + i]["restored"].split(), s.split())]
+        right[rounds] = sum(a == b for a, b in words) / len(words)
+    assert right[0] < 0.1 and right[3] > 0.7
+
+
+def test_shares_back_off_to_the_corpus(spark):
+    good = "Änderungen naïve façade Größe Übersicht Löschung geprüft später können müssen".split()
+    bad = lambda w: w.encode().decode("cp1252")
+    rows = [(i, " ".join(good), f"s{i % 4}") for i in range(80)] + [(100 + i, " ".join(map(bad, good[:6])), f"s{i % 4}") for i in range(8)] + [(200, "die " + bad("Änderungen"), "tiny"), (201, "die Änderungen", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = {x["doc_id"]: x for x in restored_documents(df).collect()}
+    assert {k for k, x in got.items() if x["garbled"]} == {*range(100, 108), 200} and got[200]["restored"] == "die Änderungen"
