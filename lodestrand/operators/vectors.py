@@ -33,13 +33,15 @@ def mock_embedding(text: Column, dimension: int) -> Column:
 
 
 def embed_with(df: DataFrame, text: str, function: Callable[[list[str]], list[list[float]]], batch: int = 100, chars: int = 160_000) -> DataFrame:
-    """``df`` with ``vector`` from ``function``, called on batches of at most ``batch`` texts and about ``chars`` characters."""
+    """``df`` with ``vector`` from ``function``, called on batches of at most ``batch`` texts and about ``chars`` characters;
+    a null text is an empty one."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out: list[list[float]] = []
-            for part in greedy_batches(pdf[text].fillna("").map(len).tolist(), batch, chars):
-                got = function(pdf[text].iloc[part].tolist())
+            texts = pdf[text].fillna("").tolist()
+            for part in greedy_batches([len(t) for t in texts], batch, chars):
+                got = function(texts[part])
                 if len(got) != len(range(*part.indices(len(pdf)))):
                     raise ValueError("one vector for each text is needed")
                 out += got

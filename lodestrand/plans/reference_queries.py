@@ -567,3 +567,14 @@ def ext_entities(spark: SparkSession, d: str) -> DataFrame:
     """Classes, structs and functions of every C++ file."""
     return cpp.entities(table(spark, d, "source_file")).drop("code_text")
 
+
+@query("ext_declarations")
+def ext_declarations(spark: SparkSession, d: str) -> DataFrame:
+    """The entities of every C++ file, functions that are only declared included."""
+    return cpp.entities(table(spark, d, "source_file"), include_declarations=True).drop("code_text")
+
+
+@query("ext_diagnostics")
+def ext_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    """Errors and entities of every C++ file."""
+    return cpp.diagnostics(table(spark, d, "source_file"))

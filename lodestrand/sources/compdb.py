@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# How a Windows path begins, and drivers whose command lines only a Windows toolchain understands.
+# How a Windows path begins, drivers whose command lines only a Windows toolchain
+# understands, and folders that are built into.
 WINDOWS = r"^[A-Za-z]:[\\/]"
 WINDOWS_DRIVERS = ("cl", "cl.exe", "clang-cl", "clang-cl.exe")
+BUILD_FOLDERS = ("build", "cmake-build-debug", "cmake-build-release", "cmake-build-relwithdebinfo", "cmake-build-minsizerel", "out")
 ENTRY = "directory string, file string, command string, arguments array<string>, output string"
 
 
@@ -60,3 +64,9 @@ def foreign_toolchain(entries: DataFrame, sample: int = 200, least: int = 5, sha
     driver = F.lower(F.element_at(_segments(F.coalesce(F.get("arguments", F.lit(0)), F.regexp_extract("command", r'^\s*"?([^"\s]+)', 1))), -1))
     r = entries.orderBy("file").limit(sample).agg(F.count("*").alias("n"), F.count_if(driver.isin(*WINDOWS_DRIVERS)).alias("hits")).first()
     return r["hits"] >= max(least, int(r["n"] * share))
+
+
+def project_root(path: str) -> str:
+    """The project of a compile database: its folder, or the one above where that is built into."""
+    folder = os.path.dirname(os.path.abspath(path))
+    return os.path.dirname(folder) if os.path.basename(folder) in BUILD_FOLDERS else folder

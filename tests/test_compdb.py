@@ -1,7 +1,7 @@
 import json
 
 from lodestrand.plans.report import observed, rates, status, write_report
-from lodestrand.sources.compdb import common_anchor, foreign_toolchain, localise, read_compdb
+from lodestrand.sources.compdb import common_anchor, foreign_toolchain, localise, project_root, read_compdb
 
 
 def test_localise(spark, tmp_path):
@@ -31,3 +31,7 @@ def test_reports(spark, tmp_path):
     kept = json.loads((tmp_path / "r.json").read_text())
     assert kept["run_id"] == "run-1" and list(kept) == sorted(kept)
     assert [status(0, 2), status(1, 1), status(2, 0)] == ["success", "partial_success", "failed"]
+
+
+def test_project_root():
+    assert project_root("/x/p/build/compile_commands.json") == "/x/p" and project_root("/x/p/compile_commands.json") == "/x/p"

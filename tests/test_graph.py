@@ -92,6 +92,12 @@ def test_root_selectors(spark):
         search.resolve_root(nodes, identity_key="k1", global_uri="u")
 
 
+def test_questions(spark):
+    p = spark.createDataFrame([("a", [1.0, 0.0], "A"), ("b", [0.6, 0.8], "B"), ("c", [0.0, 0.0], "C"), ("d", None, "D"), ("e", [1.0, 0.0], "E")], "id string, vector array<float>, entity_name string")
+    got = [tuple(r) for r in search.ask(p, "what is it?", lambda texts: [[2.0, 0.0] for _ in texts], "vector", "id", ["entity_name"], 3).collect()]
+    assert got == [("a", 1.0, "A"), ("e", 1.0, "E"), ("b", 0.6, "B")]
+
+
 def test_greedy_batches():
     assert [s.indices(9)[:2] for s in greedy_batches([5, 5, 5, 50, 1], 2, 10)] == [(0, 2), (2, 3), (3, 4), (4, 5)]
     assert list(greedy_batches([], 2, 10)) == []

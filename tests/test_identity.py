@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrand.functions.comments import clean_doxygen, is_doxygen, signature_source
-from lodestrand.functions.symbols import disposition, line_bounds, parse_symbol, parse_symbols, range4, role
+from lodestrand.functions.symbols import disposition, line_bounds, parsed_symbol, parse_symbols, range4, role
 from lodestrand.functions.uri import cpp_name, global_uri, identity_key, parse_uri, point_id, signature_hash
 
 
@@ -60,8 +60,9 @@ def test_comments(spark):
         (None, 0, None),
     ],
 )
-def test_symbols(symbol, kind, want):
-    assert parse_symbol(symbol, kind) == want
+def test_symbols(spark, symbol, kind, want):
+    got = spark.createDataFrame([(symbol, kind)], "s string, k int").select(parsed_symbol(F.col("s"), F.col("k")).alias("p")).first()["p"]
+    assert (got and tuple(got)) == want
 
 
 def test_symbol_table_and_disposition(spark):

@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from lodestrand.operators.scope import innermost
 from lodestrand.operators.vectors import read_table
 from lodestrand.sources import cpp, entities, scip
@@ -35,6 +38,10 @@ def test_index_files(spark, tmp_path):
     assert set(d) == {a, b} and d[b]["has_definition"] and d[b]["relationships"][0]["is_type_definition"] and d[a]["definition_range"]["ec"] == 3
     refs = innermost(scip.references(docs), scip.spans(docs).withColumnRenamed("scip_symbol", "enclosing"), ["repo", "file_path"], "line", "first", "last", "enclosing")
     assert [(r["scip_symbol"], r["role"], r["enclosing"]) for r in refs.collect()] == [(c, "READ", b)]
+    (tmp_path / "y.scip").write_bytes(field(2, field(1, b"src/b.cc") + occurrence(c, (1, 2, 4), 8)))
+    docs = spark.read.format("scip").option("repo", "r").load(str(tmp_path))
+    told = scip.totals(docs, scip.definitions(docs).withColumn("disposition", F.when(F.col("kind") == 17, "drop").otherwise("keep")))
+    assert [tuple(r) for r in told.collect()] == [("r", 2, 4, 1, 1, 2)]
 
 
 CODE = """
@@ -71,6 +78,47 @@ def test_cpp_entities(spark, tmp_path):
     assert [r["parse_errors"] > 0 for r in cpp.entities(broken).collect()] == [True]
 
 
+def test_declarations(spark):
+    code = """
+int declared(int);
+namespace n { void other(const char* name = "x") noexcept; MACRO(a, b); Foo x(3); using T = int (*)(int); }
+extern "C" { int linked(void); void has_body() { } }
+extern "C" int alone(int);
+typedef int (*fn)(int);
+class C;
+static int value = call(1);
+"""
+    f = spark.createDataFrame([("R", "x.h", code.encode()), ("R", "y.h", b"}"), ("R", "z.py", b"")], "repo string, file_path string, content binary")
+    names = lambda **more: {r["entity_name"] for r in cpp.entities(f, **more).collect()}
+    assert names() == {"has_body"}
+    assert names(extern_c_declarations=True) == {"has_body", "linked", "alone"}
+    assert names(include_declarations=True) == {"has_body", "linked", "alone", "declared", "n::other"}
+    got = {r["file_path"]: (r["parse_error_count"], r["entity_count"]) for r in cpp.diagnostics(f).collect()}
+    assert got == {"x.h": (0, 1), "y.h": (1, 0)}
+    assert [(r["file_path"], r["seq"]) for r in cpp.numbered_files(f).orderBy("seq").collect()] == [("x.h", 0), ("y.h", 1), ("z.py", 2)]
+
+
+def test_many_comments_take_linear_time():
+    import time
+
+    code = "".join(f"/// Note {i}.\nint f{i}() {{ return {i}; }}\n" for i in range(4000))
+    start = time.time()
+    rows = list(cpp.scan(code))
+    assert len(rows) == 4000 and rows[3999][2] == "/// Note 3999." and time.time() - start < 10
+
+
+def test_one_file(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.cc").write_text("int f() { return 1; }")
+    one = str(tmp_path / "src" / "a.cc")
+    assert [r["file_path"] for r in cpp.read_file(spark, one, "R").collect()] == ["a.cc"]
+    assert [r["file_path"] for r in cpp.read_file(spark, one, "R", str(tmp_path)).collect()] == ["src/a.cc"]
+    with pytest.raises(ValueError):
+        cpp.read_file(spark, str(tmp_path / "x.txt"), "R")
+    with pytest.raises(FileNotFoundError):
+        cpp.read_file(spark, str(tmp_path / "x.cc"), "R")
+
+
 def test_json_lines_and_stream(spark, tmp_path, data):
     e = spark.read.parquet(f"{data}/code_entity.parquet").drop("entity_id", "extracted_at", "ingested_at")
     src = str(tmp_path / "in")
