@@ -97,15 +97,23 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"p1_found": p1_found, "p1_exact": p1_exact, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_pairs": p4_pairs, "p6_found": p6_found, "p6_repositories": p6_repositories, "p7_found": p7_found, "p7_groups": p7_groups, "p8_placements": p8_placements, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
 _NEWEST = "(select *, row_number() over (partition by {key} order by {at} desc nulls last) as newest from {table} where {key} is not null)"
 
+_SIMILAR = f"""w as (select entity_id, regexp_extract_all(lower(code_text), '[a-z0-9_]+') as w from {_NEWEST.format(key="entity_id", at="ingested_at", table="code_entity")} where newest = 1 and code_text is not null),
+g as (select distinct entity_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s from (select entity_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 30)),
+n as (select entity_id, count(*) as n from g group by 1),
+c as (select a.entity_id as a, b.entity_id as b, count(*) as c from g a join g b on a.s = b.s and a.entity_id < b.entity_id group by 1, 2),
+p as (select a, b from c join n x on x.entity_id = a join n y on y.entity_id = b where c >= 0.6 * (x.n + y.n - c) - 1e-12)"""
+
 SQL = {
     "p1_exact": f"""with v as (select id, cast(vector as double[]) as x from {_NEWEST.format(key="id", at="updated_at", table="vector_point")} where newest = 1 and len(vector) = 64
   and len(list_filter(vector, lambda y: y is null or isnan(y) or isinf(y))) = 0 and len(list_filter(vector, lambda y: y <> 0)) > 0),
 s as (select a.id as a, b.id as b, round(list_cosine_similarity(a.x, b.x), 6) as sim from v a join v b on a.id <> b.id),
 r as (select *, row_number() over (partition by a order by sim desc, b) as r from s where sim >= 0.85)
 select distinct least(a, b) as id_a, greatest(a, b) as id_b from r where r <= 5""",
-    "p7_found": f"""with w as (select entity_id, regexp_extract_all(lower(code_text), '[a-z0-9_]+') as w from {_NEWEST.format(key="entity_id", at="ingested_at", table="code_entity")} where newest = 1 and code_text is not null),
-g as (select distinct entity_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s from (select entity_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 30)),
-n as (select entity_id, count(*) as n from g group by 1),
-c as (select a.entity_id as a, b.entity_id as b, count(*) as c from g a join g b on a.s = b.s and a.entity_id < b.entity_id group by 1, 2)
-select a as entity_id_a, b as entity_id_b from c join n x on x.entity_id = a join n y on y.entity_id = b where c >= 0.6 * (x.n + y.n - c) - 1e-12""",
+    "p7_found": f"""with {_SIMILAR} select a as entity_id_a, b as entity_id_b from p""",
+    "p7_groups": f"""with recursive {_SIMILAR},
+k as (select entity_id, min(entity_id) over (partition by shingles) as class_id from (select entity_id, list_sort(list(s)) as shingles from g group by 1)),
+l as (select a, b from p union all select b, a from p),
+reach as (select a as id, a as r from l union select reach.id, l.b from reach join l on l.a = reach.r),
+o as (select id, min(r) as group_id from reach group by 1)
+select o.id as entity_id, class_id, group_id, (select count(*) from l where l.a = o.id) as links from o join k on k.entity_id = o.id""",
 }
