@@ -183,9 +183,10 @@ def _features(long_rule: int, instance: int, least_uses: int):
         most = np.zeros(n, "i8")  # tokens under the one rule that covers most, of those used often and not only copied whole
         np.maximum.at(most, of[at[often]], (under[at] * uses)[often])
         _, o, begin, length = kinds.symbols
-        pieces: list[list[int]] = [[] for _ in range(n)]
+        pieces: list[dict[int, int]] = [{} for _ in range(n)]  # tokens under the exact texts of longer rules
         for k in np.flatnonzero(length >= instance):
-            pieces[o[k]].append(xxhash.xxh64_intdigest(exact[begin[k] : begin[k] + length[k]].tobytes()) - (1 << 63))
+            h = xxhash.xxh64_intdigest(exact[begin[k] : begin[k] + length[k]].tobytes()) - (1 << 63)
+            pieces[o[k]][h] = pieces[o[k]].get(h, 0) + int(length[k])
         n_literals = np.array([len(x) for x in literal_ids[1:]], "i8")
         left = grammars(exact_of[np.concatenate(literal_ids)], np.repeat(np.arange(n), n_literals)).symbols[1]
         fresh = np.bincount(left, minlength=n) / np.maximum(1, n_literals)
@@ -217,7 +218,7 @@ def _features(long_rule: int, instance: int, least_uses: int):
             "said": pa.ListArray.from_arrays(pa.array(per_file, pa.int32()), pa.array(heard.view("i8"), pa.int64())),
             "segments": pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(segments)], pa.int32()), pa.array(segment_size, pa.int32())),
             "outer": pa.array(outer, pa.int32()),
-            "pieces": pa.array(pieces, pa.list_(pa.int64())),
+            "pieces": pa.array([[{"piece": h, "n": k} for h, k in x.items()] for x in pieces], pa.list_(run.type)),
             "runs": runs,
         }
         return pa.RecordBatch.from_arrays([b.column("file_id"), b.column("repo"), b.column("language"), b.column("file_path"), *cols.values()], names=["file_id", "repo", "language", "file_path", *cols])
@@ -232,7 +233,7 @@ def _features(long_rule: int, instance: int, least_uses: int):
 
 _FEATURES = (
     "repo string, language string, file_path string, tokens long, rule_reuse double, statements boolean, minified boolean, literals long, literal_share double, literals_left double,"
-    " marks array<struct<rule: long, size: int, says: string, library: string>>, said array<long>, segments array<int>, outer int, pieces array<long>, runs array<struct<piece: long, n: int>>"
+    " marks array<struct<rule: long, size: int, says: string, library: string>>, said array<long>, segments array<int>, outer int, pieces array<struct<piece: long, n: int>>, runs array<struct<piece: long, n: int>>"
 )
 
 
@@ -297,7 +298,7 @@ def file_origins(
     - minified by the shape of its lines (``lines``);
     - vendored if it holds a rule of the grammar of paths and comments that ``marked`` repositories share and that is a
       vendor's mark, in its path or before its first code (``shared rule``); if it lies in a directory named like a library
-      that such rules of two repositories name (``library folder``); or if ``shared`` of its rule instances (8 at least),
+      that such rules of two repositories name (``library folder``); or if instances of rules that make up ``shared`` of it,
       or runs of tokens that make up ``verbatim`` of it, occur with the same text in ``repositories`` or more (``shared text``);
     - generated if it holds a shared rule that is a tool's mark (``shared rule``), or, in C++, one rule of ``long_rule`` or more
       tokens, used ``least_uses`` times or more, covers ``reuse`` of it (``rule reuse``).
@@ -320,19 +321,20 @@ def file_origins(
         part = told.select("file_id", "said", "segments", "outer").mapInArrow(_told_by(spark.sparkContext.broadcast(block)), f"file_id {kind}, says string")
         held = part if held is None else held.unionByName(part)
     held = held.groupBy("file_id").agg(F.bool_or(F.col("says") == "vendored").alias("vendor_mark"), F.bool_or(F.col("says") == "generated").alias("generated_mark"))
-    instances = F.transform(F.array_distinct("pieces"), lambda p: F.struct(p.alias("piece"), F.lit(0).alias("n")))
-    piece = told.select("file_id", "repo", F.inline(F.concat(instances, "runs")))
+    tagged = lambda c, ruled: F.transform(c, lambda x: F.struct(x["piece"].alias("piece"), x["n"].alias("n"), F.lit(ruled).alias("ruled")))
+    piece = told.select("file_id", "repo", F.inline(F.concat(tagged("pieces", True), tagged("runs", False))))
     wide = piece.select("piece", "repo").distinct().groupBy("piece").agg(F.count("*").alias("r")).where(F.col("r") >= repositories).select("piece")
-    share = piece.join(wide, "piece", "left_semi").select("file_id", "piece", "n").distinct().groupBy("file_id").agg(F.count_if(F.col("n") == 0).alias("common"), F.sum("n").alias("copied"))
+    under = lambda ruled: F.sum(F.when(F.col("ruled") == ruled, F.col("n")))
+    share = piece.join(wide, "piece", "left_semi").distinct().groupBy("file_id").agg(under(True).alias("common"), under(False).alias("copied"))
     named = rules.where("library is not null").select(F.col("library").alias("folder")).distinct()
     folders = told.select("file_id", F.explode(F.array_distinct(F.slice(F.split(F.lower("file_path"), "/"), 1, F.greatest(F.lit(0), F.size(F.split("file_path", "/")) - 1)))).alias("folder"))
     inside = folders.join(named, "folder", "left_semi").select("file_id").distinct().withColumn("in_library", F.lit(True))
     out = told.drop("said", "segments", "marks").join(share, "file_id", "left").join(inside, "file_id", "left").join(held, "file_id", "left")
-    part = F.coalesce(F.col("common"), F.lit(0)) / F.greatest(F.lit(1), F.size(F.array_distinct("pieces")))
+    part = F.coalesce(F.col("common"), F.lit(0)) / F.greatest(F.lit(1), F.col("tokens"))
     run_part = F.coalesce(F.col("copied"), F.lit(0)) / F.greatest(F.lit(1), F.col("tokens"))
     long = F.col("tokens") >= least_tokens
     is_blob = (F.col("literal_share") >= literal_share) & (F.col("literals_left") >= literals_left) & (F.col("literals") >= least_literals)
-    copied = ((part >= shared) & (F.size("pieces") >= 8)) | ((run_part >= verbatim) & long)
+    copied = ((part >= shared) | (run_part >= verbatim)) & long
     regular = F.col("statements") & (F.col("rule_reuse") >= reuse) & long & (F.col("language") == "C++")
     why = (
         F.when(is_blob, "blob:literals")
