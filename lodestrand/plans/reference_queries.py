@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +15,7 @@ from ..operators.vectors import compact, points, read_table, upsert
 from ..sources import cpp
 from .general_queries import ALL_LINKS as _ALL_LINKS
 from .general_queries import _clean, inherits_links
-from .session import cut, lookup, shared_dir, table
+from .session import cut, lookup, scratch, table
 
 MONITORED = ("mica", "tessel", "lumen", "base")
 IGNORED = ("obsv", "memory")
@@ -416,7 +413,7 @@ def agg_point_report(spark: SparkSession, d: str) -> DataFrame:
 def snk_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The table after all versions of all points were written to it, one half of the ids again, and it was compacted."""
     p = table(spark, d, "vector_point").where("id is not null")
-    path = os.path.join(shared_dir(spark), f"points-{uuid.uuid4().hex}")
+    path = scratch(spark, "points")
     upsert(path, p, "id", "updated_at")
     upsert(path, p.where(F.col("id") < "8"), "id", "updated_at")
     compact(spark, path, "id", "updated_at", most_files=1)

@@ -56,6 +56,13 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, removed when the driver ends."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    atexit.register(_drop, spark, path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -63,9 +70,8 @@ def cut(df: DataFrame) -> DataFrame:
     executor costs only the tasks it ran. The files are deleted when the driver ends.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"cut-{uuid.uuid4().hex}")
+    path = scratch(spark, "cut")
     df.write.parquet(path)
-    atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
