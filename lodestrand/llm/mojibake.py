@@ -283,10 +283,12 @@ FREE = len(SWAPS)
 
 
 class _Alphabet:
-    """The letters a cipher may stand for: those of alphabets, as often as ``least`` in the text or more."""
+    """The letters a cipher may stand for: those of alphabets, as often as ``least`` in the text or more. The scripts that one
+    byte can't hold (Chinese, Japanese, Korean) are none; of all others, two code pages full of letters are enough."""
 
-    def __init__(self, model: Model, least: float = 2e-6, most: int = 200):
-        often = [c for c in np.argsort(-model.chars, kind="stable").tolist()[: 4 * most] if c > 127 and model.chars[c] > least * model.total and unicodedata.category(chr(c))[0] == "L" and unicodedata.category(chr(c)) != "Lo"]
+    def __init__(self, model: Model, least: float = 2e-6, most: int = 256):
+        order = np.argsort(-model.chars, kind="stable").tolist()
+        often = [c for c in order if c > 127 and model.chars[c] > least * model.total and unicodedata.category(chr(c))[0] in "LM" and not (0x2E80 <= c <= 0xA4CF or 0xAC00 <= c <= 0xD7FF or 0xF900 <= c <= 0xFAFF)]
         self.letters = sorted(often[:most])
         states = np.array(list(range(128)) + self.letters, "i8")
         a, b = np.meshgrid(states, states, indexing="ij")
@@ -347,8 +349,9 @@ def _decipher(counts, common: dict[tuple[str, str], float]):
         for i, w in enumerate(words):
             by_size.setdefault(len(w), []).append(i)
         for size, rows in by_size.items():
-            for s in range(0, len(rows), 256):
-                some = rows[s : s + 256]
+            together = max(1, 16_384 // (size + 2))  # long words take as much memory as many short ones
+            for s in range(0, len(rows), together):
+                some = rows[s : s + together]
                 obs = np.array([[ord("^")] + [place.get(c, ord(c)) for c in words[i]] + [ord("$")] for i in some])
                 fore = [seen[obs[:, 0]]]
                 for t in range(1, size + 2):
