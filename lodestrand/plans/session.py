@@ -75,6 +75,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores: rows of a table that is read in fewer parts than there are cores are spread before costly work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written_bytes(df: DataFrame) -> int:
     """Bytes of the files that ``df``, the result of ``cut`` or a selection from one, is read from."""
     spark = df.sparkSession

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.comments import clean_doxygen, signature_source
 from ..functions.uri import cpp_name, global_uri, signature_hash
+from ..plans.session import spread
 
 # What is taken for C++, and directories that are not entered.
 EXTENSIONS = (".cpp", ".cc", ".cxx", ".h", ".hpp", ".hxx", ".c")
@@ -218,7 +219,7 @@ def _scanned(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["repo_name", "file_path", *[c.split()[0] for c in RAW.split(", ")]])
 
     is_cpp = F.col("file_path").rlike("(?:" + "|".join(re.escape(x) for x in EXTENSIONS) + ")$")
-    return files.where(is_cpp).select("repo", "file_path", "content").mapInPandas(run, f"repo_name string, file_path string, {RAW}")
+    return spread(files.where(is_cpp).select("repo", "file_path", "content")).mapInPandas(run, f"repo_name string, file_path string, {RAW}")
 
 
 def _taken(include_declarations: bool, extern_c_declarations: bool):
