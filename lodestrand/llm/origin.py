@@ -10,6 +10,7 @@ shared by several repositories. Only minified files are told by the shape of the
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,13 @@ _VENDOR_SAYS = re.compile(
 )
 _VENDOR_NAME = re.compile(r"\^ (?:third _ ?party|third ?party|0 ?rdparty|vendor|vendored|external|externals|extern|deps|bundled|contrib|node _ modules) /|\b[a-z]+ - (?:v )?0 \. 0(?: \. 0)* /")
 _LIBRARY = re.compile(r"\bbundled copy of ([a-z]+)\b|/ / ([a-z]+) v 0 \. 0|\( c \) 0 the ([a-z]+) (?:contributors|authors|developers)\b|\b([a-z]+) - (?:v )?0 \. 0(?: \. 0)* /")
-_COMMENT = re.compile(r"""//[^\n]*|/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|(?:\bR"([^()\\\s]{0,16})\(.*?(?:\)\1"|\Z))""", re.S)
-_PY_COMMENT = re.compile(r"""\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'""", re.S)
+# Each alternative begins with a character of its own, and no part is tried twice, so that code is passed over quickly.
+_COMMENT = re.compile(r"""//[^\n]*+|/\*[^*]*+(?:\*(?!/)[^*]*+)*+(?:\*/|\Z)|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|R(?<!\wR)"([^()\\\s]{0,16})\(.*?(?:\)\1"|\Z)""", re.S)
+_PY_COMMENT = re.compile(r"""\#[^\n]*+|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z)|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'""", re.S)
 # What may stand before and between the comments that open a file: directives, blanks, a script's prologue.
 _HEAD = re.compile(r"""(?:\s+|//[^\n]*|/\*.*?(?:\*/|\Z)|\#(?:[^\n\\]|\\.)*|(["'])use strict\1;?)*+""", re.S)
 _PY_HEAD = re.compile(r"""(?:\s+|\#[^\n]*|\"\"\".*?(?:\"\"\"|\Z)|'''.*?(?:'''|\Z))*+""", re.S)
-_TOKEN = re.compile(r"\w+|[^\w\s]")
+_TOKEN = re.compile(r"\w+|[\S\n]")  # ends of lines are tokens too, until the literals are known
 
 
 def _split(text: str, python: bool) -> tuple[str, list[tuple[int, str]], list[str]]:
@@ -59,31 +61,36 @@ def _split(text: str, python: bool) -> tuple[str, list[tuple[int, str]], list[st
 
 
 _SAID = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
+_GAP = "A"  # ends a path's name, comment or directive; text in lower case has no such token
 _DIRECTIVE = re.compile(r"^[ \t]*#[ \t]*line[ \t].*", re.M)
 # A line that may be a record of data, not code or prose: values between commas, or one key and its value.
 _NUMBER = re.compile(r"\d+")
-_CODE_SIGN = re.compile(r"[;{}()=<>\\&|!?@]")
+_CODE_SIGN = set(";{}()=<>\\&|!?@")
 _RECORD = re.compile(r"[^,]*(?:,[^,]*)+|\s*(?:- )?[\w.\"'-]+\s*:(?:\s.*)?|\s*\S+\s*")
 # Words of the three languages that are no data.
 _WORDS = set(_CPP_WORDS) | set("import from def class return if else elif for while try except with as pass in not and or is None True False self function var let const".split())
 _LAYOUT = set(",[]:-.")
 
 
-def _literals(code: str, strings: list[str]) -> tuple[list[str], float]:
-    """The literals of a file, and their share of its characters without layout. In lines that hold values or keys and
-    no code the words are literals too."""
-    out, share, other = [], sum(map(len, strings)), 0
-    for x in strings:
-        out += re.findall(r"\w{1,3}|[^\w\s]", x)
-    for line in code.split("\n"):
-        data = not _CODE_SIGN.search(line) and _RECORD.fullmatch(line) is not None
-        for t in _TOKEN.findall(line):
-            if t[0].isdigit() or data and (t[0].isalpha() or t[0] == "_") and t not in _WORDS:
-                out.append(t)
-                share += len(t)
-            elif t not in _LAYOUT:
-                other += len(t)
-    return out, share / max(1, share + other)
+_PIECE = re.compile(r"\w{1,3}|[^\w\s]")
+# What a token is among literals.
+_IS_LITERAL, _IS_WORD, _IS_SIGN, _IS_LAYOUT, _IS_END = range(1, 6)
+
+
+def _literals(code: str, ids: np.ndarray, what: np.ndarray, length: np.ndarray, strings: list[str]) -> tuple[np.ndarray, float]:
+    """The literals among the tokens of a file's code, and the share of all literals, strings too, in its characters
+    without layout. In lines that hold values or keys and no code the words are literals too."""
+    line = np.cumsum(what == _IS_END)
+    lines = code.split("\n")
+    data = np.zeros(len(lines), bool)
+    data[line[what == _IS_WORD]] = True
+    data[line[what == _IS_SIGN]] = False
+    for k in np.flatnonzero(data).tolist():
+        data[k] = _RECORD.fullmatch(lines[k]) is not None
+    literal = (what == _IS_LITERAL) | (what == _IS_WORD) & data[line]
+    share = sum(map(len, strings)) + int(length[literal].sum())
+    other = int(length[~literal & (what != _IS_LAYOUT) & (what != _IS_END)].sum())
+    return ids[literal], share / max(1, share + other)
 
 
 _RUN = 24  # tokens of a run, on average
@@ -109,6 +116,11 @@ def _runs(exact: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.add.reduceat((exact ^ (exact >> np.uint64(31))) * power[at], start), owner[start], size
 
 
+def _heard(parts: list[str]) -> list[str]:
+    """The tokens of names or comments, each of these ended by a gap."""
+    return _SAID.findall(_NUMBER.sub("0", "".join([f"{x.lower()}\n{_GAP}\n" for x in parts])))
+
+
 def _says(text: str) -> str | None:
     if text[0] == "~":  # a name; its tokens are marked, so that comments about names share no rule with them
         text = text.replace("~", "")
@@ -116,7 +128,7 @@ def _says(text: str) -> str | None:
     return "vendored" if _VENDOR_SAYS.search(text) else "generated" if _GENERATED_SAYS.search(text) else None
 
 
-def _marks(hashes: np.ndarray, seg: np.ndarray, file_of: np.ndarray, words: list[str], files: int) -> list[list[tuple]]:
+def _marks(hashes: np.ndarray, seg: np.ndarray, file_of: np.ndarray, word: np.ndarray, words: list[str], files: int) -> list[list[tuple]]:
     """Of each file, the rules it shares with another file of the batch that say what it is: (rule, size, says, library).
     Rules that a shorter rule says are left out."""
     rule, own, begin, size, left = grammars(hashes, seg, together=True).uses
@@ -128,13 +140,13 @@ def _marks(hashes: np.ndarray, seg: np.ndarray, file_of: np.ndarray, words: list
     rule, file, begin, size, left = (x[order] for x in (rule, file, begin, size, left))
     first = np.flatnonzero(np.r_[True, rule[1:] != rule[:-1]])
     last = np.r_[first[1:], len(rule)]
-    for a, b in zip(first, last):
-        if file[a] == file[b - 1]:
-            continue
-        at, n, k = begin[a], size[a], left[a]
-        text = " ".join(words[at : at + n])
+    several = file[first] != file[last - 1]
+    for a, b in zip(first[several].tolist(), last[several].tolist()):
+        n, k = int(size[a]), int(left[a])
+        heard = [words[w] for w in word[begin[a] : begin[a] + n].tolist()]
+        text = " ".join(heard)
         says = _says(text)
-        if says is None or _says(" ".join(words[at : at + k])) == says or _says(" ".join(words[at + k : at + n])) == says:
+        if says is None or _says(" ".join(heard[:k])) == says or _says(" ".join(heard[k:])) == says:
             continue
         library = _LIBRARY.search(text.replace("~", "")) if says == "vendored" else None
         name = next(x for x in library.groups() if x) if library else None
@@ -149,29 +161,31 @@ def _features(long_rule: int, instance: int, least_uses: int):
 
     def features(b: pa.RecordBatch) -> pa.RecordBatch:
         n = b.num_rows
-        ids, rows, literal_ids = [np.empty(0, "i4")], [], [np.empty(0, "i4")]
-        said: list[str] = []  # the tokens of paths, comments and directives
-        ends, file_of, outer = [], [], []
-        for i, (path, lang, content) in enumerate(zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content")))):
+        ids, rows, literal_ids, n_literals = [np.empty(0, "i4")], [], [np.empty(0, "i4")], []
+        said = [np.empty(0, "i4")]  # the tokens of paths, comments and directives
+        outer, segments = [], []
+        for path, lang, content in zip(*(b.column(c).to_pylist() for c in ("file_path", "language", "content"))):
             text = (content or b"").decode("utf-8", "replace").removeprefix("\ufeff").replace("\r\n", "\n")
             python = lang == "Python"
             code, notes, strings = _split(text, python)
-            tokens = _TOKEN.findall(code)
-            ids.append(np.fromiter(map(vocabulary.__getitem__, tokens), "i4", len(tokens)))
-            literals, share = _literals(code, strings)
-            literal_ids.append(np.fromiter(map(vocabulary.__getitem__, literals), "i4", len(literals)))
+            token = vocabulary.numbers(_TOKEN.findall(code))
+            what, length = vocabulary.about(token)
+            found, share = _literals(code, token, what, length, strings)
+            within = vocabulary.numbers(_PIECE.findall("\n".join(strings)))
+            literal_ids += within, found
+            n_literals.append(len(within) + len(found))
+            ids.append(token[what != _IS_END])
             lines = text.split("\n")
-            rows.append((share, max(map(len, lines)) >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text), code.count(";") * 60 >= len(tokens) <= code.count("{") * 200))
+            rows.append((share, max(map(len, lines)) >= 300 and len(text) / len(lines) >= 120 and text.count(" ") < 0.16 * len(text), code.count(";") * 60 >= len(ids[-1]) <= code.count("{") * 200))
             head = (_PY_HEAD if python else _HEAD).match(text).end()
             *folders, name = (path or "").lower().split("/")
             names = [f"^{x}/" for x in folders] + [f"^{name}$"]
             parts = [x for at, x in notes if at < head]
             outer.append(len(names) + len(parts))
-            for k, part in enumerate(names + parts + [x for at, x in notes if at >= head] + _DIRECTIVE.findall(code)):
-                heard = _SAID.findall(_NUMBER.sub("0", part.lower()))
-                said += ["~" + x for x in heard] if k < len(names) else heard
-                ends.append(len(said))
-                file_of.append(i)
+            parts += [x for at, x in notes if at >= head] + _DIRECTIVE.findall(code)
+            segments.append(len(names) + len(parts))
+            heard = [x if x == _GAP else "~" + x for x in _heard(names)] + _heard(parts)
+            said.append(spoken.numbers(heard))
         size = np.array([len(x) for x in ids[1:]], "i8")
         token, owner = np.concatenate(ids), np.repeat(np.arange(n), size)
         exact_of, kind_of = vocabulary.hashes()
@@ -184,18 +198,21 @@ def _features(long_rule: int, instance: int, least_uses: int):
         np.maximum.at(most, of[at[often]], (under[at] * uses)[often])
         _, o, begin, length = kinds.symbols
         pieces: list[dict[int, int]] = [{} for _ in range(n)]  # tokens under the exact texts of longer rules
-        for k in np.flatnonzero(length >= instance):
-            h = xxhash.xxh64_intdigest(exact[begin[k] : begin[k] + length[k]].tobytes()) - (1 << 63)
-            pieces[o[k]][h] = pieces[o[k]].get(h, 0) + int(length[k])
-        n_literals = np.array([len(x) for x in literal_ids[1:]], "i8")
+        at, text = np.flatnonzero(length >= instance), exact.tobytes()
+        for k, a, m in zip(o[at].tolist(), begin[at].tolist(), length[at].tolist()):
+            h = xxhash.xxh64_intdigest(text[8 * a : 8 * (a + m)]) - (1 << 63)
+            pieces[k][h] = pieces[k].get(h, 0) + m
+        n_literals = np.array(n_literals, "i8")
         left = grammars(exact_of[np.concatenate(literal_ids)], np.repeat(np.arange(n), n_literals)).symbols[1]
         fresh = np.bincount(left, minlength=n) / np.maximum(1, n_literals)
-        word = np.fromiter(map(spoken.__getitem__, said), "i4", len(said))
+        word, gap, words = np.concatenate(said), spoken[_GAP], list(spoken)
+        end = np.flatnonzero(word == gap)
+        segment_size = np.diff(np.r_[-1, end]) - 1
+        word = word[word != gap]
         heard = spoken.hashes()[0][word]
-        segment_size = np.diff(np.r_[0, np.array(ends, "i8")])
-        marks = _marks(heard, np.repeat(np.arange(len(ends)), segment_size), np.array(file_of, "i8"), said, n)
-        segments = np.bincount(np.array(file_of, "i8"), minlength=n)
-        per_file = np.r_[0, np.cumsum(np.bincount(np.repeat(np.array(file_of, "i8"), segment_size), minlength=n))]
+        file_of = np.repeat(np.arange(n), segments)
+        marks = _marks(heard, np.repeat(np.arange(len(end)), segment_size), file_of, word, words, n)
+        per_file = np.r_[0, np.cumsum(np.bincount(np.repeat(file_of, segment_size), minlength=n))]
         hashes, of, size_of = _runs(exact, owner)
         order = np.lexsort((hashes, of))
         hashes, of, size_of = hashes[order], of[order], size_of[order]
@@ -203,6 +220,8 @@ def _features(long_rule: int, instance: int, least_uses: int):
         under = np.add.reduceat(size_of, new) if len(of) else size_of
         run = pa.StructArray.from_arrays([pa.array(hashes[new].view("i8"), pa.int64()), pa.array(under, pa.int32())], names=["piece", "n"])
         runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(of[new], np.arange(n + 1)), pa.int32()), run)
+        n_pieces = np.r_[0, np.cumsum([len(x) for x in pieces])]
+        piece = pa.StructArray.from_arrays([pa.array([h for x in pieces for h in x], pa.int64()), pa.array([k for x in pieces for k in x.values()], pa.int32())], names=["piece", "n"])
         share, minified, statements = list(zip(*rows)) or [()] * 3
         mark = pa.list_(pa.struct([("rule", pa.int64()), ("size", pa.int32()), ("says", pa.string()), ("library", pa.string())]))
         named = [[dict(zip(("rule", "size", "says", "library"), m)) for m in x] for x in marks]
@@ -218,7 +237,7 @@ def _features(long_rule: int, instance: int, least_uses: int):
             "said": pa.ListArray.from_arrays(pa.array(per_file, pa.int32()), pa.array(heard.view("i8"), pa.int64())),
             "segments": pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(segments)], pa.int32()), pa.array(segment_size, pa.int32())),
             "outer": pa.array(outer, pa.int32()),
-            "pieces": pa.array([[{"piece": h, "n": k} for h, k in x.items()] for x in pieces], pa.list_(run.type)),
+            "pieces": pa.ListArray.from_arrays(pa.array(n_pieces, pa.int32()), piece),
             "runs": runs,
         }
         return pa.RecordBatch.from_arrays([b.column("file_id"), b.column("repo"), b.column("language"), b.column("file_path"), *cols.values()], names=["file_id", "repo", "language", "file_path", *cols])
@@ -262,26 +281,39 @@ def _told_by(rules):
 
 
 class _Vocabulary(dict):
-    """Tokens to small numbers, with the hash of each and of its kind."""
+    """Tokens to small numbers, with the hash of each and of its kind, what it is among literals, and its length."""
 
     def __init__(self):
-        self.exact, self.kind = [], []
         self.fixed = {w: xxhash.xxh64_intdigest(w) for w in _CPP_WORDS}
         self.name, self.number = xxhash.xxh64_intdigest("<name>"), xxhash.xxh64_intdigest("<number>")
+        self.begin()
+
+    def begin(self):
+        self.clear()
+        self.exact, self.kind, self.what, self.length = array("Q"), array("Q"), array("B"), array("q")
 
     def __missing__(self, x: str) -> int:
         h = xxhash.xxh64_intdigest(x)
+        digit, word = x[0].isdigit(), x[0].isalpha() or x[0] == "_"
         self.exact.append(h)
-        self.kind.append(self.fixed.get(x) or (self.number if x[0].isdigit() else self.name if x[0].isalpha() or x[0] == "_" else h))
+        self.kind.append(self.fixed.get(x) or (self.number if digit else self.name if word else h))
+        self.what.append(_IS_LITERAL if digit else _IS_WORD if word and x not in _WORDS else _IS_SIGN if x in _CODE_SIGN else _IS_LAYOUT if x in _LAYOUT else _IS_END if x == "\n" else 0)
+        self.length.append(len(x))
         i = self[x] = len(self)
         return i
 
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), "i4", len(tokens))
+
+    def about(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the tokens are among literals, and their lengths."""
+        return np.array(self.what, copy=False)[numbers], np.array(self.length, copy=False)[numbers]
+
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """The two hashes of all numbers; a vocabulary that has grown large is begun anew."""
         out = np.array(self.exact, "u8"), np.array(self.kind, "u8")
         if len(self) > 500_000:
-            self.clear()
-            self.exact, self.kind = [], []
+            self.begin()
         return out
 
 

@@ -38,28 +38,34 @@ def grammars(tokens: np.ndarray, owner: np.ndarray, together: bool = False) -> G
     """
     sym, own = tokens.astype("u8"), owner.astype("i8")
     begin, length = np.arange(len(sym)), np.ones(len(sym), "i8")
-    power = powers(len(sym))
+    power = powers(len(sym) + 1)
+    mixed = np.zeros(1, "u8") if together else own.astype("u8") * _MIX
+    h = sym[:-1] * power[1] + sym[1:]
     uses: list[tuple[np.ndarray, ...]] = []
     while len(sym) >= 2:
-        same = own[1:] == own[:-1]
-        h = sym[:-1] * power[length[1:]] + sym[1:]
-        key = h if together else h ^ (own[:-1].astype("u8") * _MIX)
-        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-        n = np.where(same, count[inverse], 0)
+        key = h if together else h ^ mixed[:-1]
+        # Only keys that share a bucket, told by their first bits, can occur twice; the others need not be sorted.
+        bucket = (key >> np.uint64(62 - len(key).bit_length())).view("i8")
+        maybe = np.flatnonzero((np.bincount(bucket) >= 2)[bucket])
+        _, inverse, count = np.unique(key[maybe], return_inverse=True, return_counts=True)
+        often = count[inverse]
+        pick = (often >= 2) & (own[maybe + 1] == own[maybe])
+        at, of = maybe[pick], inverse[pick]
+        n = np.zeros(len(key) + 2, "i8")  # n[i + 1] is the count of pair i, if that occurs twice or more
+        n[at + 1] = often[pick]
         # Ranks within the sequence: the count, then the hash, so that equal pairs are treated alike everywhere.
-        before = np.r_[0, n[:-1]]
-        after = np.r_[n[1:], 0]
-        hb, ha = np.r_[np.uint64(0), h[:-1]], np.r_[h[1:], np.uint64(0)]
-        pick = (n >= 2) & ((n > before) | ((n == before) & (h >= hb))) & ((n > after) | ((n == after) & (h >= ha)))
-        at = np.flatnonzero(pick)
+        here, before, after = n[at + 1], n[at], n[at + 2]
+        hh, hb, ha = h[at], h[np.maximum(at - 1, 0)], h[np.minimum(at + 1, len(h) - 1)]
+        pick = ((here > before) | ((here == before) & (hh >= hb))) & ((here > after) | ((here == after) & (hh >= ha)))
+        at, of = at[pick], of[pick]
         if len(at):  # of overlapping picks (a run of one symbol) the first, third, ... stay
             gap = np.diff(at) == 1
             if gap.any():
                 start = np.r_[True, ~gap]
                 head = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - head) % 2 == 0]
-        _, inverse, count = np.unique(key[at], return_inverse=True, return_counts=True)
-        at = at[count[inverse] >= 2]
+                stay = (np.arange(len(at)) - head) % 2 == 0
+                at, of = at[stay], of[stay]
+        at = at[np.bincount(of, minlength=len(count))[of] >= 2]
         if not len(at):
             break
         left = length[at].copy()
@@ -69,6 +75,13 @@ def grammars(tokens: np.ndarray, owner: np.ndarray, together: bool = False) -> G
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
         sym, own, begin, length = sym[keep], own[keep], begin[keep], length[keep]
+        mixed = mixed if together else mixed[keep]
+        # Pairs that hold no new symbol stay as they are.
+        h = h[keep[:-1]] if keep[-1] else h[keep[:-1]][:-1]
+        new = at - np.arange(len(at))
+        new = np.concatenate([new, new - 1])
+        new = new[(new >= 0) & (new < len(h))]
+        h[new] = sym[new] * power[length[new + 1]] + sym[new + 1]
     kinds = ("u8", "i8", "i8", "i8", "i8")
     joined = tuple(np.concatenate(x) for x in zip(*uses)) if uses else tuple(np.empty(0, t) for t in kinds)
     return Grammar((sym, own, begin, length), joined)

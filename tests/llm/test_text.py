@@ -1,12 +1,17 @@
 import datetime
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from lodestrand.llm import origin
 from lodestrand.llm.funcdocs import described_functions, documented_functions, function_docs, trivial
 from lodestrand.llm.mojibake import SWAPS, Restorer, restored_documents
 from lodestrand.llm.neardup import duplicate_groups, similar_classes, similar_pairs
 from lodestrand.llm.origin import file_origins
+from lodestrand.llm.repair import grammars
 
 CLASS = """class API A : public B {
  public:
@@ -155,6 +160,42 @@ def test_verbatim_copies_without_marks(spark):
     assert got[0][1] == 1 and 0 < got[6][1] < 0.8 and got[4][1] == got[5][1] == 0  # two repositories are too few
 
 
+def test_origins_read_tokens_once(monkeypatch):
+    r = random.Random(4)
+    lines = ["id, name, 7", "- fold ½ ² the page", "key: value 3", "x = y1 + 0x1F;", "if None", "a\x0bb, 2", "ключ, ٣", "", "s = 'one two' \"a\\\"b\""]
+    texts = ["\n".join(r.choice(lines) for _ in range(r.randrange(30))) for _ in range(300)]
+    found, sorted_keys = [], []
+
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern = pattern
+
+        def findall(self, text):
+            found.append(len(text))
+            return self.pattern.findall(text)
+
+    unique = np.unique
+    monkeypatch.setattr(origin, "_TOKEN", Counted(origin._TOKEN))
+    monkeypatch.setattr(np, "unique", lambda x, *a, **k: sorted_keys.append(len(x)) or unique(x, *a, **k))
+    batch = pa.record_batch({"file_id": pa.array(range(300)), "repo": ["a"] * 300, "file_path": ["x.cc"] * 300, "content": [x.encode() for x in texts], "language": ["C++"] * 300})
+    out = pa.Table.from_batches(origin._features(24, 12, 4)(iter([batch]))).to_pylist()
+    assert sum(found) <= sum(map(len, texts))  # each text's code is cut into tokens once
+    sorted_keys.clear()
+    grammars(np.arange(10_000, dtype="u8") * np.uint64(0x9E3779B97F4A7C15), np.zeros(10_000, "i8"))
+    assert sum(sorted_keys) < 5_000  # pairs that can occur but once are not sorted
+    for text, row in zip(texts, out):  # the literals and their share, line by line
+        code, _, strings = origin._split(text, False)
+        n, share, other = sum(len(re.findall(r"\w{1,3}|[^\w\s]", x)) for x in strings), sum(map(len, strings)), 0
+        for line in code.split("\n"):
+            data = not re.search(r"[;{}()=<>\\&|!?@]", line) and origin._RECORD.fullmatch(line)
+            for t in re.findall(r"\w+|[^\w\s]", line):
+                if t[0].isdigit() or data and (t[0].isalpha() or t[0] == "_") and t not in origin._WORDS:
+                    n, share = n + 1, share + len(t)
+                elif t not in ",[]:-.":
+                    other += len(t)
+        assert (row["literals"], row["literal_share"]) == (n, share / max(1, share + other))
+
+
 def test_every_swap_can_be_undone():
     r = Restorer()
     for k, (read, written) in enumerate(SWAPS):
